@@ -1,0 +1,94 @@
+"""Fields of a result page as native regex Column expressions.
+
+The reference reads these from a live browser page (CSS / XPath lookups). Here
+they are read from stored HTML. The patterns avoid look-around and ``\\b`` so
+they mean the same in Java and in RE2 (the oracle engine). Containers of the
+same tag must not nest (true of the link lists and marker blocks read here).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from reelcat.functions.numbers import at_least, tolerant_double
+from reelcat.functions.text import ColumnOrName, _col
+
+
+def regex_literal(text: str) -> str:
+    """Escape ``text`` for Java and RE2 alike (letters, digits and spaces stay as is)."""
+    return "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in text)
+
+
+def _open_tag(tag: str, attr: str | None = None, value: str | None = None) -> str:
+    if attr is None:
+        return f"<{tag}(?:\\s[^>]*)?>"
+    v = regex_literal(value or "")
+    return f'<{tag}\\s[^>]*{attr}\\s*=\\s*"[^"]*{v}[^"]*"[^>]*>'
+
+
+def element_html(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
+    """Inner HTML of the first ``<tag>`` (optionally whose ``attr`` contains ``value``); null if none."""
+    pat = f"(?is){_open_tag(tag, attr, value)}(.*?)</{tag}\\s*>"
+    h = _col(html)
+    return F.when(h.rlike(pat), F.regexp_extract(h, pat, 1))
+
+
+_HREF = '(?is)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"'
+
+
+def first_href(fragment: ColumnOrName) -> Column:
+    """X1 core: ``href`` of the first link in an HTML fragment; null if none."""
+    f = _col(fragment)
+    return F.when(f.rlike(_HREF), F.regexp_extract(f, _HREF, 1))
+
+
+def container_first_link(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
+    """First link inside a named container."""
+    return first_href(element_html(html, tag, attr, value))
+
+
+def first_group_link(html: ColumnOrName, container: str, group: str, min_groups: int = 2) -> Column:
+    """First link of the first group, only when the container has ``min_groups`` groups."""
+    inner = element_html(html, container)
+    n_groups = F.size(F.regexp_extract_all(inner, F.lit(f"(?is)<{group}(?:\\s[^>]*)?>"), 0))
+    first = element_html(inner, group)
+    return F.when(n_groups >= F.lit(min_groups), first_href(first))
+
+
+def link_by_text(html: ColumnOrName, text: str, css_class: str | None = None) -> Column:
+    """``href`` of the first link whose own text holds ``text`` (and whose class holds ``css_class``)."""
+    opening = _open_tag("a", "class", css_class) if css_class else "<a\\s[^>]*>"
+    pat = f"(?is){opening}[^<]*{regex_literal(text)}[^<]*</a>"
+    h = _col(html)
+    return F.when(h.rlike(pat), first_href(F.regexp_extract(h, pat, 0)))
+
+
+def has_marker(html: ColumnOrName, tag: str, attr: str, value: str, text: str | None = None) -> Column:
+    """A ``<tag>`` whose ``attr`` holds ``value`` and whose own text holds ``text``."""
+    pat = f"(?is){_open_tag(tag, attr, value)}"
+    if text:
+        pat += f"[^<]*{regex_literal(text)}"
+    return F.coalesce(_col(html).rlike(pat), F.lit(False))
+
+
+def has_text(text_col: ColumnOrName, sentence: str) -> Column:
+    """the text holds ``sentence`` (false when null)."""
+    return F.coalesce(F.contains(_col(text_col), F.lit(sentence)), F.lit(False))
+
+
+def element_text(html: ColumnOrName, tag: str) -> Column:
+    """Text of the first ``<tag>`` element (e.g. the page title)."""
+    return element_html(html, tag)
+
+
+def numeric_label(source: ColumnOrName, pattern: str) -> Column:
+    """X5 + P17: the text of group 1 of ``pattern`` as a number (null when unparsable)."""
+    s = _col(source)
+    return tolerant_double(F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 1)))
+
+
+def label_at_least(source: ColumnOrName, pattern: str, threshold: float) -> Column:
+    """X5 + F9: the label is a number >= threshold (false when missing or unparsable)."""
+    s = _col(source)
+    return at_least(F.when(s.rlike(pattern), F.regexp_extract(s, pattern, 1)), threshold)

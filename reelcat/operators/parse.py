@@ -16,7 +16,7 @@ STATUS_NO_CHANNEL = "no_channel"
 
 
 def classify_entries(raw: DataFrame, compat: bool = False, channel: str | None = None,
-                     channel_from_name: bool = True) -> DataFrame:
+                     channel_from_name: bool = True, channel_col: str = "youtuber") -> DataFrame:
     """Classify and parse each raw entry in one pass (no shuffle).
 
     Output keeps every input row with ``entry_status`` in
@@ -26,19 +26,23 @@ def classify_entries(raw: DataFrame, compat: bool = False, channel: str | None =
     """
     entry = strip_ws(normalize_newlines(F.col("value")))
     df = raw.withColumn("entry", entry).withColumn("_ok", entry_parses(F.col("entry")))
+    from_name = False
     if channel is not None:
         youtuber: Column = F.lit(channel)
+    elif channel_col in raw.columns:
+        youtuber = F.col(channel_col)
     elif channel_from_name and "source_name" in raw.columns:
         youtuber = channel_from_dump_name(F.col("source_name"))
+        from_name = True
     else:
         youtuber = F.lit(None).cast("string")
     status = (
         F.when(F.col("entry") == F.lit(""), F.lit(STATUS_EMPTY))
         .when(~F.col("_ok"), F.lit(STATUS_REJECTED))
-        .when(youtuber.isNull() & F.lit(channel is None and channel_from_name), F.lit(STATUS_NO_CHANNEL))
+        .when(youtuber.isNull() & F.lit(from_name), F.lit(STATUS_NO_CHANNEL))
         .otherwise(F.lit(STATUS_PARSED))
     )
-    keep = [c for c in raw.columns if c != "value"]
+    keep = [c for c in raw.columns if c not in ("value", channel_col)]
     return df.select(
         *keep,
         F.length(F.col("value")).alias("chars"),

@@ -88,3 +88,480 @@ FROM videos""",
 def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: load counters of a dump, computed in one distributed aggregate."""
     return parse_ops.load_metrics(_classified_dump(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ shared SQL pieces
+
+
+def _sql(s: str) -> str:
+    """A DuckDB string literal (no backslash processing; quotes doubled)."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+_DEDUP_SQL = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY entry_pos DESC) AS _rn FROM {src}) WHERE _rn = 1"
+_NA = "coalesce(nullif({0}, ''), 'NA') AS {0}"
+_MANIFEST_COLS = (
+    ", ".join(_NA.format(c) if c not in ("title", "id") else c for c in RECORD_FIELDS)
+    + ", concat('@', coalesce(youtuber, 'None')) AS subject_name"
+)
+
+
+def _manifest_ctes(where: str = "TRUE") -> dict[str, str]:
+    """Oracle CTEs: ``selected`` videos, then the ``manifest`` rows (A1 + P3 + P4)."""
+    return {
+        "selected": f"SELECT * FROM videos WHERE {where}",
+        "manifest": f"SELECT entry_pos, {_MANIFEST_COLS} FROM ({_DEDUP_SQL.format(src='selected')})",
+    }
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All videos as one manifest (no selection): A1 -> P3 -> P4."""
+    return manifest_ops.manifest_rows(derived.videos(spark, sf_dir))
+
+
+from reelcat.functions.text import na_fill, subject_from_channel  # noqa: E402
+from reelcat.operators import ledger as ledger_ops  # noqa: E402
+from reelcat.operators import manifest as manifest_ops  # noqa: E402
+from reelcat.operators import media as media_ops  # noqa: E402
+from reelcat.operators import pages as page_ops  # noqa: E402
+from reelcat.operators import planning  # noqa: E402
+from reelcat.operators.dedup import dedup_videos, keep_last, url_index  # noqa: E402
+from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos  # noqa: E402
+from reelcat.schemas import NA_FIELDS  # noqa: E402
+
+# ------------------------------------------------------------------ A1, A2 / J5
+
+_VIDEO_OUT = ["entry_pos", *RECORD_FIELDS, "youtuber"]
+
+
+@register("dedup_last_wins", with_views(_DEDUP_SQL.format(src="videos").replace("SELECT *", "SELECT " + ", ".join(_VIDEO_OUT), 1), "videos"))
+def q_dedup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: one row per id, the last entry wins."""
+    return dedup_videos(derived.videos(spark, sf_dir)).select(*_VIDEO_OUT)
+
+
+@register(
+    "url_index",
+    with_views(
+        "SELECT webpage_url, id FROM (SELECT *, row_number() OVER (PARTITION BY webpage_url ORDER BY entry_pos DESC) AS _rn"
+        " FROM videos) WHERE _rn = 1",
+        "videos",
+    ),
+)
+def q_url_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL -> id, the last entry per URL wins."""
+    return url_index(derived.videos(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ F1-F5, J6
+
+SELECT_CHANNEL = "src3"
+SELECT_TERMS = ["und", "de_l", "ou%re", "100%"]
+_SEL_OUT = ["entry_pos", "id", "title", "youtuber"]
+_SEL_SQL = "SELECT entry_pos, id, title, youtuber FROM videos WHERE "
+
+
+def _like_sql(terms: list[str]) -> str:
+    return " OR ".join(f"lower(title) LIKE lower('%' || {_sql(t)} || '%') ESCAPE '\\'" for t in terms)
+
+
+def _literal_sql(terms: list[str]) -> str:
+    return " OR ".join(f"contains(lower(title), lower({_sql(t)}))" for t in terms)
+
+
+@register("select_channel", with_views(_SEL_SQL + f"youtuber = {_sql(SELECT_CHANNEL)}", "videos"))
+def q_select_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one channel (pushed into the Parquet scan as EqualTo)."""
+    return select_videos(derived.videos(spark, sf_dir), channel=SELECT_CHANNEL).select(*_SEL_OUT)
+
+
+@register("select_like", with_views(_SEL_SQL + _like_sql(SELECT_TERMS), "videos"))
+def q_select_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """any term, case-insensitive LIKE (``%`` and ``_`` are wildcards)."""
+    return select_videos(derived.videos(spark, sf_dir), terms=SELECT_TERMS, match=MATCH_LIKE).select(*_SEL_OUT)
+
+
+@register("select_literal", with_views(_SEL_SQL + _literal_sql(SELECT_TERMS), "videos"))
+def q_select_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """any term, case-insensitive literal substring."""
+    return select_videos(derived.videos(spark, sf_dir), terms=SELECT_TERMS, match=MATCH_LITERAL).select(*_SEL_OUT)
+
+
+@register("select_all", with_views(_SEL_SQL + "TRUE", "videos"))
+def q_select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """no channel and no terms keeps every row (an empty channel counts as none)."""
+    return select_videos(derived.videos(spark, sf_dir), channel="", terms=[]).select(*_SEL_OUT)
+
+
+@register("select_precedence", with_views(_SEL_SQL + f"youtuber = {_sql('src5')}", "videos"))
+def q_select_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a channel wins over terms."""
+    return select_videos(derived.videos(spark, sf_dir), channel="src5", terms=["zzzz"]).select(*_SEL_OUT)
+
+
+def _bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms derived from the data: the second word of each benchmark passage."""
+    from reelcat.sources.tables import table
+
+    b = table(spark, sf_dir, "benchmark")
+    return b.select(F.lower(F.split_part(F.col("text"), F.lit(" "), F.lit(2))).alias("term")).where(F.length("term") >= 3)
+
+
+_TERMS_SQL = "SELECT lower(split_part(text, ' ', 2)) AS term FROM benchmark WHERE length(lower(split_part(text, ' ', 2))) >= 3"
+_TERM_JOIN_SQL = with_views(
+    "SELECT entry_pos, id, title, youtuber FROM videos v WHERE EXISTS "
+    "(SELECT 1 FROM terms t WHERE contains(lower(v.title), lower(t.term)))",
+    "videos", extra={"terms": _TERMS_SQL},
+)
+
+
+@register("select_terms_join", _TERM_JOIN_SQL)
+def q_select_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms as a table, size-checked broadcast semi join."""
+    return select_by_term_table(derived.videos(spark, sf_dir), _bench_terms(spark, sf_dir)).select(*_SEL_OUT)
+
+
+@register("select_terms_index", _TERM_JOIN_SQL)
+def q_select_terms_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 beyond the broadcast limit: the exact gram-index join (forced here)."""
+    return select_by_term_table(derived.videos(spark, sf_dir), _bench_terms(spark, sf_dir),
+                                max_broadcast_terms=0).select(*_SEL_OUT)
+
+
+# ------------------------------------------------------------------ C3: manifests
+
+MANIFEST_TERMS = ["the", "de_l"]
+_MANIFEST_OUT = [*RECORD_FIELDS, "subject_name"]
+
+
+@register(
+    "manifest_rows",
+    with_views("SELECT " + ", ".join(_MANIFEST_OUT) + " FROM manifest", "videos",
+               extra=_manifest_ctes(_like_sql(MANIFEST_TERMS))),
+)
+def q_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 selection -> A1 -> P3 (NA) -> P4 (@channel)."""
+    return manifest_ops.select_manifest(derived.videos(spark, sf_dir), terms=MANIFEST_TERMS).select(*_MANIFEST_OUT)
+
+
+@register(
+    "manifest_summary",
+    with_views(
+        "SELECT subject_name, count(DISTINCT id) AS n_videos, "
+        + _sql('"search_terms": ["the", "de_l"],')
+        + " AS header_json FROM manifest GROUP BY subject_name",
+        "videos", extra=_manifest_ctes(_like_sql(MANIFEST_TERMS)),
+    ),
+)
+def q_manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + A11: videos per subject of a manifest, with the manifest header."""
+    from reelcat.sinks.tables import manifest_header_json
+
+    rows = manifest_ops.select_manifest(derived.videos(spark, sf_dir), terms=MANIFEST_TERMS)
+    return (manifest_ops.manifest_summary(rows, MANIFEST_TERMS).drop("search_terms")
+            .withColumn("header_json", F.lit(manifest_header_json(MANIFEST_TERMS))))
+
+
+# ------------------------------------------------------------------ C2 / C4: catalogs
+
+CATALOG_TERMS = ["the", "und"]
+# the catalog a video lands in, by a rule on its upload month (month - 1) % 3 = doc % 3
+_CATALOG_FILE_SQL = (
+    "CASE entry_pos % 3 WHEN 0 THEN '_' || youtuber || '_Videos_VideosObject.json'"
+    " WHEN 1 THEN '_' || youtuber || '_VideosObject.json' ELSE youtuber || '_Shorts_VideosObject.json' END"
+)
+
+
+def _catalog_file() -> "F.Column":
+    p = (F.substring("upload_date", 5, 2).cast("int") - 1) % 3
+    return (F.when(p == 0, F.concat(F.lit("_"), "youtuber", F.lit("_Videos_VideosObject.json")))
+            .when(p == 1, F.concat(F.lit("_"), "youtuber", F.lit("_VideosObject.json")))
+            .otherwise(F.concat("youtuber", F.lit("_Shorts_VideosObject.json"))))
+
+
+def _staged_catalogs(spark: SparkSession, sf_dir: str) -> str:
+    """Dump -> parse -> one row per (catalog, id), last entry wins -> K2 row form."""
+    from reelcat.session import staging_path
+    from reelcat.sinks.tables import write_catalog_rows
+
+    parsed = parse_ops.parsed_rows(_classified_dump(spark, sf_dir))
+    rows = parsed.withColumn("catalog_file", _catalog_file())
+    per_file = keep_last(rows, ["catalog_file", "id"], ["source_file", "source_offset", "source_seq"])
+    path = staging_path(spark, "catalogs")
+    write_catalog_rows(per_file, path)
+    return path
+
+
+@register(
+    "reduce_by_subject",
+    with_views(
+        "SELECT catalog_file, id, coalesce(title, '') AS title, coalesce(duration, '') AS duration,"
+        " split_part(regexp_replace(regexp_replace(replace(catalog_file, '_VideosObject.json', ''), '^.*/', ''), '^_', '@'), '_', 1)"
+        " AS subject_name FROM (SELECT *, row_number() OVER (PARTITION BY catalog_file, id ORDER BY entry_pos DESC) AS _rn"
+        f" FROM (SELECT *, {_CATALOG_FILE_SQL} AS catalog_file FROM videos WHERE entry_pos % 13 <> 5))"
+        f" WHERE _rn = 1 AND ({_literal_sql(CATALOG_TERMS)})",
+        "videos",
+    ),
+)
+def q_reduce_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 -> C4: catalogs written and read back, reduced by literal terms, with subject."""
+    from reelcat.sources.files import read_catalog_rows
+
+    cat = read_catalog_rows(spark, _staged_catalogs(spark, sf_dir))
+    red = manifest_ops.reduce_catalog_rows(cat, CATALOG_TERMS)
+    return red.select("catalog_file", "id", "title", "duration", "subject_name")
+
+
+# ------------------------------------------------------------------ C5: work list
+
+_PLAN_OUT = ["id", "title", "subject_name"]
+_HELD_SQL = ("SELECT regexp_replace(filename, '^([.]*[^.].*)[.][^.]*$', '\\1') AS file_id FROM inventory"
+             " WHERE quality_dir = 'HighQuality' AND suffix(filename, '.mp4')")
+_J1_SQL = f"SELECT * FROM manifest m WHERE NOT EXISTS (SELECT 1 FROM ({_HELD_SQL}) h WHERE h.file_id = m.id)"
+_STATUS_SQL = (
+    "SELECT m.*, coalesce(l.is_link_found, TRUE) AS is_link_found FROM {src} m LEFT JOIN"
+    " (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_name, video_id, video_title ORDER BY ledger_pos)"
+    " AS _r FROM link_status) WHERE _r = 1) l"
+    " ON l.subject_name = m.subject_name AND l.video_id = m.id AND l.video_title = m.title"
+)
+_J3_SQL = (
+    "SELECT * FROM {src} m WHERE NOT EXISTS (SELECT 1 FROM inventory i WHERE i.quality_dir IS NULL"
+    " AND suffix(i.filename, '.mp4') AND i.subject_name = m.subject_name"
+    " AND (contains(i.filename, m.id) OR contains(i.filename, m.title)))"
+)
+
+
+@register("anti_held", with_views("SELECT id, title, subject_name FROM (" + _J1_SQL + ")",
+                                  "videos", "inventory", extra=_manifest_ctes()))
+def q_anti_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest minus media already held (by id, any subject; null ids kept)."""
+    return planning.anti_held(_manifest(spark, sf_dir), derived.inventory(spark, sf_dir)).select(*_PLAN_OUT)
+
+
+@register("status_lookup", with_views("SELECT id, title, subject_name, is_link_found FROM ("
+                                      + _STATUS_SQL.format(src="manifest") + ")",
+                                      "videos", "link_status", extra=_manifest_ctes()))
+def q_status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger status by (subject, id, title), first ledger row, missing = found."""
+    return planning.status_lookup(_manifest(spark, sf_dir), derived.link_status(spark, sf_dir)).select(
+        *_PLAN_OUT, "is_link_found")
+
+
+@register("skip_substring", with_views("SELECT id, title, subject_name FROM (" + _J3_SQL.format(src="manifest") + ")",
+                                       "videos", "inventory", extra=_manifest_ctes()))
+def q_skip_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop videos whose id or title is inside a file name of their subject."""
+    return planning.skip_substring(_manifest(spark, sf_dir), derived.inventory(spark, sf_dir)).select(*_PLAN_OUT)
+
+
+_PLAN_SQL = with_views(
+    "SELECT id, title, subject_name, duration FROM ("
+    + _J3_SQL.format(src="(SELECT * FROM (" + _STATUS_SQL.format(src="(" + _J1_SQL + ")") + ") WHERE is_link_found)")
+    + ")",
+    "videos", "inventory", "link_status", extra=_manifest_ctes(),
+)
+
+
+@register("download_plan", _PLAN_SQL)
+def q_download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest -> J1 -> J2 -> F11 -> J3: the videos still to fetch."""
+    plan = planning.download_plan(_manifest(spark, sf_dir), derived.inventory(spark, sf_dir),
+                                  derived.link_status(spark, sf_dir))
+    return plan.select(*_PLAN_OUT, "duration")
+
+
+_DECIMAL_SQL = "'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
+
+
+@register(
+    "duration_totals",
+    with_views(
+        "SELECT subject_name, sum(CASE WHEN regexp_matches(trim(coalesce(duration, '0')), " + _DECIMAL_SQL + ")"
+        " THEN CAST(trim(coalesce(duration, '0')) AS DOUBLE) END) AS duration_total, count(*) AS n_videos"
+        " FROM manifest GROUP BY ROLLUP (subject_name)",
+        "videos", extra=_manifest_ctes(),
+    ),
+)
+def q_duration_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 + P16: duration goal per subject and overall (null subject = total)."""
+    return planning.duration_totals(_manifest(spark, sf_dir))
+
+
+@register("first_subjects", with_views("SELECT DISTINCT subject_name FROM manifest WHERE subject_name IS NOT NULL"
+                                       " ORDER BY subject_name LIMIT 5", "videos", extra=_manifest_ctes()))
+def q_first_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + A6: the first five subjects by name."""
+    return planning.first_subjects(_manifest(spark, sf_dir), 5)
+
+
+# ------------------------------------------------------------------ C6: ledger
+
+_LEDGER_OUT = ["subject_name", "video_id", "video_title", "is_link_found", "ledger_pos"]
+
+
+@register(
+    "ledger_upsert",
+    with_views(
+        """SELECT o.subject_name, o.video_id,
+ CASE WHEN n.video_id IS NOT NULL THEN n.t ELSE o.video_title END AS video_title,
+ CASE WHEN n.video_id IS NOT NULL THEN n.f ELSE o.is_link_found END AS is_link_found, o.ledger_pos
+FROM link_status o LEFT JOIN latest n ON n.subject_name = o.subject_name AND n.video_id = o.video_id
+UNION ALL
+SELECT n.subject_name, n.video_id, n.t, n.f, n.p FROM latest n
+WHERE NOT EXISTS (SELECT 1 FROM link_status o WHERE o.subject_name = n.subject_name AND o.video_id = n.video_id)""",
+        "videos", "link_status", "new_status",
+        extra={"latest": "SELECT subject_name, video_id, arg_max(video_title, ledger_pos) AS t,"
+                         " arg_max(is_link_found, ledger_pos) AS f, min(ledger_pos) AS p FROM new_status GROUP BY 1, 2"},
+    ),
+)
+def q_ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + U1: apply a status batch to the ledger (update by key, else append)."""
+    return ledger_ops.upsert_ledger(derived.link_status(spark, sf_dir), derived.new_status(spark, sf_dir)).select(*_LEDGER_OUT)
+
+
+@register("attempt_outcome", with_views("SELECT video_id, bool_or(success) AS is_downloaded, count(*) AS n_attempts"
+                                        " FROM attempts GROUP BY video_id", "attempts"))
+def q_attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A video is downloaded when any attempt succeeded."""
+    return ledger_ops.attempt_outcome(derived.attempts(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ C7: media
+
+_LATEST_SQL = ("SELECT subject_name, quality_dir, filename AS latest_file, mtime_pos AS latest_mtime FROM"
+               " (SELECT *, row_number() OVER (PARTITION BY subject_name, quality_dir ORDER BY mtime_pos DESC, filename DESC)"
+               " AS _r FROM inventory WHERE suffix(lower(filename), '.mp4')) WHERE _r = 1")
+
+
+@register("latest_media", with_views(_LATEST_SQL, "videos", "inventory"))
+def q_latest_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest media file per folder."""
+    return media_ops.latest_media(derived.inventory(spark, sf_dir))
+
+
+@register(
+    "rename_plan",
+    with_views(
+        "SELECT l.subject_name, l.latest_file AS from_name, c.id || '.mp4' AS to_name, 'newest' AS rule"
+        " FROM latest l JOIN cur c ON c.subject_name = l.subject_name"
+        " WHERE l.quality_dir IS NULL AND l.latest_file <> c.title",
+        "videos", "inventory",
+        extra={**_manifest_ctes(), "latest": _LATEST_SQL,
+               "cur": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_name ORDER BY entry_pos DESC)"
+                      " AS _r FROM manifest) WHERE _r = 1"},
+    ),
+)
+def q_rename_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each subject's newest flat file is renamed to the current video's ``{id}.mp4``."""
+    inv = derived.inventory(spark, sf_dir)
+    latest = media_ops.latest_media(inv).where(F.col("quality_dir").isNull())
+    man = manifest_ops.manifest_rows(derived.videos(spark, sf_dir).withColumn("_pos", F.col("entry_pos")), order=("entry_pos",))
+    vids = derived.videos(spark, sf_dir)
+    cur_src = dedup_videos(vids).select("entry_pos", "id", "title", subject_from_channel("youtuber").alias("subject_name"))
+    current = keep_last(cur_src, "subject_name", "entry_pos").select("subject_name", "id", "title")
+    del man
+    return media_ops.rename_plan(latest, current).select("subject_name", "from_name", "to_name", "rule")
+
+
+# ------------------------------------------------------------------ C8: pages
+
+_SPEC = page_ops.PageSpec()
+_NAV = r"(?is)<nav(?:\s[^>]*)?>(.*?)</nav\s*>"
+_HREF = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+_LI = r"(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>"
+_TEXT_A = r"(?is)<a\s[^>]*>[^<]*the[^<]*</a>"
+_TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+
+
+def _href_of(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, {_sql(_HREF)}) THEN regexp_extract({x}, {_sql(_HREF)}, 1) END"
+
+
+def _inner(x: str, pat: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, {_sql(pat)}) THEN regexp_extract({x}, {_sql(pat)}, 1) END"
+
+
+@register(
+    "page_links",
+    "SELECT page_id, " + _href_of("nav") + " AS container_link,"
+    " CASE WHEN len(regexp_extract_all(nav, " + _sql(r"(?is)<li(?:\s[^>]*)?>") + ")) >= 2 THEN "
+    + _href_of(_inner("nav", _LI)) + " END AS group_link, "
+    "CASE WHEN regexp_matches(html, " + _sql(_TEXT_A) + ") THEN "
+    + _href_of("regexp_extract(html, " + _sql(_TEXT_A) + ", 0)") + " END AS text_link, "
+    + _inner("html", _TITLE) + " AS page_title FROM (SELECT *, " + _inner("html", _NAV) + " AS nav FROM pages)",
+)
+def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 (first link in a container), X2 (first link of the first group), X3 (link by text)."""
+    from reelcat.sources.tables import table
+
+    return page_ops.page_links(table(spark, sf_dir, "pages"), _SPEC)
+
+
+@register(
+    "page_markers",
+    "SELECT page_id, f AS is_failure, NOT f AS is_link_found, "
+    "regexp_matches(html, " + _sql(r'(?is)<html\s[^>]*lang\s*=\s*"[^"]*es[^"]*"[^>]*>') + ") AS has_lang_marker, "
+    "coalesce(contains(url, 'utm_source='), FALSE) AS has_notice FROM (SELECT *, regexp_matches(html, "
+    + _sql(r'(?is)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the') + ") AS f FROM pages)",
+)
+def q_page_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4/F10 (failure block), F12 (notice text), language marker."""
+    from reelcat.sources.tables import table
+
+    return page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
+
+
+_LABEL = r"/([0-9]+)(?:[.]html)?/?(?:[?#].*)?$"
+
+
+@register(
+    "page_threshold",
+    "SELECT page_id, v AS label_value, coalesce(v >= 400, FALSE) AS above_threshold FROM (SELECT page_id, "
+    "CASE WHEN regexp_matches(url, " + _sql(_LABEL) + ") AND regexp_matches(regexp_extract(url, " + _sql(_LABEL)
+    + ", 1), " + _DECIMAL_SQL + ") THEN CAST(regexp_extract(url, " + _sql(_LABEL) + ", 1) AS DOUBLE) END AS v FROM pages)",
+)
+def q_page_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 + P17 + F9: numeric label read from the page, compared with 400."""
+    from reelcat.sources.tables import table
+
+    return page_ops.page_threshold(table(spark, sf_dir, "pages"), _SPEC)
+
+
+@register(
+    "url_filename",
+    "SELECT page_id, regexp_extract(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '([^/]*)$', 1) AS url_filename FROM pages",
+)
+def q_url_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file name a URL downloads to."""
+    from reelcat.sources.tables import table
+
+    return page_ops.page_url_filename(table(spark, sf_dir, "pages"))
+
+
+# ------------------------------------------------------------------ P5-P7, P12, P15: names
+
+
+@register(
+    "file_names",
+    with_views(
+        "SELECT DISTINCT youtuber, 'list_' || youtuber || '_Videos.txt' AS dump_name,"
+        " regexp_extract('list_' || youtuber || '_Videos.txt', '^list_(.*?)_', 1) AS channel,"
+        " '_' || youtuber || '_Videos_VideosObject.json' AS catalog_name,"
+        " '@' || youtuber AS subject_name,"
+        " '_' || youtuber || '_Videos_VideosObject_matching_Download_ready' AS manifest_name"
+        " FROM videos WHERE youtuber IS NOT NULL",
+        "videos",
+    ),
+)
+def q_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 (channel from a dump name), P6 (catalog name), P7 (subject), P12 (manifest name)."""
+    from reelcat.functions import text as T
+
+    ch = derived.videos(spark, sf_dir).where(F.col("youtuber").isNotNull()).select("youtuber").distinct()
+    dump = F.concat(F.lit("list_"), F.col("youtuber"), F.lit("_Videos.txt"))
+    cat = T.catalog_name_from_dump(dump)
+    return ch.select(
+        "youtuber", dump.alias("dump_name"), T.channel_from_dump_name(dump).alias("channel"),
+        cat.alias("catalog_name"), T.subject_from_catalog_name(cat).alias("subject_name"),
+        T.manifest_name_from_input(cat).alias("manifest_name"),
+    )

@@ -14,11 +14,17 @@ def dump_lines(videos: DataFrame) -> DataFrame:
     return videos.select(F.concat(F.lit("\n"), render_record(*RECORD_FIELDS)).alias("value"))
 
 
-def write_dump(lines: DataFrame, path: str, order_by: list | None = None, mode: str = "errorifexists") -> None:
+def write_dump(lines: DataFrame, path: str, order_by: list | None = None, mode: str = "errorifexists",
+               partition_by: list[str] | None = None) -> None:
     """Write ``value`` rows, each followed by the terminator.
 
     With ``order_by`` the rows are range-partitioned and sorted first, so the part
-    files, read in name order, hold the records in that order.
+    files, read in name order, hold the records in that order. ``partition_by``
+    puts each value (e.g. the channel) in its own folder.
     """
-    out = lines.orderBy(*order_by) if order_by else lines
-    out.select("value").write.mode(mode).option("lineSep", RECORD_TERMINATOR).text(path)
+    parts = list(partition_by or [])
+    out = lines.orderBy(*parts, *order_by) if order_by else lines
+    w = out.select(*parts, "value").write.mode(mode).option("lineSep", RECORD_TERMINATOR)
+    if parts:
+        w = w.partitionBy(*parts)
+    w.text(path)

@@ -163,20 +163,21 @@ def dump_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     pos = F.col("entry_pos")
     junk = F.when(_mod(pos, 13) == 5, F.lit("junk ")).otherwise(F.lit(""))
     records = v.select(
-        pos.alias("k1"), F.lit(0).alias("k2"),
+        "youtuber", pos.alias("k1"), F.lit(0).alias("k2"),
         F.concat(F.lit("\n"), junk, render_record(*RECORD_FIELDS)).alias("value"),
     )
-    blanks = v.where(_mod(pos, 50) == 7).select(pos.alias("k1"), F.lit(1).alias("k2"), F.lit("\n  ").alias("value"))
+    blanks = v.where(_mod(pos, 50) == 7).select(
+        "youtuber", pos.alias("k1"), F.lit(1).alias("k2"), F.lit("\n  ").alias("value"))
     return records.unionByName(blanks)
 
 
 def staged_dump(spark: SparkSession, sf_dir: str) -> str:
-    """Write the dump fixture under the shared staging folder; return its path."""
+    """Write the dump fixture under the shared staging folder, one folder per channel."""
     from reelcat.session import staging_path
     from reelcat.sinks.dump import write_dump
 
     path = staging_path(spark, "dump")
-    write_dump(dump_fixture(spark, sf_dir), path, order_by=["k1", "k2"])
+    write_dump(dump_fixture(spark, sf_dir), path, order_by=["k1", "k2"], partition_by=["youtuber"])
     return path
 
 

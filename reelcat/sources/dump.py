@@ -27,8 +27,10 @@ def read_dump(spark: SparkSession, path: str | list[str], glob: str | None = Non
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.text(path)
+    partition_cols = [c for c in raw.columns if c != "value"]  # from key=value folders, if any
     return raw.select(
         F.col("value"),
+        *partition_cols,
         F.col("_metadata.file_name").alias("source_name"),
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_offset"),
