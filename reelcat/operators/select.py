@@ -60,19 +60,21 @@ ANCHOR = 8
 
 def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH_LITERAL,
                          term_col: str = "term", title_col: str = "title",
-                         max_broadcast_terms: int = DEFAULT_BROADCAST_TERMS, anchor: int = ANCHOR) -> DataFrame:
+                         max_broadcast_terms: int = DEFAULT_BROADCAST_TERMS, anchor: int = ANCHOR,
+                         key_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows whose title matches any term of a term table (left semi join).
 
     The term table's size is checked first: up to ``max_broadcast_terms`` rows
     it is broadcast and every title is tested against it. Beyond that, an exact
     gram index is used (see ``_semi_join_by_grams``), so the cost follows the
-    candidate pairs instead of titles x terms.
+    candidate pairs instead of titles x terms. ``key_cols``, when the rows have
+    a unique key, spares staging the rows to give them a stable id.
     """
     t = terms.select(F.col(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     n = t.limit(max_broadcast_terms + 1).count()
     if n <= max_broadcast_terms:
         return videos.join(F.broadcast(t), term_matches(F.col(title_col), F.col("_term"), match), "left_semi")
-    return _semi_join_by_grams(videos, t, match, title_col, anchor)
+    return _semi_join_by_grams(videos, t, match, title_col, anchor, key_cols)
 
 
 _LIKE_LITERAL_RUN = re.compile(r"\\.|[%_]")
@@ -94,40 +96,40 @@ def _literal_anchor(term: Column, match: str) -> Column:
     return longest
 
 
-def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int) -> DataFrame:
+def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int,
+                        key_cols: Sequence[str] | None = None) -> DataFrame:
     """Exact semi join without a nested loop.
 
     Each term gets an anchor (a literal piece it forces into the title). Anchors
     of ``anchor`` chars or more are keyed by their first ``anchor`` chars;
-    shorter ones by themselves. Titles are cut into grams of the lengths in use,
-    equi-joined with the anchors, and each candidate pair is verified with the
-    full predicate. Terms with an empty anchor (only wildcards) match every title
-    of at least ``n`` chars, where ``n`` counts their ``_``; that needs one
-    number, the least such ``n``.
+    shorter ones by themselves. Titles are cut into grams of the lengths in use
+    (one linear regex pass per length), equi-joined with the anchors, and each
+    candidate pair is verified with the full predicate. Terms with an empty
+    anchor (only wildcards) match every title of at least ``n`` chars, where
+    ``n`` counts their ``_``; that needs one number, the least such ``n``.
+    Without a unique key the rows get an id and are staged once, so the id is
+    stable across the joins.
     """
-    staged = videos.withColumn("_rid", F.monotonically_increasing_id()).checkpoint()
-    lt = F.lower(F.col(title_col))
-    tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
-    tm = tm.withColumn("_alen", F.least(F.length("_anc"), F.lit(anchor)))
-    keyed = tm.where(F.col("_alen") > 0).select("_term", "_alen", F.substring("_anc", 1, anchor).alias("_gram"))
-    lengths = sorted({r[0] for r in keyed.select("_alen").distinct().collect()})  # at most `anchor` values
+    from reelcat.operators.substring import tagged_grams
+    from reelcat.session import stage_table
 
-    grams = staged.select(
-        "_rid", lt.alias("_lt"),
-        F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")).alias("_alen"),
-    )
-    grams = grams.select(
-        "_rid", "_alen",
-        F.explode(
-            F.when(F.length("_lt") >= F.col("_alen"),
-                   F.transform(F.sequence(F.lit(1), F.length("_lt") - F.col("_alen") + 1),
-                               lambda i: F.substring(F.col("_lt"), i, F.col("_alen"))))
-            .otherwise(F.array().cast("array<string>"))
-        ).alias("_gram"),
-    ).distinct()
-    cand = grams.join(keyed, ["_alen", "_gram"]).select("_rid", "_term")
-    titles = staged.select("_rid", F.col(title_col).alias("_title"))
-    verified = cand.join(titles, "_rid").where(term_matches(F.col("_title"), F.col("_term"), match)).select("_rid")
+    if key_cols:
+        staged = videos.withColumn("_rid", F.struct(*[F.col(c) for c in key_cols]))
+    else:
+        staged = stage_table(videos.withColumn("_rid", F.monotonically_increasing_id()), "term-join-rows")
+    tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
+    tm = stage_table(tm.withColumn("_alen", F.least(F.length("_anc"), F.lit(anchor))), "term-join-terms")
+    keyed = tm.where(F.col("_alen") > 0).select(
+        "_term", F.col("_alen").alias("_glen"), F.substring("_anc", 1, anchor).alias("_gram"))
+    lengths = sorted(r[0] for r in keyed.select("_glen").distinct().collect())  # at most `anchor` values
+
+    verified = None
+    if lengths:
+        grams = staged.select("_rid", F.explode(tagged_grams(F.lower(F.col(title_col)), lengths)).alias("_g")).select(
+            "_rid", F.col("_g.glen").alias("_glen"), F.col("_g.gram").alias("_gram"))
+        cand = grams.join(keyed, ["_glen", "_gram"]).select("_rid", "_term")
+        titles = staged.select("_rid", F.col(title_col).alias("_title"))
+        verified = cand.join(titles, "_rid").where(term_matches(F.col("_title"), F.col("_term"), match)).select("_rid")
 
     # one number: the least count of `_` among wildcard-only terms (null if none)
     min_len = tm.where(F.col("_alen") == 0).agg(
@@ -135,6 +137,7 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     ).first()[0]
     if min_len is not None:
         wild_hits = staged.where(F.length(title_col) >= F.lit(int(min_len))).select("_rid")
-        verified = verified.unionByName(wild_hits)
-    hits = verified.distinct()
-    return staged.join(hits, "_rid", "left_semi").drop("_rid")
+        verified = wild_hits if verified is None else verified.unionByName(wild_hits)
+    if verified is None:
+        return staged.limit(0).drop("_rid")
+    return staged.join(verified.distinct(), "_rid", "left_semi").drop("_rid")

@@ -5,37 +5,45 @@ row's id or title as a substring. Testing every (row, file) pair of a subject
 is quadratic in the subject's size, and a subject may hold a third of all rows.
 Instead each needle is keyed by a short anchor and each file name is cut into
 grams of the anchor lengths in use, so the join only meets pairs that share an
-anchor at some position; every such candidate is then verified exactly.
+anchor; every such candidate is then verified exactly.
 
 * needles of ``anchor`` chars or more: key = their first ``anchor`` chars,
-  verified by comparing the file name's substring at the gram's position;
+  each candidate (needle, file) verified with ``contains``;
 * shorter needles: key = the whole needle, matched against file grams of the
   same length (exact, no verification needed);
 * an empty needle is contained in every name: it matches when the subject
   holds at least one file.
+
+All grams of a name are cut in one linear regex pass (a lookahead at every
+code point), not by repeated ``substring`` calls, which re-walk the string.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelcat.session import stage_table
+
 DEFAULT_ANCHOR = 12
 
 
-def _grams(files: DataFrame, subject: str, name: str, lengths: list[int], with_pos: bool) -> DataFrame:
-    """(subject, gram length, gram[, position, name]) for every gram of each name."""
-    arr = F.array(*[F.lit(n) for n in lengths])
-    g = files.select(F.col(subject).alias("_subj"), F.col(name).alias("_name"), F.explode(arr).alias("_glen"))
-    g = g.where(F.length("_name") >= F.col("_glen"))
-    g = g.select("_subj", "_name", "_glen",
-                 F.explode(F.sequence(F.lit(1), F.length("_name") - F.col("_glen") + 1)).alias("_pos"))
-    g = g.withColumn("_gram", F.substring(F.col("_name"), F.col("_pos"), F.col("_glen")))
-    if with_pos:
-        return g.select("_subj", "_glen", "_gram", "_pos", "_name")
-    return g.select("_subj", "_glen", "_gram").distinct()
+def grams_of(text: Column, length: int) -> Column:
+    """All overlapping ``length``-char grams of ``text`` (code points), in order."""
+    # start only at code-point boundaries (never between the halves of a surrogate pair)
+    pattern = f"(?s)(?<![\\uD800-\\uDBFF])(?=(.{{{length}}}))"
+    return F.regexp_extract_all(text, F.lit(pattern), 1)
+
+
+def tagged_grams(text: Column, lengths: Sequence[int]) -> Column:
+    """Array of struct(glen, gram) over several gram lengths, one pass per length."""
+    def tag(n: int):
+        return lambda g: F.struct(F.lit(n).alias("glen"), g.alias("gram"))
+
+    arrays = [F.transform(grams_of(text, n), tag(n)) for n in lengths]
+    return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
 
 
 def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: Sequence[str],
@@ -46,33 +54,33 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
 
     ``needles`` has ``key_cols``, ``subject_col`` and ``needle_col`` (null needles
     never match). ``files`` has ``file_subject_col`` and ``file_name_col``.
+    Both inputs are staged once (written table), since each feeds several joins.
     """
     keys = list(key_cols)
-    nd = needles.where(F.col(needle_col).isNotNull() & F.col(subject_col).isNotNull()).select(
-        *keys, F.col(subject_col).alias("_subj"), F.col(needle_col).alias("_needle")
-    ).withColumn("_nlen", F.length("_needle"))
-    fl = files.where(F.col(file_name_col).isNotNull()).select(
-        F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")
-    )
-
-    # short needles (1..anchor-1 chars): exact gram equality, lengths actually used only
-    short = nd.where((F.col("_nlen") > 0) & (F.col("_nlen") < anchor))
-    short_lengths = sorted({r[0] for r in short.select("_nlen").distinct().collect()})  # < anchor values
+    nd = stage_table(
+        needles.where(F.col(needle_col).isNotNull() & F.col(subject_col).isNotNull()).select(
+            *keys, F.col(subject_col).alias("_subj"), F.col(needle_col).alias("_needle"),
+            F.length(F.col(needle_col)).alias("_nlen")),
+        "needles")
+    fl = stage_table(
+        files.where(F.col(file_name_col).isNotNull() & F.col(file_subject_col).isNotNull())
+        .select(F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")).distinct(),
+        "files")
+
     parts = []
+    # short needles (1..anchor-1 chars): exact gram equality, only the lengths in use
+    short = nd.where((F.col("_nlen") > 0) & (F.col("_nlen") < anchor))
+    short_lengths = sorted(r[0] for r in short.select("_nlen").distinct().collect())  # fewer than `anchor`
     if short_lengths:
-        fg = _grams(fl, "_subj", "_fname", short_lengths, with_pos=False)
-        parts.append(
-            short.join(fg, (short["_subj"] == fg["_subj"]) & (short["_nlen"] == fg["_glen"])
-                       & (short["_needle"] == fg["_gram"]), "left_semi").select(*keys)
-        )
+        fg = fl.select("_subj", F.explode(tagged_grams(F.col("_fname"), short_lengths)).alias("_g")).select(
+            "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")).distinct()
+        parts.append(short.join(fg, ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
 
     # long needles: anchor on the first `anchor` chars, verify the whole needle
     long_ = nd.where(F.col("_nlen") >= anchor).withColumn("_gram", F.substring("_needle", 1, anchor))
-    fg = _grams(fl, "_subj", "_fname", [anchor], with_pos=True)
-    cand = long_.join(fg.drop("_glen"), ["_subj", "_gram"])
-    parts.append(
-        cand.where(F.substring(F.col("_name"), F.col("_pos"), F.col("_nlen")) == F.col("_needle")).select(*keys)
-    )
+    fg = fl.select("_subj", "_fname", F.explode(F.array_distinct(grams_of(F.col("_fname"), anchor))).alias("_gram"))
+    cand = long_.join(fg, ["_subj", "_gram"]).select(*keys, "_needle", "_fname")
+    parts.append(cand.where(F.contains(F.col("_fname"), F.col("_needle"))).select(*keys))
 
     # empty needles: the subject has at least one file
     subjects = fl.select("_subj").distinct()

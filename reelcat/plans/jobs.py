@@ -20,7 +20,7 @@ from reelcat.operators import planning
 from reelcat.operators.dedup import keep_last
 from reelcat.operators.pages import PageSpec, extract_page_fields
 from reelcat.operators.parse import classify_entries, load_metrics, parsed_rows, rejected_rows
-from reelcat.session import staging_path
+from reelcat.session import stage_table
 from reelcat.sinks import tables as sinks
 from reelcat.sources.dump import ORDER_COLUMNS, read_dump
 from reelcat.sources.files import read_catalog_rows
@@ -28,9 +28,7 @@ from reelcat.sources.files import read_catalog_rows
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared staging folder and read it back (cuts lineage, survives executor loss)."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return stage_table(df, name)
 
 
 def ingest_dump(spark: SparkSession, dump_path: str, videos_path: str, rejects_path: str | None = None,

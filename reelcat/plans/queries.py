@@ -225,7 +225,7 @@ def q_select_terms_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_select_terms_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6 beyond the broadcast limit: the exact gram-index join (forced here)."""
     return select_by_term_table(derived.videos(spark, sf_dir), _bench_terms(spark, sf_dir),
-                                max_broadcast_terms=0).select(*_SEL_OUT)
+                                max_broadcast_terms=0, key_cols=["entry_pos"]).select(*_SEL_OUT)
 
 
 # ------------------------------------------------------------------ C3: manifests
@@ -279,17 +279,40 @@ def _catalog_file() -> "F.Column":
             .otherwise(F.concat("youtuber", F.lit("_Shorts_VideosObject.json"))))
 
 
+def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 core: dump -> parse -> one row per (catalog, id), the last entry wins."""
+    parsed = parse_ops.parsed_rows(_classified_dump(spark, sf_dir))
+    rows = parsed.withColumn("catalog_file", _catalog_file())
+    return keep_last(rows, ["catalog_file", "id"], ["source_file", "source_offset", "source_seq"])
+
+
+def _write_catalogs(spark: SparkSession, sf_dir: str, path: str) -> None:
+    from reelcat.sinks.tables import write_catalog_rows
+
+    write_catalog_rows(_catalog_rows(spark, sf_dir), path)
+
+
 def _staged_catalogs(spark: SparkSession, sf_dir: str) -> str:
-    """Dump -> parse -> one row per (catalog, id), last entry wins -> K2 row form."""
+    """Catalogs built once per application (C4's input)."""
+    return derived.staged_once(spark, "catalogs", sf_dir, lambda path: _write_catalogs(spark, sf_dir, path))
+
+
+_CATALOG_ROWS_SQL = (
+    "SELECT catalog_file, id, coalesce(title, '') AS title, coalesce(duration, '') AS duration FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY catalog_file, id ORDER BY entry_pos DESC) AS _rn"
+    f" FROM (SELECT *, {_CATALOG_FILE_SQL} AS catalog_file FROM videos WHERE entry_pos % 13 <> 5)) WHERE _rn = 1"
+)
+
+
+@register("catalog_build", with_views(_CATALOG_ROWS_SQL, "videos"))
+def q_catalog_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse a dump, keep the last video per (catalog, id), write the catalogs (K2), read them back."""
     from reelcat.session import staging_path
-    from reelcat.sinks.tables import write_catalog_rows
+    from reelcat.sources.files import read_catalog_rows
 
-    parsed = parse_ops.parsed_rows(_classified_dump(spark, sf_dir))
-    rows = parsed.withColumn("catalog_file", _catalog_file())
-    per_file = keep_last(rows, ["catalog_file", "id"], ["source_file", "source_offset", "source_seq"])
-    path = staging_path(spark, "catalogs")
-    write_catalog_rows(per_file, path)
-    return path
+    path = staging_path(spark, "catalog-build")
+    _write_catalogs(spark, sf_dir, path)
+    return read_catalog_rows(spark, path).select("catalog_file", "id", "title", "duration")
 
 
 @register(
@@ -304,7 +327,7 @@ def _staged_catalogs(spark: SparkSession, sf_dir: str) -> str:
     ),
 )
 def q_reduce_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C2 -> C4: catalogs written and read back, reduced by literal terms, with subject."""
+    """C4: built catalogs read back (S4), reduced by literal terms, with subject."""
     from reelcat.sources.files import read_catalog_rows
 
     cat = read_catalog_rows(spark, _staged_catalogs(spark, sf_dir))

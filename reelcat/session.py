@@ -23,6 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -55,3 +56,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/reelcat-staging/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as Parquet under the shared staging folder and read it back.
+
+    Cuts lineage (a lost executor recomputes nothing upstream) and lets several
+    consumers share one computation, with column pruning on the reads.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -171,16 +171,40 @@ def dump_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.unionByName(blanks)
 
 
-def staged_dump(spark: SparkSession, sf_dir: str) -> str:
-    """Write the dump fixture under the shared staging folder, one folder per channel."""
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def staged_once(spark: SparkSession, kind: str, sf_dir: str, build) -> str:
+    """Path of a derived input written once per application and ``sf_dir``.
+
+    Derived inputs (a rendered dump, built catalogs) are deterministic functions
+    of the given tables; ``build(path)`` writes one under the shared staging folder.
+    """
     from reelcat.session import staging_path
-    from reelcat.sinks.dump import write_dump
 
-    path = staging_path(spark, "dump")
-    write_dump(dump_fixture(spark, sf_dir), path, order_by=["k1", "k2"], partition_by=["youtuber"])
+    key = (spark.sparkContext.applicationId, kind, sf_dir)
+    path = _STAGED.get(key)
+    if path is None or not _exists(spark, path):
+        path = staging_path(spark, kind)
+        build(path)
+        _STAGED[key] = path
     return path
 
 
+def staged_dump(spark: SparkSession, sf_dir: str) -> str:
+    """The dump fixture under the shared staging folder, one folder per channel."""
+    from reelcat.sinks.dump import write_dump
+
+    return staged_once(spark, "dump", sf_dir, lambda path: write_dump(
+        dump_fixture(spark, sf_dir), path, order_by=["k1", "k2"], partition_by=["youtuber"]))
+
+
 DUMP_RENDER_SQL = (
     "'| ' || concat_ws(' | ', coalesce(upload_date, ''), coalesce(duration, ''), coalesce(view_count, ''),"
     " coalesce(like_count, ''), coalesce(title, ''), coalesce(id, ''), coalesce(webpage_url, ''),"
