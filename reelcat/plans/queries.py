@@ -588,3 +588,81 @@ def q_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         cat.alias("catalog_name"), T.subject_from_catalog_name(cat).alias("subject_name"),
         T.manifest_name_from_input(cat).alias("manifest_name"),
     )
+
+
+# ------------------------------------------------------------------ A7, A10, C6, C8
+
+
+@register("ledger_membership", with_views(
+    "SELECT id, title, subject_name FROM manifest m WHERE EXISTS (SELECT 1 FROM link_status l"
+    " WHERE l.subject_name = m.subject_name AND l.video_id = m.id)", "videos", "link_status", extra=_manifest_ctes()))
+def q_ledger_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest videos that already have a ledger row (left semi join on the write key)."""
+    man = _manifest(spark, sf_dir).withColumnRenamed("id", "video_id")
+    return ledger_ops.in_ledger(man, derived.link_status(spark, sf_dir)).select(
+        F.col("video_id").alias("id"), "title", "subject_name")
+
+
+@register("held_by_id", with_views(
+    "SELECT file_id, subject_name FROM (SELECT regexp_replace(filename, '^([.]*[^.].*)[.][^.]*$', '\\1') AS file_id,"
+    " subject_name, row_number() OVER (PARTITION BY regexp_replace(filename, '^([.]*[^.].*)[.][^.]*$', '\\1')"
+    " ORDER BY subject_name || '/' || coalesce(quality_dir || '/', '') || filename DESC) AS _r"
+    " FROM inventory WHERE quality_dir = 'HighQuality') WHERE _r = 1", "videos", "inventory"))
+def q_held_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: held file id -> subject; the last listed file (by path) wins."""
+    inv = derived.inventory(spark, sf_dir).where(F.col("quality_dir") == F.lit("HighQuality"))
+    inv = inv.withColumn("path", F.concat_ws("/", "subject_name", "quality_dir", "filename"))
+    return media_ops.held_by_id(inv, order="path")
+
+
+_PAGE_FAIL = r'(?is)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the'
+
+
+@register(
+    "record_status",
+    with_views(
+        """SELECT o.subject_name, o.video_id,
+ CASE WHEN n.video_id IS NOT NULL THEN n.t ELSE o.video_title END AS video_title,
+ CASE WHEN n.video_id IS NOT NULL THEN n.f ELSE o.is_link_found END AS is_link_found, o.ledger_pos
+FROM link_status o LEFT JOIN latest n ON n.subject_name = o.subject_name AND n.video_id = o.video_id
+UNION ALL
+SELECT n.subject_name, n.video_id, n.t, n.f, n.p FROM latest n
+WHERE NOT EXISTS (SELECT 1 FROM link_status o WHERE o.subject_name = n.subject_name AND o.video_id = n.video_id)""",
+        "videos", "link_status",
+        extra={
+            "batch": "SELECT concat('@', coalesce(v.youtuber, 'None')) AS subject_name, v.id AS video_id,"
+                     " v.title AS video_title, NOT regexp_matches(p.html, " + _sql(_PAGE_FAIL) + ") AS is_link_found,"
+                     " 200000000 + p.page_id AS ledger_pos FROM pages p JOIN videos v ON v.entry_pos = p.page_id",
+            "latest": "SELECT subject_name, video_id, arg_max(video_title, ledger_pos) AS t,"
+                      " arg_max(is_link_found, ledger_pos) AS f, min(ledger_pos) AS p FROM batch GROUP BY 1, 2",
+        },
+    ),
+)
+def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page failure markers (X4/F10) -> status batch -> ledger upsert.
+
+    Page ``k`` is the result page seen while fetching the video of entry ``k``.
+    """
+    from reelcat.sources.tables import table
+
+    pages = page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
+    v = derived.videos(spark, sf_dir)
+    seen = pages.join(v, pages["page_id"] == v["entry_pos"]).select(
+        subject_from_channel("youtuber").alias("subject_name"), F.col("id").alias("video_id"),
+        F.col("title").alias("video_title"), "is_failure", (F.lit(200000000) + F.col("page_id")).alias("ledger_pos"))
+    batch = ledger_ops.status_batch_from_pages(seen)
+    return ledger_ops.upsert_ledger(derived.link_status(spark, sf_dir), batch).select(*_LEDGER_OUT)
+
+
+@register(
+    "page_fields",
+    "SELECT l.page_id, l.container_link, l.group_link, l.text_link, l.page_title, m.is_failure, m.is_link_found,"
+    " m.has_notice, t.label_value, t.above_threshold, u.url_filename FROM (" + ORACLES["page_links"] + ") l"
+    " JOIN (" + ORACLES["page_markers"] + ") m USING (page_id) JOIN (" + ORACLES["page_threshold"] + ") t USING (page_id)"
+    " JOIN (" + ORACLES["url_filename"] + ") u USING (page_id)",
+)
+def q_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page field in one projection (one scan, no shuffle)."""
+    from reelcat.sources.tables import table
+
+    return page_ops.extract_page_fields(table(spark, sf_dir, "pages"), _SPEC)

@@ -44,7 +44,8 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("duration"),
         (F.col("n_chars") * 7).cast("string").alias("view_count"),
         F.when(_mod(doc, 5) == 0, F.lit("")).otherwise(_mod(F.col("n_chars"), 101).cast("string")).alias("like_count"),
-        F.replace(F.split_part(F.col("text"), F.lit("."), F.lit(1)), F.lit("\n"), F.lit(" ")).alias("title"),
+        # text before the first '.', as split_part(text, '.', 1), without splitting the whole text
+        F.replace(F.substring_index(F.col("text"), ".", 1), F.lit("\n"), F.lit(" ")).alias("title"),
         F.concat(F.lit("v"), key).alias("id"),
         F.concat(F.lit("https://media.example.org/watch?v=v"), key).alias("webpage_url"),
         F.when(_mod(doc, 23) == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("description"),
