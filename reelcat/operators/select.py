@@ -55,24 +55,28 @@ def select_videos(videos: DataFrame, channel: str | None = None, terms: Sequence
 # ---------------------------------------------------------------- J6: terms as a table
 
 DEFAULT_BROADCAST_TERMS = 50_000
+DEFAULT_BROADCAST_CHARS = 16 << 20  # total term text broadcast at most
 ANCHOR = 8
 
 
 def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH_LITERAL,
                          term_col: str = "term", title_col: str = "title",
                          max_broadcast_terms: int = DEFAULT_BROADCAST_TERMS, anchor: int = ANCHOR,
-                         key_cols: Sequence[str] | None = None) -> DataFrame:
+                         key_cols: Sequence[str] | None = None,
+                         max_broadcast_chars: int = DEFAULT_BROADCAST_CHARS) -> DataFrame:
     """Rows whose title matches any term of a term table (left semi join).
 
     The term table's size is checked first: up to ``max_broadcast_terms`` rows
-    it is broadcast and every title is tested against it. Beyond that, an exact
+    holding at most ``max_broadcast_chars`` characters in all, it is broadcast
+    and every title is tested against it. Beyond that, an exact
     gram index is used (see ``_semi_join_by_grams``), so the cost follows the
     candidate pairs instead of titles x terms. ``key_cols``, when the rows have
     a unique key, spares staging the rows to give them a stable id.
     """
     t = terms.select(F.col(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
-    n = t.limit(max_broadcast_terms + 1).count()
-    if n <= max_broadcast_terms:
+    head = t.limit(max_broadcast_terms + 1).agg(F.count(F.lit(1)).alias("n"),
+                                                F.coalesce(F.sum(F.length("_term")), F.lit(0)).alias("chars")).first()
+    if head["n"] <= max_broadcast_terms and head["chars"] <= max_broadcast_chars:
         return videos.join(F.broadcast(t), term_matches(F.col(title_col), F.col("_term"), match), "left_semi")
     return _semi_join_by_grams(videos, t, match, title_col, anchor, key_cols)
 
