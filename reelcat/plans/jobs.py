@@ -7,6 +7,7 @@ and never overwrite the path they read.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +34,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def ingest_dump(spark: SparkSession, dump_path: str, videos_path: str, rejects_path: str | None = None,
                 channel: str | None = None, compat: bool = False, glob: str | None = None) -> dict:
-    """Dump -> parse -> ``videos`` (appended, by channel) + rejects; returns the load counters."""
+    """Dump -> parse -> ``videos`` (appended, by channel) + rejects; returns the load counters.
+
+    Appends are not idempotent (as in the source); each run is stamped with an
+    ``ingest_run`` number so ``latest_videos`` can dedup on read, last entry wins.
+    """
+    run = int(time.time() * 1000)
     classified = stage(classify_entries(read_dump(spark, dump_path, glob), compat=compat, channel=channel), "ingest")
-    videos = parsed_rows(classified)
+    videos = parsed_rows(classified).withColumn("ingest_run", F.lit(run))
     sinks.write_videos(videos, videos_path, mode="append")
     if rejects_path:
         rejected_rows(classified).write.mode("append").json(rejects_path)
     return load_metrics(classified).first().asDict()
 
 
+def latest_videos(spark: SparkSession, videos_path: str) -> DataFrame:
+    """A1 on read: one row per id over every ingest run, the last entry wins."""
+    return keep_last(spark.read.parquet(videos_path), "id", ["ingest_run", *ORDER_COLUMNS])
+
+
 def build_catalog(spark: SparkSession, dump_path: str, out_path: str, glob: str | None = None,
                   documents_path: str | None = None) -> None:
     """Dump -> parse -> per catalog (named from the dump file, P6): last video per id (A1).

@@ -11,7 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelcat.functions.text import subject_from_channel
+from reelcat.operators import ledger as ledger_ops
+from reelcat.operators import manifest as manifest_ops
+from reelcat.operators import media as media_ops
+from reelcat.operators import pages as page_ops
 from reelcat.operators import parse as parse_ops
+from reelcat.operators import planning
+from reelcat.operators.dedup import dedup_videos, keep_last, url_index
+from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos
 from reelcat.schemas import RECORD_FIELDS
 from reelcat.sources import derived
 from reelcat.sources.derived import DUMP_RENDER_SQL, with_views
@@ -119,15 +127,6 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_ops.manifest_rows(derived.videos(spark, sf_dir))
 
 
-from reelcat.functions.text import na_fill, subject_from_channel  # noqa: E402
-from reelcat.operators import ledger as ledger_ops  # noqa: E402
-from reelcat.operators import manifest as manifest_ops  # noqa: E402
-from reelcat.operators import media as media_ops  # noqa: E402
-from reelcat.operators import pages as page_ops  # noqa: E402
-from reelcat.operators import planning  # noqa: E402
-from reelcat.operators.dedup import dedup_videos, keep_last, url_index  # noqa: E402
-from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos  # noqa: E402
-from reelcat.schemas import NA_FIELDS  # noqa: E402
 
 # ------------------------------------------------------------------ A1, A2 / J5
 
@@ -478,11 +477,9 @@ def q_rename_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each subject's newest flat file is renamed to the current video's ``{id}.mp4``."""
     inv = derived.inventory(spark, sf_dir)
     latest = media_ops.latest_media(inv).where(F.col("quality_dir").isNull())
-    man = manifest_ops.manifest_rows(derived.videos(spark, sf_dir).withColumn("_pos", F.col("entry_pos")), order=("entry_pos",))
     vids = derived.videos(spark, sf_dir)
     cur_src = dedup_videos(vids).select("entry_pos", "id", "title", subject_from_channel("youtuber").alias("subject_name"))
     current = keep_last(cur_src, "subject_name", "entry_pos").select("subject_name", "id", "title")
-    del man
     return media_ops.rename_plan(latest, current).select("subject_name", "from_name", "to_name", "rule")
 
 

@@ -29,6 +29,19 @@ def test_manifest_documents_are_the_reference_object(spark, tmp_path):
     assert doc["videos"]["v3"]["description"] is None and doc["videos"]["v3"]["subject_name"] == "@s"
 
 
+def test_manifest_documents_read_back_as_rows(spark, tmp_path):
+    data = [("d", "1", "2", "3", f"t{i}", f"v{i}", "u", "x", "@s") for i in range(5)]
+    rows = spark.createDataFrame(data, REC + ", subject_name string").withColumn("manifest_name", F.lit("m"))
+    out = str(tmp_path / "out")
+    K.write_manifest_documents(rows, None, out)
+    land = tmp_path / "landed"
+    land.mkdir()
+    (land / "videos_all_matching_Download_ready.json").write_text(concat_doc(os.path.join(out, "manifest_name=m")))
+    back = S.read_manifest_documents(spark, str(land))
+    assert back.count() == 5 and {r["search_terms"] for r in back.collect()} == {"All videos processed"}
+    assert back.where("id = 'v3'").first()["subject_name"] == "@s"
+
+
 def test_catalog_documents_roundtrip_through_legacy_reader(spark, tmp_path):
     data = [("d", "1", "2", "3", f"t{i}", f"v{i}", f"https://x/{i}", "desc", "cat_A_VideosObject.json") for i in range(20)]
     rows = spark.createDataFrame(data, REC + ", catalog_file string")

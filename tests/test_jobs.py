@@ -31,6 +31,10 @@ def test_ingest_and_catalog_jobs(spark, tmp_path):
     assert (m["parsed_entries"], m["rejected_entries"], m["distinct_ids"]) == (3, 1, 2)
     videos = spark.read.parquet(str(tmp_path / "videos"))
     assert videos.where("youtuber = 'Chan'").count() == 3
+    jobs.ingest_dump(spark, str(d), str(tmp_path / "videos"))  # appended again: not idempotent ...
+    assert spark.read.parquet(str(tmp_path / "videos")).count() == 6
+    latest = {r["id"]: r["title"] for r in jobs.latest_videos(spark, str(tmp_path / "videos")).collect()}
+    assert latest == {"v1": "First again", "v2": "Second"}  # ... dedup on read
 
     jobs.build_catalog(spark, str(d), str(tmp_path / "catalogs"), documents_path=str(tmp_path / "docs"))
     rows = spark.read.json(str(tmp_path / "catalogs"))

@@ -29,8 +29,6 @@ def test_substring_skip_is_an_equi_join(spark):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_python_udfs_or_pair_products(spark, name):
-    if name in ("parse_dump", "parse_rejects", "load_metrics", "reduce_by_subject"):
-        pytest.skip("writes a staged dump first; covered by the oracle check")
     df = entry.queries()[name](spark, SF)
     p = plan_of(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
