@@ -30,8 +30,11 @@ def anti_held(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     return manifest.join(held, manifest["id"] == held["file_id"], "left_anti")
 
 
-def status_lookup(manifest: DataFrame, ledger: DataFrame, order: str = "ledger_pos") -> DataFrame:
-    """J2 + P18: the first ledger row per (subject, id, title); no row means found."""
+def status_lookup(manifest: DataFrame, ledger: DataFrame, order: str | list[str] = "ledger_pos") -> DataFrame:
+    """J2 + P18: the first ledger row per (subject, id, title); no row means found.
+
+    ``order`` is the ledger's row order (one column or several, e.g. file, offset, row).
+    """
     first = keep_first(ledger, ["subject_name", "video_id", "video_title"], order).select(
         F.col("subject_name").alias("_l_subj"), F.col("video_id").alias("_l_id"),
         F.col("video_title").alias("_l_title"), F.col("is_link_found").alias("_l_flag"),

@@ -81,8 +81,8 @@ def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     "load_metrics",
     with_views(
         f"""SELECT
- sum(CASE WHEN entry_pos % 13 = 5 THEN 6 ELSE 1 END + length({DUMP_RENDER_SQL}))
-   + 3 * count(*) FILTER (WHERE entry_pos % 50 = 7) AS chars,
+ CAST(sum(CASE WHEN entry_pos % 13 = 5 THEN 6 ELSE 1 END + length({DUMP_RENDER_SQL}))
+   + 3 * count(*) FILTER (WHERE entry_pos % 50 = 7) AS BIGINT) AS chars,
  count(*) + count(*) FILTER (WHERE entry_pos % 50 = 7) AS entries,
  count(*) FILTER (WHERE entry_pos % 50 = 7) AS empty_entries,
  count(*) FILTER (WHERE entry_pos % 13 <> 5) AS parsed_entries,

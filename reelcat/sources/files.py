@@ -1,4 +1,4 @@
-"""Catalogs, manifests, status ledgers, media inventories, JDBC."""
+"""JDBC, catalogs, manifests, status ledgers, media inventories, stored pages."""
 
 from __future__ import annotations
 
@@ -24,7 +24,8 @@ def read_catalog_documents(spark: SparkSession, path: str, glob: str = f"*{CATAL
     """S3/S4 (document form): every ``*_VideosObject.json`` under ``path`` as rows.
 
     One file is one JSON object, so each file is read by one task (the format
-    cannot be split; prefer the row form). Repeated keys in an object: last wins.
+    cannot be split; prefer the row form). Repeated keys in an object: last wins
+    (this sets ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` on the session).
     Spark skips files whose name starts with ``_``; land such files under a
     visible name first (the name column keeps what follows the landing prefix).
     """
@@ -51,8 +52,9 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
     Explicit string/boolean schema (no inference: numeric-looking ids stay text,
     ``NA`` stays text). A missing path reads as an empty ledger. The subject is
-    the ledger file's parent folder name; the position is the row's place in its
-    file (file path, split start, row order).
+    the ledger file's parent folder name; the row's place in its file is
+    (``ledger_file``, ``ledger_offset``, ``ledger_pos``): pass all three as the
+    order of ``status_lookup`` / ``upsert_ledger`` for exact first-row semantics.
     """
     schema = LEDGER_SCHEMA
     jvm = spark.sparkContext._jvm
@@ -114,3 +116,12 @@ def read_videos_jdbc(spark: SparkSession, url: str, table: str = "videos", parti
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()
+
+
+def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored result pages ``(page_id, url, html)`` (Parquet or JSON Lines)."""
+    from reelcat.schemas import PAGE_SCHEMA
+
+    if fmt == "parquet":
+        return spark.read.parquet(path).select(*PAGE_SCHEMA.fieldNames())
+    return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
