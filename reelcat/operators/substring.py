@@ -7,15 +7,23 @@ Instead each needle is keyed by a short anchor and each file name is cut into
 grams of the anchor lengths in use, so the join only meets pairs that share an
 anchor; every such candidate is then verified exactly.
 
-* needles of ``anchor`` chars or more: key = their first ``anchor`` chars,
-  each candidate (needle, file) verified with ``contains``;
+* needles of ``anchor`` chars or more: key = their *rarest* chunk. A needle's
+  non-overlapping ``anchor``-char chunks (and its last ``anchor`` chars) must
+  all occur in a matching name; a table of how many names of the subject hold
+  each gram picks the chunk held by the fewest (a chunk held by none proves
+  "no match" at once). Each candidate (needle, file) is verified with
+  ``contains``. So a series of near-identical names in a hot subject (which
+  share their first chunks) costs as many candidates as the rarest chunk has
+  holders, not names x needles;
 * shorter needles: key = the whole needle, matched against file grams of the
   same length (exact, no verification needed);
 * an empty needle is contained in every name: it matches when the subject
   holds at least one file.
 
-All grams of a name are cut in one linear regex pass (a lookahead at every
-code point), not by repeated ``substring`` calls, which re-walk the string.
+Needles are made distinct per subject first, so copies of one title or id in
+the manifest cost one lookup. All grams of a name are cut in one linear regex
+pass (a lookahead at every code point), not by repeated ``substring`` calls,
+which re-walk the string.
 """
 
 from __future__ import annotations
@@ -37,6 +45,12 @@ def grams_of(text: Column, length: int) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 1)
 
 
+def chunks_of(text: Column, length: int) -> Column:
+    """Non-overlapping ``length``-char chunks of ``text`` plus its last ``length`` chars."""
+    body = F.regexp_extract_all(text, F.lit(f"(?s)(.{{{length}}})"), 1)
+    return F.array_distinct(F.concat(body, F.array(F.substring(text, -length, length))))
+
+
 def tagged_grams(text: Column, lengths: Sequence[int]) -> Column:
     """Array of struct(glen, gram) over several gram lengths, one pass per length."""
     def tag(n: int):
@@ -76,11 +90,19 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
             "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")).distinct()
         parts.append(short.join(fg, ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
 
-    # long needles: anchor on the first `anchor` chars, verify the whole needle
-    long_ = nd.where(F.col("_nlen") >= anchor).withColumn("_gram", F.substring("_needle", 1, anchor))
+    # long needles: anchor on the rarest chunk, verify the whole needle
+    long_ = nd.where(F.col("_nlen") >= anchor)
+    distinct_long = long_.select("_subj", "_needle").distinct()
     fg = fl.select("_subj", "_fname", F.explode(F.array_distinct(grams_of(F.col("_fname"), anchor))).alias("_gram"))
-    cand = long_.join(fg, ["_subj", "_gram"]).select(*keys, "_needle", "_fname")
-    parts.append(cand.where(F.contains(F.col("_fname"), F.col("_needle"))).select(*keys))
+    holders = fg.groupBy("_subj", "_gram").agg(F.count(F.lit(1)).alias("_holders"))  # partial aggregation
+    chunks = distinct_long.select("_subj", "_needle", F.explode(chunks_of(F.col("_needle"), anchor)).alias("_gram"))
+    rated = chunks.join(holders, ["_subj", "_gram"], "left").select(
+        "_subj", "_needle", "_gram", F.coalesce(F.col("_holders"), F.lit(0)).alias("_holders"))
+    best = rated.groupBy("_subj", "_needle").agg(
+        F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
+    cand = best.where(F.col("_fewest") > 0).select("_subj", "_needle", "_gram").join(fg, ["_subj", "_gram"])
+    found = cand.where(F.contains(F.col("_fname"), F.col("_needle"))).select("_subj", "_needle").distinct()
+    parts.append(long_.join(found, ["_subj", "_needle"], "left_semi").select(*keys))
 
     # empty needles: the subject has at least one file
     subjects = fl.select("_subj").distinct()
