@@ -104,44 +104,57 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
                         key_cols: Sequence[str] | None = None) -> DataFrame:
     """Exact semi join without a nested loop.
 
-    Each term gets an anchor (a literal piece it forces into the title). Anchors
-    of ``anchor`` chars or more are keyed by their first ``anchor`` chars;
-    shorter ones by themselves. Titles are cut into grams of the lengths in use
-    (one linear regex pass per length), equi-joined with the anchors, and each
-    candidate pair is verified with the full predicate. Terms with an empty
-    anchor (only wildcards) match every title of at least ``n`` chars, where
-    ``n`` counts their ``_``; that needs one number, the least such ``n``.
-    Without a unique key the rows get an id and are staged once, so the id is
-    stable across the joins.
+    Titles are matched once per distinct lower-cased title (copies collapse),
+    then the matched titles are joined back to the rows on ``lower(title)``.
+    Each term gets an anchor text (a literal piece it forces into the title: the
+    term, or in LIKE mode its longest wildcard-free run):
+
+    * anchors of ``anchor`` chars or more are keyed by their rarest chunk (the
+      chunk held by the fewest titles; a chunk held by none rules the term out);
+    * shorter anchors are keyed by themselves against title grams of that length;
+    * terms with an empty anchor (only wildcards) match every title of at least
+      ``n`` chars, ``n`` = their count of ``_``; that needs one number, the least ``n``.
+
+    Every candidate (title, term) is verified with the full predicate.
+    ``key_cols`` is accepted for API stability; rows need no key here.
     """
-    from reelcat.operators.substring import tagged_grams
+    from reelcat.operators.substring import chunks_of, grams_of, tagged_grams
     from reelcat.session import stage_table
 
-    if key_cols:
-        staged = videos.withColumn("_rid", F.struct(*[F.col(c) for c in key_cols]))
-    else:
-        staged = stage_table(videos.withColumn("_rid", F.monotonically_increasing_id()), "term-join-rows")
+    titles = stage_table(
+        videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct(),
+        "term-join-titles")
     tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
-    tm = stage_table(tm.withColumn("_alen", F.least(F.length("_anc"), F.lit(anchor))), "term-join-terms")
-    keyed = tm.where(F.col("_alen") > 0).select(
-        "_term", F.col("_alen").alias("_glen"), F.substring("_anc", 1, anchor).alias("_gram"))
-    lengths = sorted(r[0] for r in keyed.select("_glen").distinct().collect())  # at most `anchor` values
+    tm = stage_table(tm.withColumn("_alen", F.length("_anc")), "term-join-terms")
 
-    verified = None
+    hits = []
+    # short anchors: exact grams of the lengths in use (fewer than `anchor` values)
+    short = tm.where((F.col("_alen") > 0) & (F.col("_alen") < anchor)).select("_term", "_alen", "_anc")
+    lengths = sorted(r[0] for r in short.select("_alen").distinct().collect())
     if lengths:
-        grams = staged.select("_rid", F.explode(tagged_grams(F.lower(F.col(title_col)), lengths)).alias("_g")).select(
-            "_rid", F.col("_g.glen").alias("_glen"), F.col("_g.gram").alias("_gram"))
-        cand = grams.join(keyed, ["_glen", "_gram"]).select("_rid", "_term")
-        titles = staged.select("_rid", F.col(title_col).alias("_title"))
-        verified = cand.join(titles, "_rid").where(term_matches(F.col("_title"), F.col("_term"), match)).select("_rid")
+        tg = titles.select("_lt", F.explode(tagged_grams(F.col("_lt"), lengths)).alias("_g")).select(
+            "_lt", F.col("_g.glen").alias("_alen"), F.col("_g.gram").alias("_anc"))
+        hits.append(tg.join(short, ["_alen", "_anc"]).select("_lt", "_term"))
+
+    # long anchors: the rarest chunk among the titles
+    long_ = tm.where(F.col("_alen") >= anchor).select("_term", "_anc")
+    tk = titles.select("_lt", F.explode(F.array_distinct(grams_of(F.col("_lt"), anchor))).alias("_gram"))
+    holders = tk.groupBy("_gram").agg(F.count(F.lit(1)).alias("_holders"))
+    rated = long_.select("_term", F.explode(chunks_of(F.col("_anc"), anchor)).alias("_gram")).join(
+        holders, "_gram", "left").select("_term", "_gram", F.coalesce(F.col("_holders"), F.lit(0)).alias("_holders"))
+    best = rated.groupBy("_term").agg(F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
+    hits.append(best.where(F.col("_fewest") > 0).join(tk, "_gram").select("_lt", "_term"))
+
+    verified = None
+    for h in hits:
+        v = h.where(term_matches(F.col("_lt"), F.col("_term"), match)).select("_lt")
+        verified = v if verified is None else verified.unionByName(v)
 
     # one number: the least count of `_` among wildcard-only terms (null if none)
     min_len = tm.where(F.col("_alen") == 0).agg(
         F.min(F.length(F.regexp_replace(F.lower("_term"), "[^_]", "")))
     ).first()[0]
     if min_len is not None:
-        wild_hits = staged.where(F.length(title_col) >= F.lit(int(min_len))).select("_rid")
-        verified = wild_hits if verified is None else verified.unionByName(wild_hits)
-    if verified is None:
-        return staged.limit(0).drop("_rid")
-    return staged.join(verified.distinct(), "_rid", "left_semi").drop("_rid")
+        verified = verified.unionByName(titles.where(F.length("_lt") >= F.lit(int(min_len))).select("_lt"))
+    matched = verified.distinct()
+    return videos.join(matched, F.lower(F.col(title_col)) == matched["_lt"], "left_semi")
