@@ -96,3 +96,15 @@ def test_latest_media_and_renames(spark):
 
     got = sorted(tuple(r) for r in plan_renames(inv, cur).collect())
     assert got == [("@s", "videoplayback.mp4", "vid.mp4", "default_name")]
+
+
+def test_skip_substring_hot_subject_with_near_duplicate_series(spark):
+    # one subject holds most rows; titles and file names share long prefixes; titles repeat
+    man = [(f"id{i}", f"Full Workout Routine Day {i % 150}", "@hot") for i in range(300)]
+    man += [(f"x{i}", f"Other {i}", f"@s{i % 3}") for i in range(30)]
+    files = [("@hot", f"Full Workout Routine Day {i} (final cut).mp4") for i in range(0, 150, 2)]
+    files += [("@s1", "Other 4.mp4"), ("@hot", "id299.mp4")]
+    m = spark.createDataFrame([(i, t, s, "1") for i, t, s in man], MAN)
+    inv = spark.createDataFrame([(s, n, None, 1) for s, n in files], INV)
+    kept = {r["id"] for r in P.skip_substring(m, inv).collect()}
+    assert kept == {i for i, _, _ in man} - brute_contains(man, files)
