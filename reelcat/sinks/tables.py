@@ -95,6 +95,43 @@ def unique_path(spark: SparkSession, folder: str, base_name: str, extension: str
     return candidate
 
 
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("version=") and name[8:].isdigit():
+            out.append(int(name[8:]))
+    return sorted(out)
+
+
+def write_ledger_version(spark: SparkSession, ledger: DataFrame, base: str, fmt: str = "csv") -> str:
+    """K5: write the ledger as ``base/version=<n+1>`` (the version being read stays intact)."""
+    versions = _versions(spark, base)
+    path = f"{base.rstrip('/')}/version={(versions[-1] + 1) if versions else 1}"
+    write_ledger(ledger, path, fmt)
+    return path
+
+
+def current_ledger_path(spark: SparkSession, base: str) -> str | None:
+    """The newest complete ledger version under ``base`` (None when there is none).
+
+    A version counts once its writer committed (``_SUCCESS`` present), so a
+    reader never sees a half-written ledger: writing the next version is the switch.
+    """
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in reversed(_versions(spark, base)):
+        path = f"{base.rstrip('/')}/version={v}"
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")):
+            return path
+    return None
+
+
 def write_ledger(ledger: DataFrame, path: str, fmt: str = "csv") -> None:
     """K5: write a new ledger version (never the path being read), one folder per subject."""
     out = ledger.select("subject_name", "video_id", "video_title", "is_link_found",

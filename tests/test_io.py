@@ -101,3 +101,26 @@ def test_catalog_rows_roundtrip_keeps_hidden_looking_names(spark, tmp_path):
     K.write_catalog_rows(rows, out)
     back = S.read_catalog_rows(spark, out)
     assert [tuple(r[c] for c in ("catalog_file", "id")) for r in back.collect()] == [("_Chan_VideosObject.json", "v1")]
+
+
+def test_ledger_versions_switch(spark, tmp_path):
+    led = spark.createDataFrame([("@s", "a", "t", True, 1)],
+                                "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long")
+    base = str(tmp_path / "ledger")
+    assert K.current_ledger_path(spark, base) is None
+    p1 = K.write_ledger_version(spark, led, base)
+    p2 = K.write_ledger_version(spark, led.withColumn("is_link_found", F.lit(False)), base)
+    assert p1.endswith("version=1") and p2.endswith("version=2")
+    assert K.current_ledger_path(spark, base) == p2
+
+
+def test_channel_selection_prunes_partitions(spark, tmp_path):
+    from reelcat.operators.select import select_videos
+    from reelcat.sources import derived
+
+    out = str(tmp_path / "videos")
+    K.write_videos(derived.videos(spark, "/root/testdata/sf0.001"), out, mode="overwrite")
+    sel = select_videos(spark.read.parquet(out), channel="src3")
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(youtuber" in plan and "src3" in plan
+    assert sel.count() == derived.videos(spark, "/root/testdata/sf0.001").where("youtuber = 'src3'").count()
