@@ -62,23 +62,21 @@ ANCHOR = 8
 def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH_LITERAL,
                          term_col: str = "term", title_col: str = "title",
                          max_broadcast_terms: int = DEFAULT_BROADCAST_TERMS, anchor: int = ANCHOR,
-                         key_cols: Sequence[str] | None = None,
                          max_broadcast_chars: int = DEFAULT_BROADCAST_CHARS) -> DataFrame:
     """Rows whose title matches any term of a term table (left semi join).
 
     The term table's size is checked first: up to ``max_broadcast_terms`` rows
     holding at most ``max_broadcast_chars`` characters in all, it is broadcast
-    and every title is tested against it. Beyond that, an exact
-    gram index is used (see ``_semi_join_by_grams``), so the cost follows the
-    candidate pairs instead of titles x terms. ``key_cols``, when the rows have
-    a unique key, spares staging the rows to give them a stable id.
+    and every title is tested against it. Beyond that, an exact gram index is
+    used (see ``_semi_join_by_grams``), so the cost follows the candidate pairs
+    instead of titles x terms.
     """
     t = terms.select(F.col(term_col).alias("_term")).where(F.col("_term").isNotNull()).distinct()
     head = t.limit(max_broadcast_terms + 1).agg(F.count(F.lit(1)).alias("n"),
                                                 F.coalesce(F.sum(F.length("_term")), F.lit(0)).alias("chars")).first()
     if head["n"] <= max_broadcast_terms and head["chars"] <= max_broadcast_chars:
         return videos.join(F.broadcast(t), term_matches(F.col(title_col), F.col("_term"), match), "left_semi")
-    return _semi_join_by_grams(videos, t, match, title_col, anchor, key_cols)
+    return _semi_join_by_grams(videos, t, match, title_col, anchor)
 
 
 _LIKE_LITERAL_RUN = re.compile(r"\\.|[%_]")
@@ -100,8 +98,7 @@ def _literal_anchor(term: Column, match: str) -> Column:
     return longest
 
 
-def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int,
-                        key_cols: Sequence[str] | None = None) -> DataFrame:
+def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int) -> DataFrame:
     """Exact semi join without a nested loop.
 
     Titles are matched once per distinct lower-cased title (copies collapse),
@@ -116,7 +113,6 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
       ``n`` chars, ``n`` = their count of ``_``; that needs one number, the least ``n``.
 
     Every candidate (title, term) is verified with the full predicate.
-    ``key_cols`` is accepted for API stability; rows need no key here.
     """
     from reelcat.operators.substring import chunks_of, grams_of, tagged_grams
     from reelcat.session import stage_table
