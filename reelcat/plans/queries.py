@@ -272,7 +272,7 @@ _CATALOG_FILE_SQL = (
 
 
 def _catalog_file() -> "F.Column":
-    p = (F.substring("upload_date", 5, 2).cast("int") - 1) % 3
+    p = (F.substring("upload_date", 5, 2).try_cast("int") - 1) % 3
     return (F.when(p == 0, F.concat(F.lit("_"), "youtuber", F.lit("_Videos_VideosObject.json")))
             .when(p == 1, F.concat(F.lit("_"), "youtuber", F.lit("_VideosObject.json")))
             .otherwise(F.concat("youtuber", F.lit("_Shorts_VideosObject.json"))))
