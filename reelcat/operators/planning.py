@@ -66,10 +66,11 @@ def skip_substring(manifest: DataFrame, inventory: DataFrame, anchor: int = DEFA
     return manifest.join(hits, cond, "left_anti")
 
 
-def download_plan(manifest: DataFrame, inventory: DataFrame, ledger: DataFrame) -> DataFrame:
+def download_plan(manifest: DataFrame, inventory: DataFrame, ledger: DataFrame,
+                  ledger_order: str | list[str] = "ledger_pos") -> DataFrame:
     """Manifest -> J1 -> J2 -> F11 -> J3 = videos still to fetch."""
     kept = anti_held(manifest, inventory)
-    with_status = gate_on_status(status_lookup(kept, ledger))
+    with_status = gate_on_status(status_lookup(kept, ledger, ledger_order))
     return skip_substring(with_status.drop("is_link_found"), inventory)
 
 

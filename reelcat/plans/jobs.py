@@ -48,9 +48,13 @@ def ingest_dump(spark: SparkSession, dump_path: str, videos_path: str, rejects_p
     return load_metrics(classified).first().asDict()
 
 
+INGEST_ORDER = ("ingest_run", *ORDER_COLUMNS)
+LEDGER_FILE_ORDER = ["ledger_file", "ledger_offset", "ledger_pos"]
+
+
 def latest_videos(spark: SparkSession, videos_path: str) -> DataFrame:
-    """A1 on read: one row per id over every ingest run, the last entry wins."""
-    return keep_last(spark.read.parquet(videos_path), "id", ["ingest_run", *ORDER_COLUMNS])
+    """A1 on read: one row per id over every ingest run, the last entry wins (order: ``INGEST_ORDER``)."""
+    return keep_last(spark.read.parquet(videos_path), "id", list(INGEST_ORDER))
 
 
 def build_catalog(spark: SparkSession, dump_path: str, out_path: str, glob: str | None = None,
@@ -93,10 +97,14 @@ def reduce_catalogs(spark: SparkSession, catalogs_path: str, out_path: str,
     sinks.write_manifest_documents(rows, terms, out_path)
 
 
-def plan_downloads(manifest: DataFrame, inventory: DataFrame, ledger: DataFrame) -> dict[str, DataFrame]:
-    """The work list, plus the duration goal (A5) and the subjects."""
+def plan_downloads(manifest: DataFrame, inventory: DataFrame, ledger: DataFrame,
+                   ledger_order: str | list[str] = "ledger_pos") -> dict[str, DataFrame]:
+    """The work list, plus the duration goal (A5) and the subjects.
+
+    For ledgers read from CSV pass ``ledger_order=LEDGER_FILE_ORDER``.
+    """
     return {
-        "work": planning.download_plan(manifest, inventory, ledger),
+        "work": planning.download_plan(manifest, inventory, ledger, ledger_order),
         "durations": planning.duration_totals(manifest),
         "subjects": planning.distinct_subjects(manifest),
         "first_subjects": planning.first_subjects(manifest),

@@ -91,3 +91,26 @@ def test_plan_record_rename_and_pages_jobs(spark, tmp_path):
     assert (f["container_link"], f["group_link"], f["text_link"], f["page_title"]) == ("/a", "/a", "/a", "T")
     assert (f["is_failure"], f["has_notice"], f["label_value"], f["above_threshold"], f["url_filename"]) == (
         True, True, 512.0, True, "512")
+
+
+def test_readme_flow_end_to_end(spark, tmp_path):
+    from reelcat.operators.manifest import select_manifest
+    from reelcat.sources.files import read_inventory, read_ledger
+
+    d = tmp_path / "dumps"
+    write_dump(d, "list_Chan_A.txt", [REC.format(n=1, dur="10", title="Leg day one"),
+                                      REC.format(n=2, dur="7", title="Leg day two"),
+                                      REC.format(n=3, dur="5", title="Squat form"),
+                                      REC.format(n=4, dur="5", title="Arms")])
+    jobs.ingest_dump(spark, str(d), str(tmp_path / "videos"))
+    videos = jobs.latest_videos(spark, str(tmp_path / "videos"))
+    manifest = select_manifest(videos, terms=["leg day", "squat"], order=jobs.INGEST_ORDER)
+    media = tmp_path / "media" / "@Chan"
+    (media / "HighQuality").mkdir(parents=True)
+    (media / "HighQuality" / "v1.mp4").write_bytes(b"x")            # v1 held
+    (media / "Squat form.mp4").write_bytes(b"x")                      # v3 skipped by title
+    (media / "download_status.csv").write_text("video_id,video_title,is_link_found\nv2,Leg day two,False\n")
+    plan = jobs.plan_downloads(manifest, read_inventory(spark, str(tmp_path / "media")),
+                               read_ledger(spark, str(tmp_path / "media")), ledger_order=jobs.LEDGER_FILE_ORDER)
+    assert [r["id"] for r in plan["work"].collect()] == []          # v2 gated by its ledger status
+    assert {r["subject_name"]: r["duration_total"] for r in plan["durations"].collect()} == {"@Chan": 22.0, None: 22.0}
