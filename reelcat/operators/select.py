@@ -120,6 +120,8 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     titles = stage_table(
         videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct(),
         "term-join-titles")
+    # gram cutting is CPU-bound: spread the titles over all shuffle partitions first
+    titles = titles.repartition(int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_lt")
     tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
     tm = stage_table(tm.withColumn("_alen", F.length("_anc")), "term-join-terms")
 

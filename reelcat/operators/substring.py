@@ -80,6 +80,9 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
         files.where(F.col(file_name_col).isNotNull() & F.col(file_subject_col).isNotNull())
         .select(F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")).distinct(),
         "files")
+    # cutting grams costs CPU per char, not per byte read: spread names over all
+    # shuffle partitions by hash (deterministic on retry) before exploding them
+    fl = fl.repartition(int(fl.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_subj", "_fname")
 
     parts = []
     # short needles (1..anchor-1 chars): exact gram equality, only the lengths in use
