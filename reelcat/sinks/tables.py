@@ -132,11 +132,11 @@ def current_ledger_path(spark: SparkSession, base: str) -> str | None:
     return None
 
 
-def write_ledger(ledger: DataFrame, path: str, fmt: str = "csv") -> None:
+def write_ledger(ledger: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
     """K5: write a new ledger version (never the path being read), one folder per subject."""
     out = ledger.select("subject_name", "video_id", "video_title", "is_link_found",
                         *[c for c in ("ledger_pos",) if c in ledger.columns])
-    w = out.write.mode("errorifexists").partitionBy("subject_name")
+    w = out.write.mode(mode).partitionBy("subject_name")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
