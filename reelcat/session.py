@@ -54,12 +54,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for one staged dataset."""
+def staging_root(spark: SparkSession) -> str:
+    """This application's staging folder: ``<checkpoint dir>/reelcat-staging/<application id>``."""
     base = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not base:
         base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/reelcat-staging/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/reelcat-staging/{spark.sparkContext.applicationId}"
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under this application's staging folder for one staged dataset."""
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_staging(spark: SparkSession) -> None:
+    """Delete this application's staging folder (call when its jobs are done)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
 def stage_table(df, name: str):
