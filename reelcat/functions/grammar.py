@@ -35,27 +35,40 @@ HEAD_PATTERN = RECORD_PATTERN[: RECORD_PATTERN.rindex(_DESCRIPTION_PART)]
 _HEAD_JAVA = r"(?sU)\A" + HEAD_PATTERN
 # A necessary condition of the head (a leading pipe, then an id and a URL
 # between pipes). Checked first: it is linear, while the head regex can
-# backtrack polynomially on long entries that do not parse.
-_GUARD_JAVA = r"(?sU)\A\|.*\|\s*[\w-]+\s*\|\s*https?://\S+\s*\|"
+# backtrack polynomially on long entries that do not parse. Lazy, so on a
+# record it stops at the first id/URL pair instead of walking the description.
+_GUARD_JAVA = r"(?sU)\A\|.*?\|\s*[\w-]+\s*\|\s*https?://\S+\s*\|"
+
+
+def record_head(entry: ColumnOrName) -> Column:
+    """The matched head of a (stripped) entry, or ``''`` when the entry does not parse.
+
+    A match always starts with ``|``, so it is never empty. Regex functions
+    decode their whole input, so the entry is matched once here and the seven
+    fields are then cut from the (short) head.
+    """
+    e = _col(entry)
+    return F.when(e.rlike(_GUARD_JAVA), F.regexp_extract(e, _HEAD_JAVA, 0)).otherwise(F.lit(""))
 
 
 def entry_parses(entry: ColumnOrName) -> Column:
     """True when the (stripped) entry matches the record grammar."""
-    e = _col(entry)
-    return e.rlike(_GUARD_JAVA) & e.rlike(_HEAD_JAVA)
+    return record_head(entry) != F.lit("")
 
 
-def record_fields(entry: ColumnOrName, compat: bool = False, ok: Column | None = None) -> list[Column]:
+def record_fields(entry: ColumnOrName, compat: bool = False, head: Column | None = None) -> list[Column]:
     """The eight record fields of a stripped entry, each null when it does not parse.
 
     ``compat=False`` returns the whole description; ``compat=True`` reproduces
     the producer's literal output (description cut at the first ``_/``, so a
-    normal one ends in `` \\``).
+    normal one ends in `` \\``). ``head`` is ``record_head(entry)`` when the
+    caller already has it.
     """
     e = _col(entry)
-    ok = entry_parses(e) if ok is None else ok
-    fields = [F.when(ok, F.regexp_extract(e, _HEAD_JAVA, i)) for i in range(1, 8)]
-    rest = F.substring(e, F.length(F.regexp_extract(e, _HEAD_JAVA, 0)) + 1, 1 << 30)
+    h = record_head(e) if head is None else head
+    ok = h != F.lit("")
+    fields = [F.when(ok, F.regexp_extract(h, _HEAD_JAVA, i)) for i in range(1, 8)]
+    rest = F.substring(e, F.length(h) + 1, 1 << 30)
     if compat:
         rest = F.substring_index(F.concat(rest, F.lit(" " + RECORD_TERMINATOR)), COMPAT_DESCRIPTION_END, 1)
     fields.append(F.when(ok, strip_ws(rest)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelcat.functions.grammar import entry_parses, record_fields
+from reelcat.functions.grammar import record_fields, record_head
 from reelcat.functions.text import channel_from_dump_name, normalize_newlines, strip_ws
 from reelcat.schemas import RECORD_FIELDS
 
@@ -24,8 +24,11 @@ def classify_entries(raw: DataFrame, compat: bool = False, channel: str | None =
     parsed). The channel is ``channel`` when given, else taken from the dump file
     name (``list_<channel>_...``); with neither, ``youtuber`` stays null.
     """
-    entry = strip_ws(normalize_newlines(F.col("value")))
-    df = raw.withColumn("entry", entry).withColumn("_ok", entry_parses(F.col("entry")))
+    value = F.col("value")
+    # universal newlines only where a \r occurs (a byte search; the regex decodes the whole text)
+    entry = strip_ws(F.when(F.contains(value, F.lit("\r")), normalize_newlines(value)).otherwise(value))
+    df = (raw.withColumn("entry", entry).withColumn("_head", record_head(F.col("entry")))
+          .withColumn("_ok", F.col("_head") != F.lit("")))
     from_name = False
     if channel is not None:
         youtuber: Column = F.lit(channel)
@@ -48,7 +51,7 @@ def classify_entries(raw: DataFrame, compat: bool = False, channel: str | None =
         F.length(F.col("value")).alias("chars"),
         "entry",
         status.alias("entry_status"),
-        *record_fields(F.col("entry"), compat=compat, ok=F.col("_ok")),
+        *record_fields(F.col("entry"), compat=compat, head=F.col("_head")),
         youtuber.alias("youtuber"),
     )
 
