@@ -28,10 +28,14 @@ def _open_tag(tag: str, attr: str | None = None, value: str | None = None) -> st
 
 
 def element_html(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
-    """Inner HTML of the first ``<tag>`` (optionally whose ``attr`` contains ``value``); null if none."""
+    """Inner HTML of the first ``<tag>`` (optionally whose ``attr`` contains ``value``); null if none.
+
+    The page is matched once (the whole element, never empty when found); the
+    inner part is then cut from that short string.
+    """
     pat = f"(?is){_open_tag(tag, attr, value)}(.*?)</{tag}\\s*>"
-    h = _col(html)
-    return F.when(h.rlike(pat), F.regexp_extract(h, pat, 1))
+    elem = F.regexp_extract(_col(html), pat, 0)
+    return F.when(elem != F.lit(""), F.regexp_extract(elem, pat, 1))
 
 
 _HREF = '(?is)<a\\s[^>]*?href\\s*=\\s*"([^"]*)"'
@@ -60,8 +64,8 @@ def link_by_text(html: ColumnOrName, text: str, css_class: str | None = None) ->
     """``href`` of the first link whose own text holds ``text`` (and whose class holds ``css_class``)."""
     opening = _open_tag("a", "class", css_class) if css_class else "<a\\s[^>]*>"
     pat = f"(?is){opening}[^<]*{regex_literal(text)}[^<]*</a>"
-    h = _col(html)
-    return F.when(h.rlike(pat), first_href(F.regexp_extract(h, pat, 0)))
+    elem = F.regexp_extract(_col(html), pat, 0)
+    return F.when(elem != F.lit(""), first_href(elem))
 
 
 def has_marker(html: ColumnOrName, tag: str, attr: str, value: str, text: str | None = None) -> Column:
