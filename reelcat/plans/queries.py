@@ -384,6 +384,14 @@ _PLAN_SQL = with_views(
 )
 
 
+_PLAN_HOT_SQL = with_views(
+    "SELECT id, title, subject_name, duration FROM ("
+    + _J3_SQL.format(src="(SELECT * FROM (" + _STATUS_SQL.format(src="(" + _J1_SQL + ")") + ") WHERE is_link_found)")
+    + ")",
+    "videos", "inventory", "link_status", extra=_manifest_ctes(), hot=True,
+)
+
+
 @register("download_plan", _PLAN_SQL)
 def q_download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest -> J1 -> J2 -> F11 -> J3: the videos still to fetch."""
@@ -392,6 +400,15 @@ def q_download_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(*_PLAN_OUT, "duration")
 
 
+@register("download_plan_hot_subject", _PLAN_HOT_SQL)
+def q_download_plan_hot_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 when one subject holds a third of all videos, files and ledger rows (skew check)."""
+    man = manifest_ops.manifest_rows(derived.videos(spark, sf_dir, hot=True))
+    plan = planning.download_plan(man, derived.inventory(spark, sf_dir, hot=True),
+                                  derived.link_status(spark, sf_dir, hot=True))
+    return plan.select(*_PLAN_OUT, "duration")
+
+
 _DECIMAL_SQL = "'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 
 

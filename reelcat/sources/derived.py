@@ -26,7 +26,11 @@ def _mod(c: Column, n: int) -> Column:
     return c % F.lit(n)
 
 
-def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+HOT_CHANNEL = "src0"
+
+
+def videos(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """``hot=True``: one channel (``src0``) holds every third video, a third of all rows."""
     d = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     # every tenth document repeats the previous id under another channel
@@ -49,13 +53,14 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("v"), key).alias("id"),
         F.concat(F.lit("https://media.example.org/watch?v=v"), key).alias("webpage_url"),
         F.when(_mod(doc, 23) == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("description"),
-        F.col("source").alias("youtuber"),
+        (F.when(_mod(doc, 3) == 0, F.lit(HOT_CHANNEL)).otherwise(F.col("source")) if hot
+         else F.col("source")).alias("youtuber"),
     )
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     """Held media: ``<base>/<subject>/[HighQuality/]<name>.mp4`` as rows."""
-    v = videos(spark, sf_dir).where(_mod(F.col("entry_pos"), 3) == 0)
+    v = videos(spark, sf_dir, hot).where(_mod(F.col("entry_pos"), 3) == 0)
     pos = F.col("entry_pos")
     return v.select(
         subject_from_channel("youtuber").alias("subject_name"),
@@ -65,8 +70,8 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def link_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = videos(spark, sf_dir).where(_mod(F.col("entry_pos"), 5) < 2)
+def link_status(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    v = videos(spark, sf_dir, hot).where(_mod(F.col("entry_pos"), 5) < 2)
     return v.select(
         subject_from_channel("youtuber").alias("subject_name"),
         F.col("id").alias("video_id"),
@@ -132,10 +137,14 @@ ATTEMPTS_SQL = """SELECT concat('v', cast(user_id AS varchar)) AS video_id, even
 FROM events"""
 
 
-def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None, hot: bool = False) -> str:
     """Prefix ``body`` with the named views as CTEs (dependencies first), then ``extra``."""
+    videos_sql = VIDEOS_SQL
+    if hot:
+        videos_sql = VIDEOS_SQL.replace(
+            " source AS youtuber", f" CASE WHEN doc_id % 3 = 0 THEN '{HOT_CHANNEL}' ELSE source END AS youtuber")
     sql = {
-        "videos": VIDEOS_SQL,
+        "videos": videos_sql,
         "inventory": INVENTORY_SQL,
         "link_status": LINK_STATUS_SQL,
         "new_status": NEW_STATUS_SQL,
