@@ -139,6 +139,13 @@ def q_dedup_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_videos(derived.videos(spark, sf_dir)).select(*_VIDEO_OUT)
 
 
+@register("dedup_hot_id", with_views(_DEDUP_SQL.format(src="videos").replace("SELECT *", "SELECT " + ", ".join(_VIDEO_OUT), 1),
+                                    "videos", hot_id=True))
+def q_dedup_hot_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 when one id repeats across a third of all rows (partial WindowGroupLimit before the shuffle)."""
+    return dedup_videos(derived.videos(spark, sf_dir, hot_id=True)).select(*_VIDEO_OUT)
+
+
 @register(
     "url_index",
     with_views(

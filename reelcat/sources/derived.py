@@ -29,12 +29,19 @@ def _mod(c: Column, n: int) -> Column:
 HOT_CHANNEL = "src0"
 
 
-def videos(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
-    """``hot=True``: one channel (``src0``) holds every third video, a third of all rows."""
+HOT_ID_KEY = 0
+
+
+def videos(spark: SparkSession, sf_dir: str, hot: bool = False, hot_id: bool = False) -> DataFrame:
+    """``hot=True``: one channel (``src0``) holds every third video, a third of all rows.
+    ``hot_id=True``: every third video repeats one id (``v0``), a third of all rows."""
     d = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     # every tenth document repeats the previous id under another channel
-    key = F.when(_mod(doc, 10) == 9, doc - 1).otherwise(doc).cast("string")
+    key = F.when(_mod(doc, 10) == 9, doc - 1).otherwise(doc)
+    if hot_id:
+        key = F.when(_mod(doc, 3) == 0, F.lit(HOT_ID_KEY)).otherwise(key)
+    key = key.cast("string")
     return d.select(
         doc.alias("entry_pos"),
         F.concat(
@@ -137,11 +144,16 @@ ATTEMPTS_SQL = """SELECT concat('v', cast(user_id AS varchar)) AS video_id, even
 FROM events"""
 
 
-def with_views(body: str, *names: str, extra: dict[str, str] | None = None, hot: bool = False) -> str:
+def with_views(body: str, *names: str, extra: dict[str, str] | None = None, hot: bool = False,
+               hot_id: bool = False) -> str:
     """Prefix ``body`` with the named views as CTEs (dependencies first), then ``extra``."""
     videos_sql = VIDEOS_SQL
+    if hot_id:
+        videos_sql = videos_sql.replace(
+            "CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END",
+            f"CASE WHEN doc_id % 3 = 0 THEN {HOT_ID_KEY} WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END")
     if hot:
-        videos_sql = VIDEOS_SQL.replace(
+        videos_sql = videos_sql.replace(
             " source AS youtuber", f" CASE WHEN doc_id % 3 = 0 THEN '{HOT_CHANNEL}' ELSE source END AS youtuber")
     sql = {
         "videos": videos_sql,
