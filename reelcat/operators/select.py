@@ -54,8 +54,11 @@ def select_videos(videos: DataFrame, channel: str | None = None, terms: Sequence
 
 # ---------------------------------------------------------------- J6: terms as a table
 
-DEFAULT_BROADCAST_TERMS = 50_000
-DEFAULT_BROADCAST_CHARS = 16 << 20  # total term text broadcast at most
+# The broadcast path tests every title against every term (titles x terms
+# checks); the gram index costs about (gram lengths in use) x title length per
+# title. Past a few hundred terms the index wins, whatever the memory allows.
+DEFAULT_BROADCAST_TERMS = 256
+DEFAULT_BROADCAST_CHARS = 1 << 20  # total term text broadcast at most
 ANCHOR = 8
 
 
