@@ -33,14 +33,15 @@ def write_videos(videos: DataFrame, path: str, mode: str = "append", fmt: str =
     videos.write.mode(mode).partitionBy("youtuber").format(fmt).save(path)
 
 
-def write_catalog_rows(catalog_rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K2 (row form): catalog videos as JSON Lines, one folder per catalog file.
+def write_catalog_rows(catalog_rows: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:
+    """K2 (row form): catalog videos, one folder per catalog file (Parquet, or ``fmt="json"``).
 
     Folder names are ``catalog_file=<name>``, so names starting with ``_`` stay
-    visible to readers that skip hidden files.
+    visible to readers that skip hidden files. The single-object JSON form of a
+    catalog is ``catalog_documents``.
     """
     cols = ["catalog_file", *RECORD_FIELDS] + [c for c in ("entry_pos",) if c in catalog_rows.columns]
-    catalog_rows.select(*cols).write.mode(mode).partitionBy("catalog_file").json(path)
+    catalog_rows.select(*cols).write.mode(mode).partitionBy("catalog_file").format(fmt).save(path)
 
 
 def catalog_documents(catalog_rows: DataFrame) -> DataFrame:

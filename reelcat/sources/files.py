@@ -15,9 +15,9 @@ CATALOG_ROW_SCHEMA = T.StructType(
 )
 
 
-def read_catalog_rows(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """S3/S4 (row form): catalogs written by ``write_catalog_rows``; ``catalog_file`` from the folder."""
-    return spark.read.schema(CATALOG_ROW_SCHEMA).option("basePath", path).json(path)
+    return spark.read.schema(CATALOG_ROW_SCHEMA).option("basePath", path).format(fmt).load(path)
 
 
 def read_catalog_documents(spark: SparkSession, path: str, glob: str = f"*{CATALOG_SUFFIX}") -> DataFrame:

@@ -37,7 +37,7 @@ def test_ingest_and_catalog_jobs(spark, tmp_path):
     assert latest == {"v1": "First again", "v2": "Second"}  # ... dedup on read
 
     jobs.build_catalog(spark, str(d), str(tmp_path / "catalogs"), documents_path=str(tmp_path / "docs"))
-    rows = spark.read.json(str(tmp_path / "catalogs"))
+    rows = spark.read.parquet(str(tmp_path / "catalogs"))
     got = {r["id"]: r["title"] for r in rows.collect()}
     assert got == {"v1": "First again", "v2": "Second"}
     assert rows.first()["catalog_file"] == "_Chan_Videos_VideosObject.json"
