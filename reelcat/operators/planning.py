@@ -58,9 +58,8 @@ def flat_media(inventory: DataFrame) -> DataFrame:
 def skip_substring(manifest: DataFrame, inventory: DataFrame, anchor: int = DEFAULT_ANCHOR) -> DataFrame:
     """Drop videos whose id or title occurs inside a file name of their subject."""
     files = flat_media(inventory)
-    needles = manifest.select("subject_name", "id", F.col("id").alias("needle")).unionByName(
-        manifest.select("subject_name", "id", F.col("title").alias("needle"))
-    )
+    # both needles of a row from one pass over the manifest
+    needles = manifest.select("subject_name", "id", F.explode(F.array("id", "title")).alias("needle"))
     hits = rows_with_contained_needle(needles, files, ["subject_name", "id"], anchor=anchor)
     cond = manifest["subject_name"].eqNullSafe(hits["subject_name"]) & manifest["id"].eqNullSafe(hits["id"])
     return manifest.join(hits, cond, "left_anti")
