@@ -64,6 +64,23 @@ def q_parse_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_ops.parsed_rows(_classified_dump(spark, sf_dir)).select(*RECORD_FIELDS)
 
 
+@register(
+    "parse_dump_compat",
+    with_views(
+        "SELECT "
+        + ", ".join(f"{_STRIP.format(f'coalesce({c}, {chr(39)}{chr(39)})')} AS {c}" for c in RECORD_FIELDS[:-1])
+        + ", CASE WHEN coalesce(description, '') = '' THEN '\\' ELSE description || ' \\' END AS description"
+        + " FROM videos WHERE entry_pos % 13 <> 5",
+        "videos",
+    ),
+)
+def q_parse_dump_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 in literal mode: the description keeps the producer's trailing `` \\`` (cut at the first ``_/``)."""
+    path = derived.staged_dump(spark, sf_dir)
+    cls = parse_ops.classify_entries(read_dump(spark, path), compat=True, channel_from_name=False)
+    return parse_ops.parsed_rows(cls).select(*RECORD_FIELDS)
+
+
 @register(
     "parse_rejects",
     with_views(
