@@ -285,6 +285,32 @@ def q_manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("header_json", F.lit(manifest_header_json(MANIFEST_TERMS))))
 
 
+@register(
+    "manifest_envelope",
+    with_views(
+        "SELECT subject_name || '_matching_Download_ready' AS manifest_name, count(DISTINCT id) AS n_keys,"
+        " count(DISTINCT id) + 5 AS n_lines FROM manifest GROUP BY subject_name",
+        "videos", extra=_manifest_ctes(_like_sql(MANIFEST_TERMS)),
+    ),
+)
+def q_manifest_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: manifest documents per subject written as sorted lines, read back and counted.
+
+    Each entry is one line (``to_json`` escapes newlines); a document has its
+    entries plus five frame lines (``{``, header, section open/close, ``}``).
+    """
+    from reelcat.session import staging_path
+    from reelcat.sinks.tables import write_manifest_documents
+
+    rows = manifest_ops.select_manifest(derived.videos(spark, sf_dir), terms=MANIFEST_TERMS)
+    rows = rows.withColumn("manifest_name", F.concat("subject_name", F.lit("_matching_Download_ready")))
+    path = staging_path(spark, "manifests")
+    write_manifest_documents(rows, MANIFEST_TERMS, path)
+    lines = spark.read.text(path)
+    return lines.groupBy("manifest_name").agg(
+        F.count_if(F.col("value").rlike('^(    |  , )"')).alias("n_keys"), F.count(F.lit(1)).alias("n_lines"))
+
+
 # ------------------------------------------------------------------ C2 / C4: catalogs
 
 CATALOG_TERMS = ["the", "und"]
