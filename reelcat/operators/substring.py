@@ -17,8 +17,8 @@ anchor; every such candidate is then verified exactly.
   holders, not names x needles;
 * shorter needles: key = the whole needle, matched against file grams of the
   same length (exact, no verification needed);
-* an empty needle is contained in every name: it matches when the subject
-  holds at least one file.
+* an empty needle is contained in every name: it is keyed as the 0-length
+  gram, which each name of the subject holds once.
 
 Needles are made distinct per subject first, so copies of one title or id in
 the manifest cost one lookup. All grams of a name are cut in one linear regex
@@ -85,13 +85,20 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
     fl = fl.repartition(int(fl.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_subj", "_fname")
 
     parts = []
-    # short needles (1..anchor-1 chars): exact gram equality, only the lengths in use
-    short = nd.where((F.col("_nlen") > 0) & (F.col("_nlen") < anchor))
+    # short needles (0..anchor-1 chars): exact gram equality, only the lengths in use;
+    # an empty needle is the 0-length gram that every name of its subject holds
+    short = nd.where(F.col("_nlen") < anchor)
     short_lengths = sorted(r[0] for r in short.select("_nlen").distinct().collect())  # fewer than `anchor`
     if short_lengths:
-        fg = fl.select("_subj", F.explode(tagged_grams(F.col("_fname"), short_lengths)).alias("_g")).select(
-            "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")).distinct()
-        parts.append(short.join(fg, ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
+        grams = []
+        positive = [n for n in short_lengths if n > 0]
+        if positive:
+            grams.append(fl.select("_subj", F.explode(tagged_grams(F.col("_fname"), positive)).alias("_g")).select(
+                "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")))
+        if 0 in short_lengths:
+            grams.append(fl.select("_subj", F.lit(0).alias("_nlen"), F.lit("").alias("_needle")))
+        fg = grams[0] if len(grams) == 1 else grams[0].unionByName(grams[1])
+        parts.append(short.join(fg.distinct(), ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
 
     # long needles: anchor on the rarest chunk, verify the whole needle
     long_ = nd.where(F.col("_nlen") >= anchor)
@@ -107,10 +114,6 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
     found = cand.where(F.contains(F.col("_fname"), F.col("_needle"))).select("_subj", "_needle").distinct()
     parts.append(long_.join(found, ["_subj", "_needle"], "left_semi").select(*keys))
 
-    # empty needles: the subject has at least one file
-    subjects = fl.select("_subj").distinct()
-    parts.append(nd.where(F.col("_nlen") == 0).join(subjects, "_subj", "left_semi").select(*keys))
-
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
