@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcat.functions.text import is_media_file, media_name
+from reelcat.functions.text import file_stem, is_media_file, media_name
 from reelcat.operators.dedup import keep_last
 
 # Fixed value: the name a browser download lands under before it is renamed.
@@ -30,8 +30,6 @@ def latest_media(inventory: DataFrame, folder: Sequence[str] = ("subject_name",
 
 def held_by_id(inventory: DataFrame, order: str = "path") -> DataFrame:
     """A10: ``file_id -> subject``, the last listed file wins (ordered by path)."""
-    from reelcat.functions.text import file_stem
-
     files = inventory.select(file_stem("filename").alias("file_id"), "subject_name", F.col(order))
     return keep_last(files, "file_id", order).select("file_id", "subject_name")
 

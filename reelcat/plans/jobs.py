@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelcat.functions.text import catalog_name_from_dump, manifest_name_from_input
+from reelcat.functions.text import catalog_name_from_dump, manifest_base_name, manifest_name_from_input
 from reelcat.operators import ledger as ledger_ops
 from reelcat.operators import manifest as manifest_ops
 from reelcat.operators import media as media_ops
@@ -23,6 +23,7 @@ from reelcat.operators.pages import PageSpec, extract_page_fields
 from reelcat.operators.parse import classify_entries, load_metrics, parsed_rows, rejected_rows
 from reelcat.session import stage_table
 from reelcat.sinks import tables as sinks
+from reelcat.sinks.documents import write_documents
 from reelcat.sources.dump import ORDER_COLUMNS, read_dump
 from reelcat.sources.files import read_catalog_rows
 
@@ -72,16 +73,12 @@ def build_catalog(spark: SparkSession, dump_path: str, out_path: str, glob: str
     sinks.write_catalog_rows(per_id, out_path)
     if documents_path:
         per_url = keep_last(per_id, ["catalog_file", "webpage_url"], order)
-        from reelcat.sinks.documents import write_documents
-
         write_documents(sinks.catalog_documents(per_url), "catalog_file", documents_path)
 
 
 def select_videos(spark: SparkSession, videos: DataFrame, out_folder: str, channel: str | None = None,
                   terms: Sequence[str] | None = None, order: Sequence[str] = ("entry_pos",)) -> str:
     """F5 selection -> A1 -> P3/P4 -> manifest written under a fresh name (P11 + K4)."""
-    from reelcat.functions.text import manifest_base_name
-
     rows = manifest_ops.select_manifest(videos, channel, terms, order=order)
     name = manifest_base_name(channel, list(terms) if terms else None)
     path = sinks.unique_path(spark, out_folder, name)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelcat.functions import text as T
 from reelcat.functions.text import subject_from_channel
 from reelcat.operators import ledger as ledger_ops
 from reelcat.operators import manifest as manifest_ops
@@ -21,6 +22,10 @@ from reelcat.operators import planning
 from reelcat.operators.dedup import dedup_videos, keep_last, url_index
 from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos
 from reelcat.schemas import RECORD_FIELDS
+from reelcat.session import staging_path
+from reelcat.sinks.tables import manifest_header_json, write_catalog_rows, write_manifest_documents
+from reelcat.sources.files import read_catalog_rows
+from reelcat.sources.tables import table
 from reelcat.sources import derived
 from reelcat.sources.derived import DUMP_RENDER_SQL, with_views
 from reelcat.sources.dump import read_dump
@@ -224,8 +229,6 @@ def q_select_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms derived from the data: the second word of each benchmark passage."""
-    from reelcat.sources.tables import table
-
     b = table(spark, sf_dir, "benchmark")
     return b.select(F.lower(F.split_part(F.col("text"), F.lit(" "), F.lit(2))).alias("term")).where(F.length("term") >= 3)
 
@@ -278,8 +281,6 @@ def q_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 + A11: videos per subject of a manifest, with the manifest header."""
-    from reelcat.sinks.tables import manifest_header_json
-
     rows = manifest_ops.select_manifest(derived.videos(spark, sf_dir), terms=MANIFEST_TERMS)
     return (manifest_ops.manifest_summary(rows, MANIFEST_TERMS).drop("search_terms")
             .withColumn("header_json", F.lit(manifest_header_json(MANIFEST_TERMS))))
@@ -299,9 +300,6 @@ def q_manifest_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each entry is one line (``to_json`` escapes newlines); a document has its
     entries plus five frame lines (``{``, header, section open/close, ``}``).
     """
-    from reelcat.session import staging_path
-    from reelcat.sinks.tables import write_manifest_documents
-
     rows = manifest_ops.select_manifest(derived.videos(spark, sf_dir), terms=MANIFEST_TERMS)
     rows = rows.withColumn("manifest_name", F.concat("subject_name", F.lit("_matching_Download_ready")))
     path = staging_path(spark, "manifests")
@@ -336,8 +334,6 @@ def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_catalogs(spark: SparkSession, sf_dir: str, path: str) -> None:
-    from reelcat.sinks.tables import write_catalog_rows
-
     write_catalog_rows(_catalog_rows(spark, sf_dir), path)
 
 
@@ -356,9 +352,6 @@ _CATALOG_ROWS_SQL = (
 @register("catalog_build", with_views(_CATALOG_ROWS_SQL, "videos"))
 def q_catalog_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse a dump, keep the last video per (catalog, id), write the catalogs (K2), read them back."""
-    from reelcat.session import staging_path
-    from reelcat.sources.files import read_catalog_rows
-
     path = staging_path(spark, "catalog-build")
     _write_catalogs(spark, sf_dir, path)
     return read_catalog_rows(spark, path).select("catalog_file", "id", "title", "duration")
@@ -377,8 +370,6 @@ def q_catalog_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_reduce_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4: built catalogs read back (S4), reduced by literal terms, with subject."""
-    from reelcat.sources.files import read_catalog_rows
-
     cat = read_catalog_rows(spark, _staged_catalogs(spark, sf_dir))
     red = manifest_ops.reduce_catalog_rows(cat, CATALOG_TERMS)
     return red.select("catalog_file", "id", "title", "duration", "subject_name")
@@ -579,8 +570,6 @@ def _inner(x: str, pat: str) -> str:
 )
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 (first link in a container), X2 (first link of the first group), X3 (link by text)."""
-    from reelcat.sources.tables import table
-
     return page_ops.page_links(table(spark, sf_dir, "pages"), _SPEC)
 
 
@@ -593,8 +582,6 @@ def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_page_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X4/F10 (failure block), F12 (notice text), language marker."""
-    from reelcat.sources.tables import table
-
     return page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
 
 
@@ -609,8 +596,6 @@ _LABEL = r"/([0-9]+)(?:[.]html)?/?(?:[?#].*)?$"
 )
 def q_page_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5 + P17 + F9: numeric label read from the page, compared with 400."""
-    from reelcat.sources.tables import table
-
     return page_ops.page_threshold(table(spark, sf_dir, "pages"), _SPEC)
 
 
@@ -620,8 +605,6 @@ def q_page_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_url_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file name a URL downloads to."""
-    from reelcat.sources.tables import table
-
     return page_ops.page_url_filename(table(spark, sf_dir, "pages"))
 
 
@@ -642,8 +625,6 @@ def q_url_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5 (channel from a dump name), P6 (catalog name), P7 (subject), P12 (manifest name)."""
-    from reelcat.functions import text as T
-
     ch = derived.videos(spark, sf_dir).where(F.col("youtuber").isNotNull()).select("youtuber").distinct()
     dump = F.concat(F.lit("list_"), F.col("youtuber"), F.lit("_Videos.txt"))
     cat = T.catalog_name_from_dump(dump)
@@ -707,8 +688,6 @@ def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Page ``k`` is the result page seen while fetching the video of entry ``k``.
     """
-    from reelcat.sources.tables import table
-
     pages = page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
     v = derived.videos(spark, sf_dir)
     seen = pages.join(v, pages["page_id"] == v["entry_pos"]).select(
@@ -727,6 +706,4 @@ def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page field in one projection (one scan, no shuffle)."""
-    from reelcat.sources.tables import table
-
     return page_ops.extract_page_fields(table(spark, sf_dir, "pages"), _SPEC)

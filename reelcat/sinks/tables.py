@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelcat.schemas import RECORD_FIELDS
-from reelcat.sinks.documents import JSON_OPTIONS, document_lines, write_documents
+from reelcat.sinks.documents import JSON_OPTIONS, document_lines, json_string, write_documents
 
 
 def write_videos(videos: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
@@ -52,8 +52,6 @@ def catalog_documents(catalog_rows: DataFrame) -> DataFrame:
     """
     rec = F.to_json(F.struct(*RECORD_FIELDS), JSON_OPTIONS)
     videos = catalog_rows.select("catalog_file", F.col("id").alias("key"), rec.alias("value_json"))
-    from reelcat.sinks.documents import json_string
-
     urls = catalog_rows.select("catalog_file", F.col("webpage_url").alias("key"), json_string(F.col("id")).alias("value_json"))
     return document_lines("catalog_file", None, [("videos", videos), ("urls", urls)])
 

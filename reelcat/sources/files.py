@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelcat.functions.text import CATALOG_SUFFIX, path_basename
-from reelcat.schemas import CATALOG_SCHEMA, LEDGER_SCHEMA, MANIFEST_SCHEMA, RECORD_FIELDS
+from reelcat.schemas import CATALOG_SCHEMA, LEDGER_SCHEMA, MANIFEST_SCHEMA, PAGE_SCHEMA, RECORD_FIELDS
 
 CATALOG_ROW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in RECORD_FIELDS]
@@ -120,8 +120,6 @@ def read_videos_jdbc(spark: SparkSession, url: str, table: str = "videos", parti
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Stored result pages ``(page_id, url, html)`` (Parquet or JSON Lines)."""
-    from reelcat.schemas import PAGE_SCHEMA
-
     if fmt == "parquet":
         return spark.read.parquet(path).select(*PAGE_SCHEMA.fieldNames())
     return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from reelcat.operators.ledger import upsert_ledger
+from reelcat.sinks.tables import current_ledger_path, write_ledger
 
 STATUS_SCHEMA = "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long"
 _STORED_SCHEMA = "video_id string, video_title string, is_link_found boolean, ledger_pos long, subject_name string"
@@ -39,8 +40,6 @@ def start_status_updates(spark: SparkSession, landing: str, ledger_base: str, ch
                          initial_ledger: str | None = None, fmt: str = "json", files_per_batch: int = 100,
                          trigger_once: bool = False) -> StreamingQuery:
     """Start the streaming ledger upsert over status files landing in ``landing``."""
-    from reelcat.sinks.tables import write_ledger
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         base = ledger_base.rstrip("/")
         target = f"{base}/version={batch_id + 1}"
@@ -61,7 +60,5 @@ def start_status_updates(spark: SparkSession, landing: str, ledger_base: str, ch
 
 def latest_version(spark: SparkSession, ledger_base: str) -> DataFrame:
     """The newest committed ledger version."""
-    from reelcat.sinks.tables import current_ledger_path
-
     return read_ledger_version(spark, current_ledger_path(spark, ledger_base))
 
