@@ -40,8 +40,9 @@ DEFAULT_ANCHOR = 12
 
 def grams_of(text: Column, length: int) -> Column:
     """All overlapping ``length``-char grams of ``text`` (code points), in order."""
-    # start only at code-point boundaries (never between the halves of a surrogate pair)
-    pattern = f"(?s)(?<![\\uD800-\\uDBFF])(?=(.{{{length}}}))"
+    # start only at code-point boundaries: never at the low half of a surrogate pair
+    # (Java reads a lone low surrogate as itself, so this test is reliable)
+    pattern = f"(?s)(?=((?![\\uDC00-\\uDFFF]).{{{length}}}))"
     return F.regexp_extract_all(text, F.lit(pattern), 1)
 
 

@@ -108,3 +108,23 @@ def test_skip_substring_hot_subject_with_near_duplicate_series(spark):
     inv = spark.createDataFrame([(s, n, None, 1) for s, n in files], INV)
     kept = {r["id"] for r in P.skip_substring(m, inv).collect()}
     assert kept == {i for i, _, _ in man} - brute_contains(man, files)
+
+
+def test_grams_are_code_points_even_for_surrogate_pairs(spark):
+    from reelcat.operators.substring import chunks_of, grams_of
+
+    df = spark.createDataFrame([("a😀bc",), ("😀😀",)], "s string")
+    got = [r[0] for r in df.select(grams_of(F.col("s"), 2)).collect()]
+    assert got == [["a😀", "😀b", "bc"], ["😀😀"]]
+    ch = [r[0] for r in df.select(chunks_of(F.col("s"), 2)).collect()]
+    assert ch == [["a😀", "bc"], ["😀😀"]]
+
+
+def test_skip_substring_with_emoji_names(spark):
+    man = [("e1", "Leg 😀 day", "@s"), ("e2", "😀", "@s"), ("e3", "no match here at all", "@s"), ("e4", "x😀y", "@s")]
+    files = [("@s", "best Leg 😀 day ever.mp4"), ("@s", "plain.mp4"), ("@s", "x😀y.mp4")]
+    m = spark.createDataFrame([(i, t, s, "1") for i, t, s in man], MAN)
+    inv = spark.createDataFrame([(s, n, None, 1) for s, n in files], INV)
+    for anchor in (3, 12):
+        kept = {r["id"] for r in P.skip_substring(m, inv, anchor=anchor).collect()}
+        assert kept == {i for i, _, _ in man} - brute_contains(man, files)
