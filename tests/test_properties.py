@@ -25,7 +25,8 @@ record = st.fixed_dictionaries({
     "duration": field(TEXT),
     "view_count": field(WORD, 1),
     "like_count": field(TEXT),
-    "title": st.lists(field(TEXT, 1), min_size=1, max_size=3).map(" | ".join),  # pipes inside titles
+    # pipes inside titles; pieces non-empty after stripping, so the title has no edge whitespace
+    "title": st.lists(field(TEXT, 1).filter(bool), min_size=1, max_size=3).map(" | ".join),
     "id": field(WORD + "-", 1),
     "webpage_url": field(WORD + "/?=&.", 1).map(lambda s: "https://" + s),
     "description": st.lists(field(TEXT + "|", 0, 40), max_size=4).map("\n".join).map(str.strip),
