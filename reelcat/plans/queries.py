@@ -1,7 +1,14 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
-Every query reads the given tables (through the derived views) so its work
-grows with them. ``ORACLES`` holds the equivalent DuckDB SQL for each query.
+Every query reads the given tables (through the views of ``sources.derived``),
+so its work grows with them. ``ORACLES`` holds the equivalent DuckDB SQL for
+each query, written next to it; column names match exactly.
+
+Sections: dump scan and parse (S1, P1, F6, F7, A3), dedup (A1, A2), selection
+(F1-F5, J6), manifests (C3, A4, A11, K3), catalogs (C2, C4), the work list
+(J1-J3, C5, A5, A6, T1), the ledger (J4, C6, A7, A8), media (A9, A10, C7),
+pages (C8, X1-X5, F9, F12, P13) and file names (P5-P7, P12). The ``*_hot_*``
+queries rerun a plan with one subject or one id holding a third of all rows.
 """
 
 from __future__ import annotations
