@@ -36,9 +36,3 @@ def read_dump(spark: SparkSession, path: str | list[str], glob: str | None = Non
         F.col("_metadata.file_block_start").alias("source_offset"),
         F.monotonically_increasing_id().alias("source_seq"),
     )
-
-
-def entry_order(df: DataFrame, descending: bool = False) -> list:
-    """Sort expressions for the producer's entry order."""
-    cols = [F.col(c) for c in ORDER_COLUMNS]
-    return [c.desc() for c in cols] if descending else [c.asc() for c in cols]
