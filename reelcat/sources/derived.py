@@ -11,6 +11,10 @@ every case an operator must handle occurs and every view grows with the data:
 * ``link_status``  an existing status ledger
 * ``new_status``   a later status batch: some keys old, some new, titles changed
 * ``attempts``     download attempts per video (from ``events``)
+
+``videos(..., hot=True)`` gives one channel a third of all rows and
+``videos(..., hot_id=True)`` one id a third of all rows (skew checks);
+``inventory`` and ``link_status`` follow ``hot``.
 """
 
 from __future__ import annotations
