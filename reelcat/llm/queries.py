@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from reelcat.llm import quality
+from reelcat.llm import exact_dedup, quality
 
-QUERIES = {"op3_quality_rules": quality.op3_quality_rules}
-ORACLES = {"op3_quality_rules": quality.ORACLE}
+QUERIES = {
+    "op3_quality_rules": quality.op3_quality_rules,
+    "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+}
+ORACLES = {
+    "op3_quality_rules": quality.ORACLE,
+    "op4_exact_dedup": exact_dedup.ORACLE,
+}
