@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from reelcat.llm import exact_dedup, quality
+from reelcat.llm import exact_dedup, mixing, quality, warc
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op7_warc": warc.op7_warc,
+    "op8_mixing": mixing.op8_mixing,
 }
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op7_warc": warc.ORACLE,
+    "op8_mixing": mixing.ORACLE,
 }
