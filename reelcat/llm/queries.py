@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reelcat.llm import exact_dedup, mixing, quality, warc
+from reelcat.llm import exact_dedup, mixing, ngram_join, quality, warc
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_warc": warc.op7_warc,
     "op8_mixing": mixing.op8_mixing,
 }
