@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcat.llm.common import ascii_lower, list_array, small_batches, split_words, table, whole
+from reelcat.llm.common import ascii_lower, list_array, only_ids, small_batches, split_words, table, whole
 from reelcat.llm.components import components
 from reelcat.session import stage_table
 
@@ -44,8 +44,6 @@ U = np.uint64
 #: Classes of a probe's block at most; larger groups are searched in several blocks.
 BLOCK = 512
 ROUNDS = 2
-#: Documents up to which the ids of documents to read again are broadcast (8 bytes each).
-BROADCAST_IDS = 1_000_000
 
 
 def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -266,11 +264,8 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     # whole sets of the classes that met another one
     active = stage_table(classes.join(live.select("c").distinct(), "c", "left_semi").select("c", "id", "n", "k1", "k2"), "ngram-active")
-    wanted = active.select("id").distinct()
-    if active.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
     again = docs.select(F.col(f"`{key}`").cast("long").alias("id"), ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
-    again = again.join(wanted, again["id"].eqNullSafe(wanted["id"]), "left_semi").select("t")
+    again = only_ids(again, active, "id").select("t")
     sets = again.mapInArrow(_full(width), "n bigint, k1 bigint, k2 bigint, tokens array<bigint>")
     sets = sets.join(active.select("c", "n", "k1", "k2"), ["n", "k1", "k2"]).groupBy("c").agg(F.first("tokens").alias("tokens"))
     sets = stage_table(sets, "ngram-sets")

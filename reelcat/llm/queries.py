@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelcat.llm import exact_dedup, mixing, ngram_join, quality, warc
+from reelcat.llm import exact_dedup, mixing, ngram_join, quality, suffix_dedup, warc
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_warc": warc.op7_warc,
     "op8_mixing": mixing.op8_mixing,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
 }
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
