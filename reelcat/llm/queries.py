@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelcat.llm import exact_dedup, mixing, ngram_join, quality, suffix_dedup, warc
+from reelcat.llm import exact_dedup, mixing, ngram_join, pieces, quality, suffix_dedup, warc
 
 QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_warc": warc.op7_warc,
     "op8_mixing": mixing.op8_mixing,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
+    "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 ORACLES = {
     "op3_quality_rules": quality.ORACLE,
