@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from reelcat.llm import exact_dedup, mixing, ngram_join, pieces, quality, suffix_dedup, warc
+from reelcat.llm import chat, exact_dedup, language, mixing, ngram_join, pieces, quality, suffix_dedup, warc
 
 QUERIES = {
+    "op1_chat_formatting": chat.op1_chat_formatting,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_language_id": language.op5_language_id,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_warc": warc.op7_warc,
     "op8_mixing": mixing.op8_mixing,
@@ -14,6 +16,7 @@ QUERIES = {
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 ORACLES = {
+    "op1_chat_formatting": chat.ORACLE,
     "op3_quality_rules": quality.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op7_warc": warc.ORACLE,
