@@ -96,13 +96,16 @@ def list_array(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.L
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
 
 
-#: Ids up to which a list of documents is broadcast (8 bytes each); a longer one is joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Rows up to which a staged table of a few longs a row is broadcast; a longer one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(staged: DataFrame) -> DataFrame:
+    """A staged narrow table, marked for broadcast only if its counted rows are few."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
-    """The documents whose ``key`` is (left_semi) or isn't (left_anti) in the staged table ``ids``, null-safe."""
-    ids = ids.select(F.col(key).alias("__only_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """The rows whose ``key`` is (left_semi) or isn't (left_anti) in the staged table ``ids``, null-safe."""
+    ids = sized(ids.select(F.col(key).alias("__only_id")))
     return docs.join(ids, docs[key].eqNullSafe(ids["__only_id"]), how)

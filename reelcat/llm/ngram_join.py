@@ -5,13 +5,15 @@ A document is its set of distinct 4-word shingles. Two documents link when
 
 1. Documents with equal sets form a class; only classes are compared.
 2. Shingles are ordered by a bounded count sketch (ordinary ones first, frequent ones
-   last), then by hash. Sets that reach the threshold share a shingle of their first
-   n - ceil(0.85 n) + 1: the postings of these, kept where two classes meet.
+   last), then by hash. Of a set's first n - ceil(0.85 n) + c shingles, two sets that reach
+   the threshold share c at least; c is 5 % of the set. Postings of shingles that a single
+   class has are dropped, then classes left with too few, then each class's most frequent
+   ones, down to half of what a pair must share.
 3. *Contracting rounds*: every class is held against the one it shares most postings
    with in another component, so a group of a thousand near copies needs about a
    thousand comparisons. Links are united (large star, small star).
-4. *Exact round*: what postings still join across components, pair by pair, is
-   searched too. A link inside a component wouldn't change it, so none is lost.
+4. *Exact round*: all pairs that still share enough postings across components are
+   searched. A link inside a component wouldn't change it, so none is lost.
 
 The search takes one probe and a block of classes: an inverted list per probe shingle; the
 L longest are set aside, the short ones heap-merged, classes met T - L times probed in the
@@ -32,10 +34,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelcat.llm.common import ascii_lower, list_array, only_ids, small_batches, split_words, table, whole
+from reelcat.llm.common import ascii_lower, list_array, only_ids, sized, small_batches, split_words, table, whole
 from reelcat.llm.components import components
 from reelcat.session import stage_table
 
@@ -44,6 +46,7 @@ U = np.uint64
 #: Classes of a probe's block at most; larger groups are searched in several blocks.
 BLOCK = 512
 ROUNDS = 2
+SHARED_PERCENT = 5
 
 
 def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -84,6 +87,11 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], np.cumsum(np.bincount(d, minlength=len(texts))))), h
 
 
+def needed(n):
+    """How many shingles of their prefixes two sets must share, the smaller having ``n``."""
+    return 1 + n * SHARED_PERCENT // 100
+
+
 def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> U(64 - bits)).astype(np.int64)
 
@@ -127,7 +135,7 @@ def _prefixes(width: int, percent: int, bits: int, levels):
                 run_up = np.concatenate(([U(0)], np.cumsum(_mixed(h, salt), dtype=U)))
                 sums.append((run_up[off[1:]] - run_up[off[:-1]]).view(np.int64))
             h = h[np.lexsort((h, level[_bucket(h, bits)], doc))]
-            first = np.where(n > 0, n + 1 - (percent * n + 99) // 100, 0)
+            first = np.minimum(n, n - (percent * n + 99) // 100 + needed(n))
             keep = (np.arange(len(h)) - off[doc]) < first[doc]
             prefix = list_array(h[keep].view(np.int64), np.concatenate(([0], np.cumsum(first))), pa.int64())
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(n), *map(pa.array, sums), prefix], names=["id", "n", "k1", "k2", "prefix"])
@@ -234,75 +242,86 @@ def _search(percent: int):
 
 
 def search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among ``pairs`` (probe, c); ``sets`` is (c, tokens)."""
+    """Links (u, v) among the staged ``pairs`` (probe, c); ``sets`` is (c, tokens)."""
     parts = pairs.groupBy("probe").agg(F.count(F.lit(1)).alias("k")).withColumn("parts", F.ceil(F.col("k") / BLOCK).cast("int"))
-    dealt = pairs.join(parts, "probe").select("probe", "c", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("part"))
-    members = dealt.join(sets, "c").select("probe", "part", F.lit(1).alias("member"), "c", "tokens")
+    parts = stage_table(parts, "ngram-blocks")
+    dealt = pairs.join(sized(parts), "probe").select("probe", "c", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("part"))
+    members = sets.join(sized(stage_table(dealt, "ngram-dealt")), "c").select("probe", "part", F.lit(1).alias("member"), "c", "tokens")
     asked = parts.select("probe", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    probes = asked.join(sets, F.col("probe") == F.col("c")).select("probe", "part", F.lit(0).alias("member"), "c", "tokens")
-    rows = members.unionByName(probes).repartition("probe", "part").sortWithinPartitions("probe", "part", "member")
-    return rows.mapInArrow(_search(percent), "u bigint, v bigint")
+    asked = sets.join(sized(stage_table(asked, "ngram-asked")), F.col("probe") == F.col("c"))
+    rows = members.unionByName(asked.select("probe", "part", F.lit(0).alias("member"), "c", "tokens"))
+    return rows.repartition("probe", "part").sortWithinPartitions("probe", "part", "member").mapInArrow(_search(percent), "u bigint, v bigint")
 
 
-def classes_and_members(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(members: id, n, k1, k2; classes: c, id, n, k1, k2, prefix), both staged."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
-    levels = spark.sparkContext.broadcast(sketch(texts.select("t"), width))
-    members = stage_table(texts.mapInArrow(_prefixes(width, percent, SKETCH_BITS, levels),
-                                           "id bigint, n bigint, k1 bigint, k2 bigint, prefix array<bigint>"), "ngram-members")
-    classes = members.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"))
-    return members.drop("prefix"), stage_table(classes.withColumn("c", F.monotonically_increasing_id()), "ngram-classes")
+def _shortened(postings: DataFrame, percent: int) -> DataFrame:
+    """(c, n, q, token): what classes keep of their postings; a pair that links shares min(q) of them at least."""
+    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    live = stage_table(postings.join(met, "token"), "ngram-postings")
+    own = Window.partitionBy("c")
+    # both sizes of a pair are at least ``percent`` of this one's
+    least = 1 + F.floor(F.floor((percent * F.col("n") + 99) / 100) * SHARED_PERCENT / 100).cast("int")
+    live = live.withColumns({"least": least, "have": F.count(F.lit(1)).over(own)}).withColumn("q", F.ceil(F.col("least") / 2).cast("int"))
+    live = live.where("have >= least").withColumn("place", F.row_number().over(own.orderBy("df", "token")))
+    return stage_table(live.where("place <= have - (least - q)").select("c", "n", "q", "token"), "ngram-shortened")
 
 
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """(id, n_shingles, component_id), one row for each input row."""
-    members, classes = classes_and_members(docs, key, text, width, percent)
-    postings = classes.select("c", "n", F.explode("prefix").alias("token"))
-    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    live = stage_table(postings.join(met, "token", "left_semi"), "ngram-postings")
-
-    # whole sets of the classes that met another one
-    active = stage_table(classes.join(live.select("c").distinct(), "c", "left_semi").select("c", "id", "n", "k1", "k2"), "ngram-active")
-    again = docs.select(F.col(f"`{key}`").cast("long").alias("id"), ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
-    again = only_ids(again, active, "id").select("t")
+    spark = docs.sparkSession
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
+    levels = spark.sparkContext.broadcast(sketch(texts.select("t"), width))
+    members = texts.mapInArrow(_prefixes(width, percent, SKETCH_BITS, levels), "id bigint, n bigint, k1 bigint, k2 bigint, prefix array<bigint>")
+    members = stage_table(members.withColumn("r", F.monotonically_increasing_id()), "ngram-members")  # r is fixed once written
+    narrow = members.where("n > 0").select("id", "n", "k1", "k2", "r")
+    classes = narrow.groupBy("n", "k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "r")).alias("rep"))
+    classes = stage_table(classes.select("n", "k1", "k2", F.col("rep.id").alias("id"), F.col("rep.r").alias("c")), "ngram-classes")
+    copies = narrow.join(classes.select("n", "k1", "k2", "c"), ["n", "k1", "k2"]).where("r <> c").select("r")
+    firsts = only_ids(members.where("n > 0").select("r", "n", "prefix"), stage_table(copies, "ngram-copies"), "r", "left_anti")
+    live = _shortened(firsts.select(F.col("r").alias("c"), "n", F.explode("prefix").alias("token")), percent)
+
+    # whole sets of the classes that still meet another one
+    met = live.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+    active = live.join(met, "token", "left_semi").select("c").distinct()
+    active = stage_table(classes.join(active, "c", "left_semi"), "ngram-active")
+    again = only_ids(texts, active, "id").select("t")
     sets = again.mapInArrow(_full(width), "n bigint, k1 bigint, k2 bigint, tokens array<bigint>")
-    sets = sets.join(active.select("c", "n", "k1", "k2"), ["n", "k1", "k2"]).groupBy("c").agg(F.first("tokens").alias("tokens"))
-    sets = stage_table(sets, "ngram-sets")
+    sets = stage_table(sets.join(sized(active.select("c", "n", "k1", "k2")), ["n", "k1", "k2"]).select("c", "tokens"), "ngram-sets")
 
-    labels = active.select("c", F.col("c").alias("label"))
-    tried = None
+    labels, tried = active.select("c", F.col("c").alias("label")), None
     for turn in range(ROUNDS + 1):
         held = live.join(labels, "c")
-        low = held.groupBy("token").agg(F.min(F.struct("label", "c", "n")).alias("low"), F.max("label").alias("top"))
+        low = held.groupBy("token").agg(F.min(F.struct("label", "c", "n", "q")).alias("low"), F.max("label").alias("top"))
         low = low.where(F.col("low.label") < F.col("top"))
         if turn < ROUNDS:  # each class against the one it meets most often in its postings' lowest component
-            pairs = held.join(low, "token").where((F.col("label") > F.col("low.label"))
-                                                  & (100 * F.least("n", "low.n") >= percent * F.greatest("n", "low.n")))
-            pairs = pairs.groupBy("c", F.col("low.c").alias("probe")).agg(F.count(F.lit(1)).alias("k"))
-            if tried is not None:
-                pairs = pairs.join(tried, ["probe", "c"], "left_anti")
-            pairs = pairs.groupBy("c").agg(F.max(F.struct("k", "probe")).alias("best")).select("best.probe", "c")
+            met = held.join(low, "token").where(F.col("label") > F.col("low.label"))
+            met = met.select("c", "n", "q", F.col("low.c").alias("probe"), F.col("low.n").alias("m"), F.col("low.q").alias("p"))
         else:  # all that is left across components
-            cross = held.join(low.select("token"), "token")
+            cross = held.join(low.select("token"), "token", "left_semi")
             one, two = cross.alias("a"), cross.alias("b")
-            pairs = one.join(two, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") < F.col("b.label"))
-                             & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")))
-            pairs = pairs.select(F.col("a.c").alias("probe"), F.col("b.c").alias("c")).distinct()
-            if tried is not None:
-                pairs = pairs.join(tried, ["probe", "c"], "left_anti").join(tried.select(F.col("c").alias("probe"), F.col("probe").alias("c")), ["probe", "c"], "left_anti")
-        pairs = stage_table(pairs, "ngram-pairs")
+            met = one.join(two, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") < F.col("b.label"))
+                           & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")))
+            met = met.select(F.col("b.c").alias("c"), F.col("b.n").alias("n"), F.col("b.q").alias("q"),
+                             F.col("a.c").alias("probe"), F.col("a.n").alias("m"), F.col("a.q").alias("p"))
+        met = met.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        pairs = met.groupBy("probe", "c").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("q", "p")).alias("least")).where("k >= least")
+        if tried is not None:
+            pairs = pairs.join(sized(tried), ["probe", "c"], "left_anti")
+        if turn < ROUNDS:
+            pairs = pairs.groupBy("c").agg(F.max(F.struct("k", "probe")).alias("best")).select("best.probe", "c")
+        pairs = stage_table(pairs.select("probe", "c"), "ngram-pairs")
         links = stage_table(search(pairs, sets, percent), "ngram-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        joined = (links.join(labels.select(F.col("c").alias("u"), F.col("label").alias("lu")), "u")
-                  .join(labels.select(F.col("c").alias("v"), F.col("label").alias("lv")), "v").select(F.col("lu").alias("u"), F.col("lv").alias("v")))
+        both = pairs.unionByName(pairs.select(F.col("c").alias("probe"), F.col("probe").alias("c")))
+        tried = both if tried is None else tried.unionByName(both)
+        named = sized(labels)
+        joined = (links.join(named.select(F.col("c").alias("u"), F.col("label").alias("lu")), "u")
+                  .join(named.select(F.col("c").alias("v"), F.col("label").alias("lv")), "v").select(F.col("lu").alias("u"), F.col("lv").alias("v")))
         roots = components(joined)
         labels = stage_table(labels.join(roots.select(F.col("u").alias("label"), "root"), "label", "left")
                              .select("c", F.coalesce("root", "label").alias("label")), "ngram-labels")
-    own = classes.select("c", "id", "n", "k1", "k2").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    own = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     lowest = own.groupBy("label").agg(F.min("id").alias("component_id"))
     named = own.join(lowest, "label").select("n", "k1", "k2", "component_id")
-    out = members.join(named, ["n", "k1", "k2"], "left")
+    out = members.drop("prefix").join(named, ["n", "k1", "k2"], "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
