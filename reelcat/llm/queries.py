@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reelcat.llm import chat, exact_dedup, language, mixing, ngram_join, pieces, quality, suffix_dedup, warc
+from reelcat.llm import chat, exact_dedup, language, mixing, ngram_join, pieces, pii, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
+    "op2_personal_data": pii.op2_personal_data,
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": language.op5_language_id,
