@@ -31,13 +31,18 @@ COMPAT_DESCRIPTION_END = "_/"
 _DESCRIPTION_PART = r"\s*(.*?)\s*\_/"
 HEAD_PATTERN = RECORD_PATTERN[: RECORD_PATTERN.rindex(_DESCRIPTION_PART)]
 
+# The same head, written to be matched in one walk. The first word-only field from
+# the third on is the view count, and the field after it the like count: a later
+# choice would only lengthen fields before the id, so it never parses more. Each
+# text field is a run of pieces (non-blanks, blanks before a non-pipe, and where a
+# field may hold pipes, a pipe that doesn't begin what must follow), all possessive.
 # Java flags: s = dot matches newline, U = Unicode \w \d \s; \A = match at start.
-_HEAD_JAVA = r"(?sU)\A" + HEAD_PATTERN
-# A necessary condition of the head (a leading pipe, then an id and a URL
-# between pipes). Checked first: it is linear, while the head regex can
-# backtrack polynomially on long entries that do not parse. Lazy, so on a
-# record it stops at the first id/URL pair instead of walking the description.
-_GUARD_JAVA = r"(?sU)\A\|.*?\|\s*[\w-]+\s*\|\s*https?://\S+\s*\|"
+_FIELD = r"\s*+((?:[^\s|]++|\s++(?!\|))*+)\s*+\|"
+_FIELD_UNTIL = r"\s*+((?:[^\s|]++|\s++(?!\|)|\s*+\|(?!{0}))*+)\s*+\|"
+_HEAD_JAVA = (
+    r"(?sU)\A\|" + _FIELD + _FIELD_UNTIL.format(r"\s*+\w++\s*+\|") + r"\s*+(\w++)\s*+\|" + _FIELD
+    + _FIELD_UNTIL.format(r"\s*+[\w-]++\s*+\|\s*+https?://\S+\s*+\|") + r"\s*+([\w-]++)\s*+\|\s*+(https?://\S+)\s*\|"
+)
 
 
 def record_head(entry: ColumnOrName) -> Column:
@@ -47,8 +52,7 @@ def record_head(entry: ColumnOrName) -> Column:
     decode their whole input, so the entry is matched once here and the seven
     fields are then cut from the (short) head.
     """
-    e = _col(entry)
-    return F.when(e.rlike(_GUARD_JAVA), F.regexp_extract(e, _HEAD_JAVA, 0)).otherwise(F.lit(""))
+    return F.regexp_extract(_col(entry), _HEAD_JAVA, 0)
 
 
 def entry_parses(entry: ColumnOrName) -> Column:
@@ -68,7 +72,7 @@ def record_fields(entry: ColumnOrName, compat: bool = False, head: Column | None
     h = record_head(e) if head is None else head
     ok = h != F.lit("")
     fields = [F.when(ok, F.regexp_extract(h, _HEAD_JAVA, i)) for i in range(1, 8)]
-    rest = F.substring(e, F.length(h) + 1, 1 << 30)
+    rest = F.substr(e, F.length(h) + 1)
     if compat:
         rest = F.substring_index(F.concat(rest, F.lit(" " + RECORD_TERMINATOR)), COMPAT_DESCRIPTION_END, 1)
     fields.append(F.when(ok, strip_ws(rest)))

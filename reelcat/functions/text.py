@@ -70,6 +70,11 @@ def path_basename(path: ColumnOrName) -> Column:
     return F.regexp_extract(_col(path), "([^/]*)$", 1)
 
 
+def decoded_path(path: ColumnOrName) -> Column:
+    """A path or file name as stored: Spark's ``_metadata`` columns hold it URI-encoded (``+`` stands for itself)."""
+    return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
+
+
 def file_stem(file_name: ColumnOrName) -> Column:
     """Drop the last extension as ``os.path.splitext`` does.
 
@@ -82,7 +87,7 @@ def file_stem(file_name: ColumnOrName) -> Column:
 def catalog_name_from_dump(file_name: ColumnOrName) -> Column:
     """Dump ``list_Chan_Videos.txt`` -> catalog ``_Chan_Videos_VideosObject.json``."""
     stem = file_stem(path_basename(file_name))
-    return F.concat(F.substring(stem, 5, 1 << 30), F.lit(CATALOG_SUFFIX))
+    return F.concat(F.substr(stem, F.lit(5)), F.lit(CATALOG_SUFFIX))
 
 
 def subject_from_catalog_name(path: ColumnOrName) -> Column:

@@ -97,7 +97,7 @@ def q_parse_dump_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     "parse_rejects",
     with_views(
         f"SELECT {_STRIP.format(chr(39) + 'junk ' + chr(39) + ' || ' + DUMP_RENDER_SQL)} AS entry, 'rejected' AS reason"
-        " FROM videos WHERE entry_pos % 13 = 5",
+        f" FROM videos WHERE entry_pos % 13 = 5 UNION ALL SELECT '{derived.MALFORMED}', 'rejected' FROM videos WHERE entry_pos % 31 = 3",
         "videos",
     ),
 )
@@ -111,11 +111,11 @@ def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         f"""SELECT
  CAST(sum(CASE WHEN entry_pos % 13 = 5 THEN 6 ELSE 1 END + length({DUMP_RENDER_SQL}))
-   + 3 * count(*) FILTER (WHERE entry_pos % 50 = 7) AS BIGINT) AS chars,
- count(*) + count(*) FILTER (WHERE entry_pos % 50 = 7) AS entries,
+   + 3 * count(*) FILTER (WHERE entry_pos % 50 = 7) + {len(derived.MALFORMED) + 2} * count(*) FILTER (WHERE entry_pos % 31 = 3) AS BIGINT) AS chars,
+ count(*) + count(*) FILTER (WHERE entry_pos % 50 = 7) + count(*) FILTER (WHERE entry_pos % 31 = 3) AS entries,
  count(*) FILTER (WHERE entry_pos % 50 = 7) AS empty_entries,
  count(*) FILTER (WHERE entry_pos % 13 <> 5) AS parsed_entries,
- count(*) FILTER (WHERE entry_pos % 13 = 5) AS rejected_entries,
+ count(*) FILTER (WHERE entry_pos % 13 = 5) + count(*) FILTER (WHERE entry_pos % 31 = 3) AS rejected_entries,
  count(DISTINCT id) FILTER (WHERE entry_pos % 13 <> 5) AS distinct_ids,
  count(DISTINCT webpage_url) FILTER (WHERE entry_pos % 13 <> 5) AS distinct_urls
 FROM videos""",

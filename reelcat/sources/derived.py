@@ -182,7 +182,10 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None, hot:
 # ------------------------------------------------------------- dump fixture
 # A dump rendered from ``videos``: every 13th record (pos % 13 = 5) gets text
 # before its first pipe, so it must be rejected; after every 50th record
-# (pos % 50 = 7) comes a blank entry, which must be skipped and counted.
+# (pos % 50 = 7) comes a blank entry, which must be skipped and counted; after every
+# 31st (pos % 31 = 3) an id and a URL in the wrong place and then only words, which
+# must be rejected, and in time linear in its length.
+MALFORMED = "| a | id1 | https://media.example.org/v" + " | word" * 60
 
 
 def dump_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +198,9 @@ def dump_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     blanks = v.where(_mod(pos, 50) == 7).select(
         "youtuber", pos.alias("k1"), F.lit(1).alias("k2"), F.lit("\n  ").alias("value"))
-    return records.unionByName(blanks)
+    broken = v.where(_mod(pos, 31) == 3).select(
+        "youtuber", pos.alias("k1"), F.lit(2).alias("k2"), F.lit("\n" + MALFORMED + " ").alias("value"))
+    return records.unionByName(blanks).unionByName(broken)
 
 
 _STAGED: dict[tuple[str, str, str], str] = {}
