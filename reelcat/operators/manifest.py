@@ -52,15 +52,16 @@ def manifest_summary(rows: DataFrame, terms: Sequence[str] | None = None) -> Dat
 
 
 def reduce_catalog_rows(catalog_rows: DataFrame, terms: Sequence[str] | None = None,
-                        order: Sequence[str] = ("entry_pos",)) -> DataFrame:
+                        order: Sequence[str] | None = None) -> DataFrame:
     """C4: per catalog file, videos whose title holds a term (literal), with subject.
 
-    ``catalog_rows`` has ``catalog_file`` and the record fields. Ids are unique
-    within a file (last wins, as when a JSON object repeats a key); the subject
+    ``catalog_rows`` has ``catalog_file`` and the record fields. Ids are unique within a
+    written catalog, so nothing is shuffled; for rows that repeat one, ``order`` names
+    the columns by which the last wins (as when a JSON object repeats a key). The subject
     comes from the file name (P7); the filter is a literal substring match (F3),
     or none without terms (F4).
     """
-    per_file = keep_last(catalog_rows, ["catalog_file", "id"], list(order))
+    per_file = keep_last(catalog_rows, ["catalog_file", "id"], list(order)) if order else catalog_rows
     if terms:
         per_file = per_file.where(any_term("title", list(terms), MATCH_LITERAL))
     return per_file.select(

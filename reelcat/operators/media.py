@@ -15,7 +15,7 @@ DEFAULT_DOWNLOAD_NAME = "videoplayback.mp4"
 
 
 def latest_media(inventory: DataFrame, folder: Sequence[str] = ("subject_name", "quality_dir"),
-                 mtime: str = "mtime_pos") -> DataFrame:
+                 mtime: str = "modification_time") -> DataFrame:
     """A9 (S9): per folder, the newest ``.mp4`` (any case); ties go to the greater name.
 
     ``max_by`` aggregates with map-side partials, so a folder with a third of

@@ -70,8 +70,8 @@ def rejected_rows(classified: DataFrame) -> DataFrame:
     )
 
 
-def load_metric_columns() -> list[Column]:
-    """A3: the load counters as aggregate expressions over classified entries.
+def load_counters() -> list[Column]:
+    """A3: the plain load counters as aggregate expressions over classified entries.
 
     ``entries`` counts the chunks the reader emits (a final empty chunk after the
     last terminator is not emitted, unlike ``str.split``); ``chars`` counts the
@@ -83,6 +83,14 @@ def load_metric_columns() -> list[Column]:
         F.count_if(st == STATUS_EMPTY).alias("empty_entries"),
         F.count_if(st == STATUS_PARSED).alias("parsed_entries"),
         F.count_if(st.isin(STATUS_REJECTED, STATUS_NO_CHANNEL)).alias("rejected_entries"),
+    ]
+
+
+def load_metric_columns() -> list[Column]:
+    """A3: all load counters, with those of distinct values (which an observation can't hold)."""
+    st = F.col("entry_status")
+    return [
+        *load_counters(),
         F.count_distinct(F.when(st == STATUS_PARSED, F.col("id"))).alias("distinct_ids"),
         F.count_distinct(F.when(st == STATUS_PARSED, F.col("webpage_url"))).alias("distinct_urls"),
     ]

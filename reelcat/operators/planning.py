@@ -13,6 +13,7 @@ from reelcat.functions.numbers import status_flag, tolerant_duration
 from reelcat.functions.text import file_stem, is_media_file
 from reelcat.operators.dedup import keep_first
 from reelcat.operators.substring import DEFAULT_ANCHOR, rows_with_contained_needle
+from reelcat.session import stage_table
 
 HIGH_QUALITY_DIR = "HighQuality"
 
@@ -57,10 +58,11 @@ def flat_media(inventory: DataFrame) -> DataFrame:
 
 def skip_substring(manifest: DataFrame, inventory: DataFrame, anchor: int = DEFAULT_ANCHOR) -> DataFrame:
     """Drop videos whose id or title occurs inside a file name of their subject."""
+    manifest = stage_table(manifest, "work")  # read twice: for its needles, and for the anti join
     files = flat_media(inventory)
     # both needles of a row from one pass over the manifest
     needles = manifest.select("subject_name", "id", F.explode(F.array("id", "title")).alias("needle"))
-    hits = rows_with_contained_needle(needles, files, ["subject_name", "id"], anchor=anchor)
+    hits = rows_with_contained_needle(needles, files, ["subject_name", "id"], anchor=anchor, needles_staged=True)
     cond = manifest["subject_name"].eqNullSafe(hits["subject_name"]) & manifest["id"].eqNullSafe(hits["id"])
     return manifest.join(hits, cond, "left_anti")
 

@@ -8,7 +8,6 @@ and an exact gram-index equi join beyond it.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reelcat.functions.text import ColumnOrName, _col
 from reelcat.operators.substring import chunks_of, grams_of, tagged_grams
-from reelcat.session import stage_table
+from reelcat.session import sized, stage_table
 
 MATCH_LIKE = "like"  # SQL LIKE: % and _ in a term are wildcards, \ escapes
 MATCH_LITERAL = "literal"  # plain substring
@@ -28,12 +27,21 @@ def term_matches(title: ColumnOrName, term: str | Column, match: str = MATCH_LIK
     t = F.lower(_col(title))
     term_c = F.lit(term) if isinstance(term, str) else term
     if match == MATCH_LIKE:
-        return F.like(t, F.lower(F.concat(F.lit("%"), term_c, F.lit("%"))))
+        return F.like(t, like_pattern(term_c))
     if match == MATCH_LITERAL:
         return F.contains(t, F.lower(term_c))
     raise ValueError(f"unknown match mode {match!r}")
 
 
+def like_pattern(term: Column) -> Column:
+    """The lower-cased pattern ``%term%``; a backslash before an ordinary character means that character.
+
+    A term's last, lone backslash escapes the closing ``%``: such a title ends in a percent sign.
+    """
+    pattern = F.lower(F.concat(F.lit("%"), term, F.lit("%")))
+    return F.regexp_replace(pattern, r"(?s)(\\[%_\\])|\\(.)", "$1$2")
+
+
 def any_term(title: ColumnOrName, terms: Sequence[str], match: str = MATCH_LIKE) -> Column:
     """OR over the terms (a null title matches nothing)."""
     return reduce(lambda a, b: a | b, [term_matches(title, t, match) for t in terms])
@@ -84,32 +92,26 @@ def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH
     return _semi_join_by_grams(videos, t, match, title_col, anchor)
 
 
-_LIKE_LITERAL_RUN = re.compile(r"\\.|[%_]")
-
-
 def _literal_anchor(term: Column, match: str) -> Column:
     """A lower-cased piece of the term that every matching title must contain.
 
-    Literal mode: the term itself. LIKE mode: its longest run free of wildcards
-    and escapes (empty when the term is made only of wildcards).
+    Literal mode: the term itself. LIKE mode: the longest run of literal characters
+    of its pattern, an escaped character counting as itself (empty when the pattern
+    is made only of wildcards).
     """
-    lt = F.lower(term)
     if match == MATCH_LITERAL:
-        return lt
-    runs = F.split(lt, _LIKE_LITERAL_RUN.pattern, -1)
-    longest = F.aggregate(
-        runs, F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc)
-    )
-    return longest
+        return F.lower(term)
+    runs = F.regexp_extract_all(like_pattern(term), F.lit(r"(?s)((?:\\.|[^%_\\])+)"), F.lit(1))
+    literal = F.transform(runs, lambda x: F.regexp_replace(x, r"(?s)\\(.)", "$1"))
+    return F.aggregate(literal, F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
 
 
 def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int) -> DataFrame:
     """Exact semi join without a nested loop.
 
-    Titles are matched once per distinct lower-cased title (copies collapse),
-    then the matched titles are joined back to the rows on ``lower(title)``.
-    Each term gets an anchor text (a literal piece it forces into the title: the
-    term, or in LIKE mode its longest wildcard-free run):
+    Titles are matched once per distinct lower-cased title (copies collapse), under a
+    short key, then the matched titles are joined back to the rows on ``lower(title)``.
+    Each term gets an anchor text (a literal piece it forces into the title):
 
     * anchors of ``anchor`` chars or more are keyed by their rarest chunk (the
       chunk held by the fewest titles; a chunk held by none rules the term out);
@@ -117,44 +119,47 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     * terms with an empty anchor (only wildcards) match every title of at least
       ``n`` chars, ``n`` = their count of ``_``; that needs one number, the least ``n``.
 
-    Every candidate (title, term) is verified with the full predicate.
+    Grams that no anchor uses are dropped before anything is shuffled. Candidates are made
+    distinct per (title key, term) and verified with the full predicate; literal
+    short terms are exact already.
     """
-    titles = stage_table(
-        videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct(),
-        "term-join-titles")
-    # gram cutting is CPU-bound: spread the titles over all shuffle partitions first
-    titles = titles.repartition(int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_lt")
+    titles = videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct()
+    titles = stage_table(titles.withColumn("_tid", F.monotonically_increasing_id()), "term-join-titles")
+    # gram cutting is CPU-bound: spread the titles over more tasks than their few files
+    spread = titles.repartition("_tid")
     tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
     tm = stage_table(tm.withColumn("_alen", F.length("_anc")), "term-join-terms")
 
-    hits = []
+    exact, pairs = [], []
     # short anchors: exact grams of the lengths in use (fewer than `anchor` values)
     short = tm.where((F.col("_alen") > 0) & (F.col("_alen") < anchor)).select("_term", "_alen", "_anc")
     lengths = sorted(r[0] for r in short.select("_alen").distinct().collect())
     if lengths:
-        tg = titles.select("_lt", F.explode(tagged_grams(F.col("_lt"), lengths)).alias("_g")).select(
-            "_lt", F.col("_g.glen").alias("_alen"), F.col("_g.gram").alias("_anc"))
-        hits.append(tg.join(short, ["_alen", "_anc"]).select("_lt", "_term"))
+        tg = spread.select("_tid", F.explode(F.array_distinct(tagged_grams(F.col("_lt"), lengths))).alias("_g")).select(
+            "_tid", F.col("_g.glen").alias("_alen"), F.col("_g.gram").alias("_anc"))
+        if match == MATCH_LITERAL:
+            exact.append(tg.join(sized(short.select("_alen", "_anc")), ["_alen", "_anc"], "left_semi").select("_tid"))
+        else:
+            pairs.append(tg.join(sized(short), ["_alen", "_anc"]).select("_tid", "_term"))
 
     # long anchors: the rarest chunk among the titles
     long_ = tm.where(F.col("_alen") >= anchor).select("_term", "_anc")
-    tk = titles.select("_lt", F.explode(F.array_distinct(grams_of(F.col("_lt"), anchor))).alias("_gram"))
+    chunks = stage_table(long_.select("_term", F.explode(chunks_of(F.col("_anc"), anchor)).alias("_gram")), "term-join-chunks")
+    tk = spread.select("_tid", F.explode(F.array_distinct(grams_of(F.col("_lt"), anchor))).alias("_gram"))
+    tk = stage_table(tk.join(sized(chunks.select("_gram")), "_gram", "left_semi"), "term-join-grams")
     holders = tk.groupBy("_gram").agg(F.count(F.lit(1)).alias("_holders"))
-    rated = long_.select("_term", F.explode(chunks_of(F.col("_anc"), anchor)).alias("_gram")).join(
-        holders, "_gram", "left").select("_term", "_gram", F.coalesce(F.col("_holders"), F.lit(0)).alias("_holders"))
+    rated = chunks.join(holders, "_gram", "left").withColumn("_holders", F.coalesce("_holders", F.lit(0)))
     best = rated.groupBy("_term").agg(F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
-    hits.append(best.where(F.col("_fewest") > 0).join(tk, "_gram").select("_lt", "_term"))
+    pairs.append(best.where(F.col("_fewest") > 0).join(tk, "_gram").select("_tid", "_term"))
 
-    verified = None
-    for h in hits:
-        v = h.where(term_matches(F.col("_lt"), F.col("_term"), match)).select("_lt")
-        verified = v if verified is None else verified.unionByName(v)
+    candidates = reduce(DataFrame.unionByName, pairs).distinct().join(titles, "_tid")
+    matched = candidates.where(term_matches(F.col("_lt"), F.col("_term"), match)).select("_lt")
+    for tids in exact:
+        matched = matched.unionByName(titles.join(tids.distinct(), "_tid", "left_semi").select("_lt"))
 
     # one number: the least count of `_` among wildcard-only terms (null if none)
-    min_len = tm.where(F.col("_alen") == 0).agg(
-        F.min(F.length(F.regexp_replace(F.lower("_term"), "[^_]", "")))
-    ).first()[0]
+    min_len = tm.where(F.col("_alen") == 0).agg(F.min(F.length(F.regexp_replace("_term", "[^_]", "")))).first()[0]
     if min_len is not None:
-        verified = verified.unionByName(titles.where(F.length("_lt") >= F.lit(int(min_len))).select("_lt"))
-    matched = verified.distinct()
+        matched = matched.unionByName(titles.where(F.length("_lt") >= F.lit(int(min_len))).select("_lt"))
+    matched = matched.distinct()
     return videos.join(matched, F.lower(F.col(title_col)) == matched["_lt"], "left_semi")

@@ -33,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelcat.session import stage_table
+from reelcat.session import sized, stage_table
 
 DEFAULT_ANCHOR = 12
 
@@ -64,26 +64,24 @@ def tagged_grams(text: Column, lengths: Sequence[int]) -> Column:
 def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: Sequence[str],
                                needle_col: str = "needle", subject_col: str = "subject_name",
                                file_subject_col: str = "subject_name", file_name_col: str = "filename",
-                               anchor: int = DEFAULT_ANCHOR) -> DataFrame:
+                               anchor: int = DEFAULT_ANCHOR, needles_staged: bool = False) -> DataFrame:
     """Distinct ``key_cols`` of needles contained in some file name of their subject.
 
     ``needles`` has ``key_cols``, ``subject_col`` and ``needle_col`` (null needles
     never match). ``files`` has ``file_subject_col`` and ``file_name_col``.
-    Both inputs are staged once (written table), since each feeds several joins.
+    Both inputs are staged once (written table), since each feeds several joins;
+    ``needles_staged`` tells that the needles are a projection of such a table already.
     """
     keys = list(key_cols)
-    nd = stage_table(
-        needles.where(F.col(needle_col).isNotNull() & F.col(subject_col).isNotNull()).select(
-            *keys, F.col(subject_col).alias("_subj"), F.col(needle_col).alias("_needle"),
-            F.length(F.col(needle_col)).alias("_nlen")),
-        "needles")
-    fl = stage_table(
-        files.where(F.col(file_name_col).isNotNull() & F.col(file_subject_col).isNotNull())
-        .select(F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")).distinct(),
-        "files")
-    # cutting grams costs CPU per char, not per byte read: spread names over all
-    # shuffle partitions by hash (deterministic on retry) before exploding them
-    fl = fl.repartition(int(fl.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_subj", "_fname")
+    nd = needles.where(F.col(needle_col).isNotNull() & F.col(subject_col).isNotNull()).select(
+        *keys, F.col(subject_col).alias("_subj"), F.col(needle_col).alias("_needle"), F.length(F.col(needle_col)).alias("_nlen"))
+    nd = nd if needles_staged else stage_table(nd, "needles")
+    fl = files.where(F.col(file_name_col).isNotNull() & F.col(file_subject_col).isNotNull()).select(
+        F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")).distinct()
+    fl = stage_table(fl.withColumn("_fid", F.monotonically_increasing_id()), "files")
+    # cutting grams costs CPU per char, not per byte read: spread names by key before
+    # exploding them (deterministic on retry)
+    spread = fl.repartition("_fid")
 
     parts = []
     # short needles (0..anchor-1 chars): exact gram equality, only the lengths in use;
@@ -94,25 +92,29 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
         grams = []
         positive = [n for n in short_lengths if n > 0]
         if positive:
-            grams.append(fl.select("_subj", F.explode(tagged_grams(F.col("_fname"), positive)).alias("_g")).select(
+            grams.append(spread.select("_subj", F.explode(F.array_distinct(tagged_grams(F.col("_fname"), positive))).alias("_g")).select(
                 "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")))
         if 0 in short_lengths:
-            grams.append(fl.select("_subj", F.lit(0).alias("_nlen"), F.lit("").alias("_needle")))
+            grams.append(spread.select("_subj", F.lit(0).alias("_nlen"), F.lit("").alias("_needle")))
         fg = grams[0] if len(grams) == 1 else grams[0].unionByName(grams[1])
-        parts.append(short.join(fg.distinct(), ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
+        # grams nobody seeks go before the shuffle that makes them distinct
+        met = fg.join(sized(short.select("_subj", "_nlen", "_needle")), ["_subj", "_nlen", "_needle"], "left_semi").distinct()
+        parts.append(short.join(met, ["_subj", "_nlen", "_needle"], "left_semi").select(*keys))
 
     # long needles: anchor on the rarest chunk, verify the whole needle
     long_ = nd.where(F.col("_nlen") >= anchor)
     distinct_long = long_.select("_subj", "_needle").distinct()
-    fg = fl.select("_subj", "_fname", F.explode(F.array_distinct(grams_of(F.col("_fname"), anchor))).alias("_gram"))
+    chunks = stage_table(distinct_long.select("_subj", "_needle", F.explode(chunks_of(F.col("_needle"), anchor)).alias("_gram")), "chunks")
+    fg = spread.select("_subj", "_fid", F.explode(F.array_distinct(grams_of(F.col("_fname"), anchor))).alias("_gram"))
+    fg = stage_table(fg.join(sized(chunks.select("_subj", "_gram")), ["_subj", "_gram"], "left_semi"), "file-grams")
     holders = fg.groupBy("_subj", "_gram").agg(F.count(F.lit(1)).alias("_holders"))  # partial aggregation
-    chunks = distinct_long.select("_subj", "_needle", F.explode(chunks_of(F.col("_needle"), anchor)).alias("_gram"))
     rated = chunks.join(holders, ["_subj", "_gram"], "left").select(
         "_subj", "_needle", "_gram", F.coalesce(F.col("_holders"), F.lit(0)).alias("_holders"))
     best = rated.groupBy("_subj", "_needle").agg(
         F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
     cand = best.where(F.col("_fewest") > 0).select("_subj", "_needle", "_gram").join(fg, ["_subj", "_gram"])
-    found = cand.where(F.contains(F.col("_fname"), F.col("_needle"))).select("_subj", "_needle").distinct()
+    named = cand.select("_subj", "_needle", "_fid").join(fl, ["_subj", "_fid"])
+    found = named.where(F.contains(F.col("_fname"), F.col("_needle"))).select("_subj", "_needle").distinct()
     parts.append(long_.join(found, ["_subj", "_needle"], "left_semi").select(*keys))
 
     out = parts[0]

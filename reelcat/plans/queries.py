@@ -26,6 +26,7 @@ from reelcat.operators import media as media_ops
 from reelcat.operators import pages as page_ops
 from reelcat.operators import parse as parse_ops
 from reelcat.operators import planning
+from reelcat.plans import jobs
 from reelcat.operators.dedup import dedup_videos, keep_last, url_index
 from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos
 from reelcat.schemas import RECORD_FIELDS
@@ -81,7 +82,7 @@ def q_parse_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         "SELECT "
         + ", ".join(f"{_STRIP.format(f'coalesce({c}, {chr(39)}{chr(39)})')} AS {c}" for c in RECORD_FIELDS[:-1])
-        + ", CASE WHEN coalesce(description, '') = '' THEN '\\' ELSE description || ' \\' END AS description"
+        + ", CASE WHEN coalesce(description, '') = '' THEN '\\' ELSE regexp_replace(split_part(description || ' \\_/', '_/', 1), '\\s+$', '') END AS description"
         + " FROM videos WHERE entry_pos % 13 <> 5",
         "videos",
     ),
@@ -515,8 +516,8 @@ def q_attempt_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ C7: media
 
-_LATEST_SQL = ("SELECT subject_name, quality_dir, filename AS latest_file, mtime_pos AS latest_mtime FROM"
-               " (SELECT *, row_number() OVER (PARTITION BY subject_name, quality_dir ORDER BY mtime_pos DESC, filename DESC)"
+_LATEST_SQL = ("SELECT subject_name, quality_dir, filename AS latest_file, modification_time AS latest_mtime FROM"
+               " (SELECT *, row_number() OVER (PARTITION BY subject_name, quality_dir ORDER BY modification_time DESC, filename DESC)"
                " AS _r FROM inventory WHERE suffix(lower(filename), '.mp4')) WHERE _r = 1")
 
 
@@ -529,23 +530,25 @@ def q_latest_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rename_plan",
     with_views(
-        "SELECT l.subject_name, l.latest_file AS from_name, c.id || '.mp4' AS to_name, 'newest' AS rule"
-        " FROM latest l JOIN cur c ON c.subject_name = l.subject_name"
-        " WHERE l.quality_dir IS NULL AND l.latest_file <> c.title",
+        "SELECT * FROM (SELECT * FROM newest UNION ALL SELECT subject_name, 'videoplayback.mp4', id || '.mp4', 'default_name' FROM cur"
+        " WHERE subject_name IN (SELECT subject_name FROM inventory WHERE quality_dir IS NULL AND filename = 'videoplayback.mp4')"
+        " AND subject_name NOT IN (SELECT subject_name FROM newest)) r"
+        " WHERE NOT EXISTS (SELECT 1 FROM inventory i WHERE i.quality_dir IS NULL AND i.subject_name = r.subject_name AND i.filename = r.to_name)",
         "videos", "inventory",
-        extra={**_manifest_ctes(), "latest": _LATEST_SQL,
-               "cur": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_name ORDER BY entry_pos DESC)"
-                      " AS _r FROM manifest) WHERE _r = 1"},
+        extra={**_manifest_ctes(), "latest": _LATEST_SQL, "cur":
+               "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_name ORDER BY entry_pos DESC) AS _r FROM manifest) WHERE _r = 1",
+               "newest":
+               "SELECT l.subject_name, l.latest_file AS from_name, c.id || '.mp4' AS to_name, 'newest' AS rule"
+               " FROM latest l JOIN cur c ON c.subject_name = l.subject_name WHERE l.quality_dir IS NULL AND l.latest_file <> c.title"},
     ),
 )
 def q_rename_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each subject's newest flat file is renamed to the current video's ``{id}.mp4``."""
+    """C7 through its job: the newest flat file's rename, else the default name's; never onto a file that is there."""
     inv = derived.inventory(spark, sf_dir)
-    latest = media_ops.latest_media(inv).where(F.col("quality_dir").isNull())
     vids = derived.videos(spark, sf_dir)
     cur_src = dedup_videos(vids).select("entry_pos", "id", "title", subject_from_channel("youtuber").alias("subject_name"))
     current = keep_last(cur_src, "subject_name", "entry_pos").select("subject_name", "id", "title")
-    return media_ops.rename_plan(latest, current).select("subject_name", "from_name", "to_name", "rule")
+    return jobs.plan_renames(inv, current).select("subject_name", "from_name", "to_name", "rule")
 
 
 # ------------------------------------------------------------------ C8: pages

@@ -24,6 +24,9 @@ VIDEO_SCHEMA = T.StructType(
     + [T.StructField("youtuber", T.StringType(), True)]
 )
 
+# The stored videos table, its partition column youtuber read as text whatever it looks like.
+VIDEOS_STORED = ", ".join(["source_file string", "source_offset long", "source_seq long", *[f"{c} string" for c in RECORD_FIELDS], "youtuber string"])
+
 RECORD_STRUCT = T.StructType([T.StructField(name, T.StringType(), True) for name in RECORD_FIELDS])
 
 # A catalog file: {"videos": {id: record}, "urls": {url: id}}

@@ -3,16 +3,20 @@
 Everything that has to cut lineage or land an intermediate file goes under the
 folder named by ``spark.checkpoint.dir``: on a cluster that is a shared,
 fault-tolerant file system, so a lost executor never loses staged data. A local
-temporary folder is only used when the session names none (unit tests).
+temporary folder is only used when the session names none and runs in one
+process (``local[...]``, unit tests); any other master without a folder is refused.
 """
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -49,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="reelcat-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
@@ -64,18 +70,46 @@ def staging_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under this application's staging folder for one staged dataset."""
-    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return "/".join([staging_root(spark), *_SCOPES, f"{name}-{uuid.uuid4().hex[:12]}"])
 
 
-def drop_staging(spark: SparkSession) -> None:
-    """Delete this application's staging folder (call when its jobs are done)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+#: The staging scopes entered, outermost first (a driver-side stack).
+_SCOPES: list[str] = []
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession):
+    """What is staged inside is deleted at the end: for jobs that write their own output."""
+    _SCOPES.append(f"scope-{uuid.uuid4().hex[:12]}")
+    path = "/".join([staging_root(spark), *_SCOPES])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(p):
         fs.delete(p, True)
 
 
+def drop_staging(spark: SparkSession) -> None:
+    """Delete this application's staging folder (call when its jobs are done)."""
+    _delete(spark, staging_root(spark))
+
+
+#: Rows up to which a staged table of short columns is broadcast; a longer one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(staged):
+    """A staged narrow table, marked for broadcast only if its counted rows are few."""
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+
+
 def stage_table(df, name: str):
     """Write ``df`` as Parquet under the shared staging folder and read it back.
 

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelcat.session import sized, stage_table
+
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
@@ -23,49 +25,40 @@ def json_string(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("null")).otherwise(F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1))
 
 
-def document_lines(doc_col: str, headers: DataFrame | None, sections: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Lines of keyed JSON documents.
+def document_lines(doc_col: str, sections: Sequence[tuple[str, DataFrame]], names: DataFrame | None = None,
+                   header_json: str | None = None) -> DataFrame:
+    """Lines of keyed JSON documents: (doc, _s, _k, _key, line), to be sorted and written.
+
+    Each section is (name, DataFrame(doc, key, value_json)); keys are unique per
+    document and section, a null key is written as ``"null"``. ``header_json`` is text
+    placed after ``{``. ``names`` (doc) lists documents to write even without entries.
 
-    ``headers``: (doc, header_json) where header_json is the text placed after
-    ``{`` (e.g. ``"search_terms": [..], ``), or None. Each section is
-    (name, DataFrame(doc, key, value_json)); keys are unique per document.
-    Output: (doc, _s, _k, _key, line) to be sorted and written.
+    The entries are staged once; the first key of each section comes from one aggregate
+    with partial sums and is broadcast if its rows are few, so that a document
+    with most of the entries isn't gathered for it.
     """
-    parts = []
-    docs = None
-    for i, (name, entries) in enumerate(sections, start=1):
-        e = entries.select(F.col(doc_col), F.col("key"), F.col("value_json"))
-        firsts = e.groupBy(doc_col).agg(F.min("key").alias("_first"))  # partial aggregate per document
-        body = e.join(firsts, doc_col).select(
-            doc_col, F.lit(i).alias("_s"), F.lit(1).alias("_k"), F.col("key").alias("_key"),
-            F.concat(F.when(F.col("key") == F.col("_first"), F.lit("    ")).otherwise(F.lit("  , ")),
-                     json_string(F.col("key")), F.lit(": "), F.col("value_json")).alias("line"),
-        )
-        parts.append(body)
-        d = e.select(doc_col).distinct()
-        docs = d if docs is None else docs.unionByName(d).distinct()
-    if headers is not None:
-        docs = headers.select(doc_col) if docs is None else docs.unionByName(headers.select(doc_col)).distinct()
+    entries = None
+    for i, (_, e) in enumerate(sections, start=1):
+        e = e.select(F.col(doc_col), F.lit(i).alias("_s"), F.coalesce("key", F.lit("null")).alias("_key"), F.col("value_json"))
+        entries = e if entries is None else entries.unionByName(e)
+    entries = stage_table(entries, "document-entries")
+    firsts = stage_table(entries.groupBy(doc_col, "_s").agg(F.min("_key").alias("_first")), "document-firsts")
+    marked = entries.join(sized(firsts), [doc_col, "_s"])
+    body = marked.select(
+        doc_col, "_s", F.lit(1).alias("_k"), "_key",
+        F.concat(F.when(F.col("_key") == F.col("_first"), F.lit("    ")).otherwise(F.lit("  , ")),
+                 json_string(F.col("_key")), F.lit(": "), F.col("value_json")).alias("line"))
+    docs = firsts.select(doc_col)
+    if names is not None:
+        docs = docs.unionByName(names.select(doc_col))
     n = len(sections)
+    frame = [(0, 0, "{" if header_json is None else "{\n  " + header_json)]
     for i, (name, _) in enumerate(sections, start=1):
-        parts.append(docs.select(doc_col, F.lit(i).alias("_s"), F.lit(0).alias("_k"), F.lit("").alias("_key"),
-                                 F.lit(f'  "{name}": {{').alias("line")))
-        closing = "  }" + ("," if i < n else "")
-        parts.append(docs.select(doc_col, F.lit(i).alias("_s"), F.lit(2).alias("_k"), F.lit("").alias("_key"),
-                                 F.lit(closing).alias("line")))
-    head = F.lit("{")
-    if headers is not None:
-        hdr = headers.select(doc_col, F.concat(F.lit("{\n  "), F.col("header_json")).alias("line"))
-        parts.append(hdr.select(doc_col, F.lit(0).alias("_s"), F.lit(0).alias("_k"), F.lit("").alias("_key"), "line"))
-    else:
-        parts.append(docs.select(doc_col, F.lit(0).alias("_s"), F.lit(0).alias("_k"), F.lit("").alias("_key"),
-                                 head.alias("line")))
-    parts.append(docs.select(doc_col, F.lit(n + 1).alias("_s"), F.lit(0).alias("_k"), F.lit("").alias("_key"),
-                             F.lit("}").alias("line")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        frame += [(i, 0, f'  "{name}": {{'), (i, 2, "  }" + ("," if i < n else ""))]
+    frame.append((n + 1, 0, "}"))
+    lines = F.explode(F.array(*[F.struct(F.lit(s).alias("_s"), F.lit(k).alias("_k"), F.lit(line).alias("line")) for s, k, line in frame]))
+    framed = docs.distinct().select(doc_col, lines.alias("f")).select(doc_col, "f._s", "f._k", F.lit("").alias("_key"), "f.line")
+    return body.unionByName(framed)
 
 
 def write_documents(lines: DataFrame, doc_col: str, path: str, mode: str = "errorifexists") -> None:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from reelcat.schemas import RECORD_FIELDS
 from reelcat.sinks.documents import JSON_OPTIONS, document_lines, json_string, write_documents
+from reelcat.session import staging_scope
+from reelcat.sources.files import CSV_OPTIONS
 
 
 def write_videos(videos: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
@@ -44,16 +46,17 @@ def write_catalog_rows(catalog_rows: DataFrame, path: str, mode: str = "errorife
     catalog_rows.select(*cols).write.mode(mode).partitionBy("catalog_file").format(fmt).save(path)
 
 
-def catalog_documents(catalog_rows: DataFrame) -> DataFrame:
+def catalog_documents(videos: DataFrame, urls: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """K2 (document form): ``{"videos": {id: record}, "urls": {url: id}}`` per catalog file.
 
-    ``catalog_rows`` must already hold one row per (catalog_file, id) and per
-    (catalog_file, webpage_url) (A1/A2 applied).
+    The sections fill independently: ``videos`` holds one row per (catalog_file, id)
+    (A1), ``urls`` one per (catalog_file, webpage_url) (A2). ``names`` (catalog_file)
+    lists the catalogs to write, also those without a row.
     """
     rec = F.to_json(F.struct(*RECORD_FIELDS), JSON_OPTIONS)
-    videos = catalog_rows.select("catalog_file", F.col("id").alias("key"), rec.alias("value_json"))
-    urls = catalog_rows.select("catalog_file", F.col("webpage_url").alias("key"), json_string(F.col("id")).alias("value_json"))
-    return document_lines("catalog_file", None, [("videos", videos), ("urls", urls)])
+    by_id = videos.select("catalog_file", F.col("id").alias("key"), rec.alias("value_json"))
+    by_url = urls.select("catalog_file", F.col("webpage_url").alias("key"), json_string(F.col("id")).alias("value_json"))
+    return document_lines("catalog_file", [("videos", by_id), ("urls", by_url)], names)
 
 
 def manifest_header_json(terms: Sequence[str] | None) -> str:
@@ -63,17 +66,21 @@ def manifest_header_json(terms: Sequence[str] | None) -> str:
     return f'"search_terms": {json.dumps(search_terms_value(terms), ensure_ascii=False)},'
 
 
-def manifest_documents(rows: DataFrame, terms: Sequence[str] | None, doc_col: str = "manifest_name") -> DataFrame:
-    """K3: ``{"search_terms": .., "videos": {id: record + subject_name}}`` per manifest."""
+def manifest_documents(rows: DataFrame, terms: Sequence[str] | None, doc_col: str = "manifest_name",
+                       names: DataFrame | None = None) -> DataFrame:
+    """K3: ``{"search_terms": .., "videos": {id: record + subject_name}}`` per manifest.
+
+    ``names`` (doc_col) lists the manifests to write, also those without a row.
+    """
     rec = F.to_json(F.struct(*RECORD_FIELDS, "subject_name"), JSON_OPTIONS)
     videos = rows.select(doc_col, F.col("id").alias("key"), rec.alias("value_json"))
-    headers = rows.select(doc_col).distinct().withColumn("header_json", F.lit(manifest_header_json(terms)))
-    return document_lines(doc_col, headers, [("videos", videos)])
+    return document_lines(doc_col, [("videos", videos)], names, manifest_header_json(terms))
 
 
-def write_manifest_documents(rows: DataFrame, terms: Sequence[str] | None, path: str,
-                             doc_col: str = "manifest_name", mode: str = "errorifexists") -> None:
-    write_documents(manifest_documents(rows, terms, doc_col), doc_col, path, mode)
+def write_manifest_documents(rows: DataFrame, terms: Sequence[str] | None, path: str, doc_col: str = "manifest_name",
+                             mode: str = "errorifexists", names: DataFrame | None = None) -> None:
+    with staging_scope(rows.sparkSession):
+        write_documents(manifest_documents(rows, terms, doc_col, names), doc_col, path, mode)
 
 
 def unique_path(spark: SparkSession, folder: str, base_name: str, extension: str = "") -> str:
@@ -137,6 +144,6 @@ def write_ledger(ledger: DataFrame, path: str, fmt: str = "csv", mode: str = "er
                         *[c for c in ("ledger_pos",) if c in ledger.columns])
     w = out.write.mode(mode).partitionBy("subject_name")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(**CSV_OPTIONS).csv(path)
     else:
         w.format(fmt).save(path)

@@ -50,6 +50,10 @@ def videos(spark: SparkSession, sf_dir: str, hot: bool = False, hot_id: bool = F
     if hot_id:
         key = F.when(_mod(doc, 3) == 0, F.lit(HOT_ID_KEY)).otherwise(key)
     key = key.cast("string")
+    # two ids share a URL, and the repeated ids have two
+    url = F.when(_mod(doc, 10) == 7, doc - 1).otherwise(doc).cast("string")
+    # text before the first '.', as split_part(text, '.', 1), without splitting the whole text
+    title = F.replace(F.substring_index(F.col("text"), ".", 1), F.lit("\n"), F.lit(" "))
     return d.select(
         doc.alias("entry_pos"),
         F.concat(
@@ -63,13 +67,14 @@ def videos(spark: SparkSession, sf_dir: str, hot: bool = False, hot_id: bool = F
         .alias("duration"),
         (F.col("n_chars") * 7).cast("string").alias("view_count"),
         F.when(_mod(doc, 5) == 0, F.lit("")).otherwise(_mod(F.col("n_chars"), 101).cast("string")).alias("like_count"),
-        # text before the first '.', as split_part(text, '.', 1), without splitting the whole text
-        F.replace(F.substring_index(F.col("text"), ".", 1), F.lit("\n"), F.lit(" ")).alias("title"),
+        F.when(_mod(doc, 43) == 6, F.lit("")).when(_mod(doc, 37) == 2, F.concat(F.lit('"q" '), title, F.lit(", 100%")))
+        .when(_mod(doc, 47) == 3, F.concat(F.lit("a_b "), title)).otherwise(title).alias("title"),
         F.concat(F.lit("v"), key).alias("id"),
-        F.concat(F.lit("https://media.example.org/watch?v=v"), key).alias("webpage_url"),
-        F.when(_mod(doc, 23) == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("description"),
+        F.concat(F.lit("https://media.example.org/watch?v=v"), url).alias("webpage_url"),
+        F.when(_mod(doc, 23) == 0, F.lit(None).cast("string"))
+        .when(_mod(doc, 29) == 4, F.concat(F.col("text"), F.lit(" see a_/b"))).otherwise(F.col("text")).alias("description"),
         (F.when(_mod(doc, 3) == 0, F.lit(HOT_CHANNEL)).otherwise(F.col("source")) if hot
-         else F.col("source")).alias("youtuber"),
+         else F.when(_mod(doc, 41) != 5, F.col("source"))).alias("youtuber"),
     )
 
 
@@ -79,31 +84,38 @@ def inventory(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     pos = F.col("entry_pos")
     return v.select(
         subject_from_channel("youtuber").alias("subject_name"),
-        F.when(_mod(pos, 2) == 0, media_name("id")).otherwise(media_name("title")).alias("filename"),
+        F.when(_mod(pos, 21) == 0, F.lit("videoplayback.mp4")).when(_mod(pos, 33) == 12, F.concat("id", F.lit(".webm")))
+        .when(_mod(pos, 39) == 9, F.concat("id", F.lit(".MP4"))).when(_mod(pos, 27) == 15, F.concat("id", F.lit(".cut.mp4")))
+        .when(_mod(pos, 2) == 0, media_name("id")).otherwise(media_name("title")).alias("filename"),
         F.when(_mod(pos, 9) < 5, F.lit("HighQuality")).alias("quality_dir"),
-        pos.alias("mtime_pos"),
+        F.floor(pos / 40).alias("modification_time"),
+        pos.alias("list_pos"),
     )
 
 
 def link_status(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """Every fifth key is there twice, the later row with the other status."""
     v = videos(spark, sf_dir, hot).where(_mod(F.col("entry_pos"), 5) < 2)
+    v = v.withColumn("again", F.explode(F.when(_mod(F.col("entry_pos"), 5) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return v.select(
         subject_from_channel("youtuber").alias("subject_name"),
         F.col("id").alias("video_id"),
         F.col("title").alias("video_title"),
-        (_mod(F.col("entry_pos"), 7) != 0).alias("is_link_found"),
-        F.col("entry_pos").alias("ledger_pos"),
+        ((_mod(F.col("entry_pos"), 7) != 0) != (F.col("again") == 1)).alias("is_link_found"),
+        (F.col("entry_pos") + F.col("again") * 10_000_000).alias("ledger_pos"),
     )
 
 
 def new_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second key is there twice, with another title and status."""
     v = videos(spark, sf_dir).where(_mod(F.col("entry_pos"), 4) == 0)
+    v = v.withColumn("again", F.explode(F.when(_mod(F.col("entry_pos"), 8) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return v.select(
         subject_from_channel("youtuber").alias("subject_name"),
         F.col("id").alias("video_id"),
-        F.concat(F.col("title"), F.lit(" v2")).alias("video_title"),
-        (_mod(F.col("entry_pos"), 2) == 0).alias("is_link_found"),
-        (F.col("entry_pos") + F.lit(100000000)).alias("ledger_pos"),
+        F.concat(F.col("title"), F.lit(" v"), (2 + F.col("again")).cast("string")).alias("video_title"),
+        ((_mod(F.col("entry_pos"), 3) == 0) != (F.col("again") == 1)).alias("is_link_found"),
+        (F.col("entry_pos") + 100_000_000 + F.col("again") * 10_000_000).alias("ledger_pos"),
     )
 
 
@@ -126,26 +138,30 @@ VIDEOS_SQL = """SELECT doc_id AS entry_pos,
  CASE WHEN doc_id % 17 = 0 THEN 'NA' WHEN doc_id % 19 = 0 THEN NULL ELSE cast(n_chars AS varchar) END AS duration,
  cast(n_chars * 7 AS varchar) AS view_count,
  CASE WHEN doc_id % 5 = 0 THEN '' ELSE cast(n_chars % 101 AS varchar) END AS like_count,
- replace(split_part(text, '.', 1), chr(10), ' ') AS title,
+ CASE WHEN doc_id % 43 = 6 THEN '' WHEN doc_id % 37 = 2 THEN '"q" ' || replace(split_part(text, '.', 1), chr(10), ' ') || ', 100%'
+  WHEN doc_id % 47 = 3 THEN 'a_b ' || replace(split_part(text, '.', 1), chr(10), ' ')
+  ELSE replace(split_part(text, '.', 1), chr(10), ' ') END AS title,
  concat('v', cast(CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END AS varchar)) AS id,
- concat('https://media.example.org/watch?v=v', cast(CASE WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END AS varchar)) AS webpage_url,
- CASE WHEN doc_id % 23 = 0 THEN NULL ELSE text END AS description,
- source AS youtuber
+ concat('https://media.example.org/watch?v=v', cast(CASE WHEN doc_id % 10 = 7 THEN doc_id - 1 ELSE doc_id END AS varchar)) AS webpage_url,
+ CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 29 = 4 THEN text || ' see a_/b' ELSE text END AS description,
+ CASE WHEN doc_id % 41 <> 5 THEN source END AS youtuber
 FROM documents"""
 
 INVENTORY_SQL = """SELECT concat('@', coalesce(youtuber, 'None')) AS subject_name,
- CASE WHEN entry_pos % 2 = 0 THEN concat(id, '.mp4') ELSE concat(title, '.mp4') END AS filename,
+ CASE WHEN entry_pos % 21 = 0 THEN 'videoplayback.mp4' WHEN entry_pos % 33 = 12 THEN concat(id, '.webm')
+  WHEN entry_pos % 39 = 9 THEN concat(id, '.MP4') WHEN entry_pos % 27 = 15 THEN concat(id, '.cut.mp4')
+  WHEN entry_pos % 2 = 0 THEN concat(id, '.mp4') ELSE concat(title, '.mp4') END AS filename,
  CASE WHEN entry_pos % 9 < 5 THEN 'HighQuality' END AS quality_dir,
- entry_pos AS mtime_pos
+ entry_pos // 40 AS modification_time, entry_pos AS list_pos
 FROM videos WHERE entry_pos % 3 = 0"""
 
 LINK_STATUS_SQL = """SELECT concat('@', coalesce(youtuber, 'None')) AS subject_name, id AS video_id, title AS video_title,
- (entry_pos % 7 <> 0) AS is_link_found, entry_pos AS ledger_pos
-FROM videos WHERE entry_pos % 5 < 2"""
+ (entry_pos % 7 <> 0) <> (again = 1) AS is_link_found, entry_pos + again * 10000000 AS ledger_pos
+FROM videos, (VALUES (0), (1)) AS a(again) WHERE entry_pos % 5 < 2 AND (again = 0 OR entry_pos % 5 = 0)"""
 
-NEW_STATUS_SQL = """SELECT concat('@', coalesce(youtuber, 'None')) AS subject_name, id AS video_id, concat(title, ' v2') AS video_title,
- (entry_pos % 2 = 0) AS is_link_found, entry_pos + 100000000 AS ledger_pos
-FROM videos WHERE entry_pos % 4 = 0"""
+NEW_STATUS_SQL = """SELECT concat('@', coalesce(youtuber, 'None')) AS subject_name, id AS video_id, concat(title, ' v', 2 + again) AS video_title,
+ (entry_pos % 3 = 0) <> (again = 1) AS is_link_found, entry_pos + 100000000 + again * 10000000 AS ledger_pos
+FROM videos, (VALUES (0), (1)) AS a(again) WHERE entry_pos % 4 = 0 AND (again = 0 OR entry_pos % 8 = 0)"""
 
 ATTEMPTS_SQL = """SELECT concat('v', cast(user_id AS varchar)) AS video_id, event_type AS method,
  (event_type = 'purchase') AS success, event_id AS attempt_pos
@@ -162,7 +178,7 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None, hot:
             f"CASE WHEN doc_id % 3 = 0 THEN {HOT_ID_KEY} WHEN doc_id % 10 = 9 THEN doc_id - 1 ELSE doc_id END")
     if hot:
         videos_sql = videos_sql.replace(
-            " source AS youtuber", f" CASE WHEN doc_id % 3 = 0 THEN '{HOT_CHANNEL}' ELSE source END AS youtuber")
+            " CASE WHEN doc_id % 41 <> 5 THEN source END AS youtuber", f" CASE WHEN doc_id % 3 = 0 THEN '{HOT_CHANNEL}' ELSE source END AS youtuber")
     sql = {
         "videos": videos_sql,
         "inventory": INVENTORY_SQL,

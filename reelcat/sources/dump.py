@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelcat.functions.grammar import RECORD_TERMINATOR
+from reelcat.functions.text import decoded_path
 
 # Columns that order entries as the dump's producer read them.
 ORDER_COLUMNS = ("source_file", "source_offset", "source_seq")
@@ -31,8 +32,8 @@ def read_dump(spark: SparkSession, path: str | list[str], glob: str | None = Non
     return raw.select(
         F.col("value"),
         *partition_cols,
-        F.col("_metadata.file_name").alias("source_name"),
-        F.col("_metadata.file_path").alias("source_file"),
+        decoded_path("_metadata.file_name").alias("source_name"),
+        decoded_path("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_offset"),
         F.monotonically_increasing_id().alias("source_seq"),
     )

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelcat.functions.text import CATALOG_SUFFIX, path_basename
+from reelcat.functions.text import CATALOG_SUFFIX, decoded_path, path_basename
 from reelcat.schemas import CATALOG_SCHEMA, LEDGER_SCHEMA, MANIFEST_SCHEMA, PAGE_SCHEMA, RECORD_FIELDS
+from reelcat.session import staging_path
+
+# CSV as pandas writes and reads it: quotes doubled, line breaks inside quotes, blanks kept.
+CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 CATALOG_ROW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in RECORD_FIELDS]
@@ -20,19 +26,44 @@ def read_catalog_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     return spark.read.schema(CATALOG_ROW_SCHEMA).option("basePath", path).format(fmt).load(path)
 
 
+def _visible(spark: SparkSession, path: str, glob: str) -> str:
+    """``path``, or a staged copy of its catalogs under visible names if some begin with ``_`` or ``.``.
+
+    Spark skips such files. The copy goes through the Hadoop file system API, file by
+    file, and puts ``c`` before every name (an import edge: one file is one JSON object).
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(conf)
+    found, listing = [], fs.listFiles(top, True)
+    while listing.hasNext():
+        p = listing.next().getPath()
+        if fnmatch.fnmatchcase(p.getName(), glob):
+            found.append(p)
+    if not any(p.getName()[0] in "_." for p in found):
+        return path
+    to = staging_path(spark, "catalog-files")
+    for k, p in enumerate(found):
+        target = jvm.org.apache.hadoop.fs.Path(jvm.org.apache.hadoop.fs.Path(f"{to}/{k}"), "c" + p.getName())
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, target.getFileSystem(conf), target, False, conf):
+            raise OSError(f"could not copy {p}")
+    return to
+
+
 def read_catalog_documents(spark: SparkSession, path: str, glob: str = f"*{CATALOG_SUFFIX}") -> DataFrame:
     """S3/S4 (document form): every ``*_VideosObject.json`` under ``path`` as rows.
 
     One file is one JSON object, so each file is read by one task (the format
     cannot be split; prefer the row form). Repeated keys in an object: last wins
-    (this sets ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` on the session).
-    Spark skips files whose name starts with ``_``; land such files under a
-    visible name first (the name column keeps what follows the landing prefix).
+    (this sets ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` on the session). Names that
+    begin with ``_``, as the usual catalogs' do, are read through a staged copy.
     """
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-    docs = (spark.read.schema(CATALOG_SCHEMA).option("multiLine", True).option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).json(path)
-            .select(F.col("_metadata.file_name").alias("catalog_file"), "videos"))
+    at = _visible(spark, path, glob)
+    name = decoded_path("_metadata.file_name")
+    docs = (spark.read.schema(CATALOG_SCHEMA).option("multiLine", True).option("pathGlobFilter", glob if at == path else "c" + glob)
+            .option("recursiveFileLookup", True).json(at)
+            .select((name if at == path else F.substr(name, F.lit(2))).alias("catalog_file"), "videos"))
     exploded = docs.select("catalog_file", F.explode("videos").alias("key", "v"))
     return exploded.select("catalog_file", *[F.col(f"v.{c}").alias(c) for c in RECORD_FIELDS])
 
@@ -41,7 +72,7 @@ def read_manifest_documents(spark: SparkSession, path: str) -> DataFrame:
     """Manifest documents as rows (id, record fields, subject_name, search_terms text)."""
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     docs = (spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
-            .select(F.col("_metadata.file_path").alias("manifest_file"), "search_terms", "videos"))
+            .select(decoded_path("_metadata.file_path").alias("manifest_file"), "search_terms", "videos"))
     rows = docs.select("manifest_file", "search_terms", F.explode("videos").alias("key", "v"))
     return rows.select("manifest_file", "search_terms",
                        *[F.col(f"v.{c}").alias(c) for c in RECORD_FIELDS], F.col("v.subject_name").alias("subject_name"))
@@ -51,7 +82,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Status ledger CSVs under ``<base>/<subject>/download_status.csv``.
 
     Explicit string/boolean schema (no inference: numeric-looking ids stay text,
-    ``NA`` stays text). A missing path reads as an empty ledger. The subject is
+    ``NA`` stays text; titles with quotes, line breaks or edge blanks come back whole). A missing path reads as an empty ledger. The subject is
     the ledger file's parent folder name; the row's place in its file is
     (``ledger_file``, ``ledger_offset``, ``ledger_pos``): pass all three as the
     order of ``status_lookup`` / ``upsert_ledger`` for exact first-row semantics.
@@ -62,13 +93,15 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         empty = spark.createDataFrame([], schema)
         return empty.select(F.lit(None).cast("string").alias("subject_name"), *schema.fieldNames(),
+                            F.lit(None).cast("string").alias("ledger_file"), F.lit(None).cast("long").alias("ledger_offset"),
                             F.lit(None).cast("long").alias("ledger_pos"))
-    df = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
+    df = (spark.read.schema(schema).options(**CSV_OPTIONS).option("recursiveFileLookup", True)
           .option("pathGlobFilter", "download_status.csv").csv(path))
+    file = decoded_path("_metadata.file_path")
     return df.select(
-        path_basename(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")).alias("subject_name"),
+        path_basename(F.regexp_replace(file, "/[^/]*$", "")).alias("subject_name"),
         *schema.fieldNames(),
-        F.col("_metadata.file_path").alias("ledger_file"),
+        file.alias("ledger_file"),
         F.col("_metadata.file_block_start").alias("ledger_offset"),
         F.monotonically_increasing_id().alias("ledger_pos"),
     )

@@ -2,8 +2,9 @@
 
 The reference ingests one dump per run. The same operators run unchanged on a
 Structured Streaming file source: each micro-batch of new files is classified
-and its rows appended (exactly once, through the checkpoint) to the videos
-table and the rejects table. The stream keeps no state of its own; last-wins
+and its rows written under ``batch_id=<n>`` of the videos table and the rejects
+table, by overwriting: a batch that is run again replaces what it left before, so
+each entry is stored once. The stream keeps no state of its own; last-wins
 dedup (A1) stays a read-time view over the stored entry order, so a late dump
 of an old id is handled the same way as in batch.
 """
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelcat.functions.grammar import RECORD_TERMINATOR
+from reelcat.functions.text import decoded_path
 from reelcat.operators.dedup import keep_last
 from reelcat.operators.parse import classify_entries, parsed_rows, rejected_rows
+from reelcat.schemas import VIDEOS_STORED
 
 
 def read_dump_stream(spark: SparkSession, landing: str, glob: str = "*.txt", max_files: int = 100) -> DataFrame:
@@ -29,8 +32,8 @@ def read_dump_stream(spark: SparkSession, landing: str, glob: str = "*.txt", max
            .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files).load(landing))
     return raw.select(
         F.col("value"),
-        F.col("_metadata.file_name").alias("source_name"),
-        F.col("_metadata.file_path").alias("source_file"),
+        decoded_path("_metadata.file_name").alias("source_name"),
+        decoded_path("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_offset"),
     )
 
@@ -45,14 +48,9 @@ def start_ingest(spark: SparkSession, landing: str, videos_path: str, rejects_pa
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("source_seq", F.monotonically_increasing_id())
-        classified = classify_entries(numbered, channel=channel).withColumn("batch_id", F.lit(batch_id))
-        classified.persist()
-        try:
-            parsed_rows(classified).withColumn("batch_id", F.lit(batch_id)).write.mode("append") \
-                .partitionBy("youtuber").parquet(videos_path)
-            rejected_rows(classified).withColumn("batch_id", F.lit(batch_id)).write.mode("append").json(rejects_path)
-        finally:
-            classified.unpersist()
+        classified = classify_entries(numbered, channel=channel)
+        parsed_rows(classified).write.mode("overwrite").partitionBy("youtuber").parquet(f"{videos_path}/batch_id={batch_id}")
+        rejected_rows(classified).write.mode("overwrite").json(f"{rejects_path}/batch_id={batch_id}")
 
     writer = (read_dump_stream(spark, landing).writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
@@ -62,5 +60,5 @@ def start_ingest(spark: SparkSession, landing: str, videos_path: str, rejects_pa
 
 def latest_videos(spark: SparkSession, videos_path: str) -> DataFrame:
     """A1 over everything ingested so far: one row per id, the last entry wins."""
-    v = spark.read.parquet(videos_path)
+    v = spark.read.schema(VIDEOS_STORED + ", batch_id long").parquet(videos_path)
     return keep_last(v, "id", ["batch_id", "source_file", "source_offset", "source_seq"])

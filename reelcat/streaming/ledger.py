@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelcat.operators.ledger import upsert_ledger
 from reelcat.sinks.tables import current_ledger_path, write_ledger
+from reelcat.sources.files import CSV_OPTIONS
 
 STATUS_SCHEMA = "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long"
 _STORED_SCHEMA = "video_id string, video_title string, is_link_found boolean, ledger_pos long, subject_name string"
@@ -32,7 +33,7 @@ def read_ledger_version(spark: SparkSession, path: str | None) -> DataFrame:
     """A ledger version written by ``write_ledger`` (CSV by subject folder); empty when None."""
     if path is None:
         return spark.createDataFrame([], STATUS_SCHEMA)
-    df = spark.read.schema(_STORED_SCHEMA).option("header", True).option("basePath", path).csv(path)
+    df = spark.read.schema(_STORED_SCHEMA).options(**CSV_OPTIONS).option("basePath", path).csv(path)
     return df.select("subject_name", "video_id", "video_title", "is_link_found", "ledger_pos")
 
 

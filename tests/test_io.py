@@ -48,7 +48,7 @@ def test_catalog_documents_roundtrip_through_legacy_reader(spark, tmp_path):
     out = str(tmp_path / "docs")
     from reelcat.sinks.documents import write_documents
 
-    write_documents(K.catalog_documents(rows), "catalog_file", out)
+    write_documents(K.catalog_documents(rows, rows), "catalog_file", out)
     text = concat_doc(os.path.join(out, "catalog_file=cat_A_VideosObject.json"))
     doc = json.loads(text)
     assert set(doc) == {"videos", "urls"} and doc["urls"]["https://x/3"] == "v3"

@@ -67,7 +67,7 @@ def test_plan_record_rename_and_pages_jobs(spark, tmp_path):
     man = spark.createDataFrame([("a", "Alpha", "@s", "10"), ("b", "Beta", "@s", "NA"), ("c", "Gamma", "@s", "5")],
                                 "id string, title string, subject_name string, duration string")
     inv = spark.createDataFrame([("@s", "a.mp4", "HighQuality", 1), ("@s", "old Gamma cut.mp4", None, 2)],
-                                "subject_name string, filename string, quality_dir string, mtime_pos long")
+                                "subject_name string, filename string, quality_dir string, modification_time long")
     led = spark.createDataFrame([("@s", "b", "Beta", True, 1)],
                                 "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long")
     out = jobs.plan_downloads(man, inv, led)

@@ -10,7 +10,7 @@ from reelcat.operators import planning as P
 from reelcat.operators.substring import rows_with_contained_needle
 
 MAN = "id string, title string, subject_name string, duration string"
-INV = "subject_name string, filename string, quality_dir string, mtime_pos long"
+INV = "subject_name string, filename string, quality_dir string, modification_time long"
 LED = "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long"
 
 
