@@ -7,17 +7,20 @@ A document is its set of distinct 4-word shingles. Two documents link when
 2. Shingles are ordered by a bounded count sketch (ordinary ones first, frequent ones
    last), then by hash. Of a set's first n - ceil(0.85 n) + c shingles, two sets that reach
    the threshold share c at least; c is 5 % of the set. Postings of shingles that a single
-   class has are dropped, then classes left with too few, then each class's most frequent
-   ones, down to half of what a pair must share.
-3. *Contracting rounds*: every class is held against the one it shares most postings
-   with in another component, so a group of a thousand near copies needs about a
-   thousand comparisons. Links are united (large star, small star).
-4. *Exact round*: all pairs that still share enough postings across components are
-   searched. A link inside a component wouldn't change it, so none is lost.
-
-The search takes one probe and a block of classes: an inverted list per probe shingle; the
-L longest are set aside, the short ones heap-merged, classes met T - L times probed in the
-long ones by binary search, and those reaching the needed overlap kept.
+   class has are dropped, then classes left with fewer than c, then each class's c - 1 most
+   frequent postings: of those left a linked pair still shares one.
+3. The class of a list whose postings are most frequent in all is its *hub* (in a group of
+   near copies, the text they come from), and a class joins the block of each hub it has.
+   Two classes that share a list share its hub, so linked classes meet in a block. There are
+   about as many (class, hub) rows as classes, where pairs would be quadratic.
+4. A block is searched from its hub first, then from each class not connected with the hub
+   yet, and hands out the links that connect what wasn't connected: fewer than it has
+   classes. Blocks over BLOCK classes are cut into parts, and every two parts searched
+   together with the hub. The links are united (large star, small star).
+
+The search of a probe in a block's inverted lists sets its L longest lists aside, heap-merges
+the short ones, and probes classes met T - L times in the long ones by binary search, until
+the needed overlap T is reached or out of reach.
 
 Nulls: a null text has no words; documents without words link with nothing (component:
 themselves). A null id counts as absent when the smallest id is taken. Equal rows share a
@@ -43,10 +46,11 @@ from reelcat.session import stage_table
 
 SKETCH_BITS = 18
 U = np.uint64
-#: Classes of a probe's block at most; larger groups are searched in several blocks.
-BLOCK = 512
-ROUNDS = 2
+#: Classes of a block searched at once; a larger block is searched by pairs of parts of half that size.
+BLOCK = 4096
 SHARED_PERCENT = 5
+#: DivideSkip's weight of a binary search against a step of the merge.
+MU = 0.001
 
 
 def _mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -157,112 +161,130 @@ def _full(width: int):
     return run
 
 
-def divide_skip(probe: np.ndarray, block: list[np.ndarray], percent: int) -> list[int]:
-    """The members of ``block`` (sorted arrays) whose Jaccard similarity with ``probe`` reaches ``percent``."""
-    n = len(probe)
-    sizes = [len(b) for b in block]
-    fits = [i for i, m in enumerate(sizes) if 100 * min(n, m) >= percent * max(n, m)]
-    if not fits or not n:
-        return []
-    flat = np.concatenate([block[i] for i in fits])
-    owner = np.repeat(np.arange(len(fits)), [sizes[i] for i in fits])
-    at = np.searchsorted(probe, flat)
-    hit = probe[np.minimum(at, n - 1)] == flat
-    at, owner = at[hit], owner[hit]
-    order = np.lexsort((owner, at))
-    at, owner = at[order], owner[order]
-    edges = np.flatnonzero(np.diff(at)) + 1
-    lists = sorted((x.tolist() for x in np.split(owner, edges)), key=len) if len(at) else []
-    # overlap >= percent / (100 + percent) * (n + m)
-    need = [-(-percent * (n + sizes[i]) // (100 + percent)) for i in fits]
-    least = min(need)
-    if len(lists) < least:
-        return []
-    longest = len(lists[-1])
-    long_n = min(least - 1, int(least / (0.0085 * np.log2(longest + 1) + 1)))
-    short, long = lists[: len(lists) - long_n], lists[len(lists) - long_n :]
-    found, current, count = [], -1, 0
-
-    def settle(member, times):
-        if times < need[member] - len(long) or times < 1:
-            return
-        left = len(long)
-        for x in long:
-            if times >= need[member] or times + left < need[member]:
+class Lists:
+    """The inverted lists of a block of sets (sorted arrays): for each shingle, the sets that have it, ascending."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.sizes = sets, np.array([len(x) for x in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        flat, self.owners = flat[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        self.shingles, self.starts = flat[first], np.append(first, len(flat))
+
+    def divide_skip(self, probe: int, percent: int, wanted: np.ndarray) -> list[int]:
+        """The ``wanted`` sets whose Jaccard similarity with ``probe`` reaches ``percent``."""
+        n = int(self.sizes[probe])
+        # overlap of at least percent / (100 + percent) * (n + m), with m at least percent of n
+        need = -(-percent * (n + self.sizes) // (100 + percent))
+        least = -(-percent * (n + -(-percent * n // 100)) // (100 + percent))
+        k = np.searchsorted(self.shingles, self.sets[probe])
+        lengths = self.starts[k + 1] - self.starts[k]
+        k = k[np.argsort(lengths, kind="stable")]
+        lists = [self.owners[a:b] for a, b in zip(self.starts[k].tolist(), self.starts[k + 1].tolist())]
+        n_long = min(least - 1, int(least / (MU * np.log2(int(lengths.max()) + 1) + 1)))
+        short, long = lists[: n - n_long], lists[n - n_long :]
+        met: list[int] = []
+        times: list[int] = []
+        for member in heapq.merge(*[x.tolist() for x in short if len(x) > 1]):
+            if met and met[-1] == member:
+                times[-1] += 1
+            else:
+                met.append(member)
+                times.append(1)
+        c, t = np.array(met, np.int64), np.array(times, np.int64)
+        fits = wanted[c] & (100 * np.minimum(n, self.sizes[c]) >= percent * np.maximum(n, self.sizes[c])) if len(c) else np.zeros(0, bool)
+        c, t = c[fits], t[fits]
+        left = n_long
+        for x in reversed(long):  # from the shorter of the long ones
+            alive = t + left >= need[c]
+            c, t = c[alive], t[alive]
+            if not len(c):
                 break
+            at = np.minimum(np.searchsorted(x, c), len(x) - 1)
+            t = t + (x[at] == c)
             left -= 1
-            k = bisect_left(x, member)
-            times += k < len(x) and x[k] == member
-        if times >= need[member]:
-            found.append(fits[member])
+        return c[t >= need[c]].tolist() if len(c) else []
 
-    for member in heapq.merge(*short):
-        if member != current:
-            settle(current, count) if current >= 0 else None
-            current, count = member, 0
-        count += 1
-    if current >= 0:
-        settle(current, count)
-    return found
+
+def connected(sets: list[np.ndarray], hub: int, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what the block's links connect, at most one fewer than its sets."""
+    lists, root = Lists(sets), np.arange(len(sets))
+    links = []
+    for probe in [hub, *(i for i in range(len(sets)) if i != hub)]:
+        if probe != hub and root[probe] == root[hub]:
+            continue  # a link to a set elsewhere is found from there
+        for other in lists.divide_skip(probe, percent, root != root[probe]):
+            if root[other] != root[probe]:
+                links.append((probe, other))
+                root[root == root[other]] = root[probe]
+    return links
 
 
 def _search(percent: int):
-    """Rows sorted by (probe, part, is_member): a probe's set, then its block's; yields links."""
+    """Rows sorted by (hub, p1, p2): a block's or tile's sets; yields links between classes."""
 
     def run(batches):
-        key, probe, ids, block = None, None, [], []
+        key, ids, block = None, [], []
         us, vs = [], []
 
         def close():
-            if probe is not None and block:
-                got = divide_skip(probe, block, percent)
-                us.extend([key[0]] * len(got))
-                vs.extend(ids[i] for i in got)
+            if len(block) > 1:
+                hub = ids.index(key[0]) if key[0] in ids else 0
+                for a, b in connected(block, hub, percent):
+                    us.append(ids[a])
+                    vs.append(ids[b])
 
         for batch in small_batches(batches):
             off = batch["tokens"].offsets.to_numpy()
             flat = batch["tokens"].values.to_numpy().view(U)
-            for i, (p, part, member, c) in enumerate(zip(*(batch[x].to_pylist() for x in ("probe", "part", "member", "c")))):
-                if (p, part) != key:
+            for i, (hub, p1, p2, c) in enumerate(zip(*(batch[x].to_pylist() for x in ("hub", "p1", "p2", "c")))):
+                if (hub, p1, p2) != key:
                     close()
-                    key, probe, ids, block = (p, part), None, [], []
-                tokens = flat[off[i] : off[i + 1]].copy()
-                if member:
+                    key, ids, block = (hub, p1, p2), [], []
+                if not ids or ids[-1] != c:
                     ids.append(c)
-                    block.append(tokens)
-                else:
-                    probe = tokens
-            if len(us) > 1 << 16:
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-                us, vs = [], []
+                    block.append(flat[off[i] : off[i + 1]].copy())
         close()
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        for at in range(0, max(1, len(us)), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(us[part], pa.int64()), pa.array(vs[part], pa.int64())], names=["u", "v"])
 
     return run
 
 
-def search(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among the staged ``pairs`` (probe, c); ``sets`` is (c, tokens)."""
-    parts = pairs.groupBy("probe").agg(F.count(F.lit(1)).alias("k")).withColumn("parts", F.ceil(F.col("k") / BLOCK).cast("int"))
-    parts = stage_table(parts, "ngram-blocks")
-    dealt = pairs.join(sized(parts), "probe").select("probe", "c", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int").alias("part"))
-    members = sets.join(sized(stage_table(dealt, "ngram-dealt")), "c").select("probe", "part", F.lit(1).alias("member"), "c", "tokens")
-    asked = parts.select("probe", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    asked = sets.join(sized(stage_table(asked, "ngram-asked")), F.col("probe") == F.col("c"))
-    rows = members.unionByName(asked.select("probe", "part", F.lit(0).alias("member"), "c", "tokens"))
-    return rows.repartition("probe", "part").sortWithinPartitions("probe", "part", "member").mapInArrow(_search(percent), "u bigint, v bigint")
+def tiled(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(hub, p1, p2, c): the staged ``members`` (hub, c) by block; of a large block, by pairs of its parts, the hub in each."""
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    parts = F.when(F.col("k") <= block, F.lit(1)).otherwise(F.ceil(2 * F.col("k") / block).cast("int"))
+    sizes = stage_table(sizes.select("hub", parts.alias("parts")), "ngram-blocks")
+    dealt = members.join(sized(sizes), "hub").withColumn("own", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    tiles = F.transform(every, lambda j: F.struct(F.least("own", j).alias("p1"), F.greatest("own", j).alias("p2")))
+    # a part alone with itself is met in its pairs already; the hub goes to all of them
+    tiles = F.when(F.col("parts") == 1, tiles).otherwise(F.filter(tiles, lambda x: x["p1"] < x["p2"]))
+    all_pairs = F.filter(F.flatten(F.transform(every, lambda i: F.transform(every, lambda j: F.struct(i.alias("p1"), j.alias("p2"))))),
+                         lambda x: (x["p1"] < x["p2"]) | (F.col("parts") == 1))
+    return dealt.select("hub", "c", F.explode(F.when(F.col("c") == F.col("hub"), all_pairs).otherwise(tiles)).alias("t")).select("hub", "t.p1", "t.p2", "c")
+
+
+def search(members: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) that connect the linked classes of each block; ``sets`` is (c, tokens)."""
+    rows = sets.join(sized(stage_table(tiled(members, block), "ngram-tiles")), "c")
+    rows = rows.repartition("hub", "p1", "p2").sortWithinPartitions("hub", "p1", "p2", "c")
+    return rows.select("hub", "p1", "p2", "c", "tokens").mapInArrow(_search(percent), "u bigint, v bigint")
 
 
 def _shortened(postings: DataFrame, percent: int) -> DataFrame:
-    """(c, n, q, token): what classes keep of their postings; a pair that links shares min(q) of them at least."""
+    """(c, token, weight): the postings that classes keep, and how frequent all of a class's postings are."""
     met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     live = stage_table(postings.join(met, "token"), "ngram-postings")
     own = Window.partitionBy("c")
-    # both sizes of a pair are at least ``percent`` of this one's
+    # the smaller of a linked pair has at least ``percent`` of this one's shingles
     least = 1 + F.floor(F.floor((percent * F.col("n") + 99) / 100) * SHARED_PERCENT / 100).cast("int")
-    live = live.withColumns({"least": least, "have": F.count(F.lit(1)).over(own)}).withColumn("q", F.ceil(F.col("least") / 2).cast("int"))
+    live = live.withColumns({"least": least, "have": F.count(F.lit(1)).over(own), "weight": F.sum("df").over(own)})
     live = live.where("have >= least").withColumn("place", F.row_number().over(own.orderBy("df", "token")))
-    return stage_table(live.where("place <= have - (least - q)").select("c", "n", "q", "token"), "ngram-shortened")
+    return stage_table(live.where("place <= have - (least - 1)").select("c", "token", "weight"), "ngram-shortened")
 
 
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -279,45 +301,18 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     firsts = only_ids(members.where("n > 0").select("r", "n", "prefix"), stage_table(copies, "ngram-copies"), "r", "left_anti")
     live = _shortened(firsts.select(F.col("r").alias("c"), "n", F.explode("prefix").alias("token")), percent)
 
-    # whole sets of the classes that still meet another one
-    met = live.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    active = live.join(met, "token", "left_semi").select("c").distinct()
-    active = stage_table(classes.join(active, "c", "left_semi"), "ngram-active")
+    lists = live.groupBy("token").agg(F.max(F.struct("weight", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    blocks = live.select("c", "token").join(lists.select("token", F.col("top.c").alias("hub")), "token").select("hub", "c").distinct()
+    blocks = stage_table(blocks, "ngram-members-of-blocks")
+
+    # whole sets of the classes that meet another one
+    active = stage_table(classes.join(blocks.select("c").distinct(), "c", "left_semi"), "ngram-active")
     again = only_ids(texts, active, "id").select("t")
     sets = again.mapInArrow(_full(width), "n bigint, k1 bigint, k2 bigint, tokens array<bigint>")
     sets = stage_table(sets.join(sized(active.select("c", "n", "k1", "k2")), ["n", "k1", "k2"]).select("c", "tokens"), "ngram-sets")
+    roots = components(stage_table(search(blocks, sets, percent), "ngram-links"))
 
-    labels, tried = active.select("c", F.col("c").alias("label")), None
-    for turn in range(ROUNDS + 1):
-        held = live.join(labels, "c")
-        low = held.groupBy("token").agg(F.min(F.struct("label", "c", "n", "q")).alias("low"), F.max("label").alias("top"))
-        low = low.where(F.col("low.label") < F.col("top"))
-        if turn < ROUNDS:  # each class against the one it meets most often in its postings' lowest component
-            met = held.join(low, "token").where(F.col("label") > F.col("low.label"))
-            met = met.select("c", "n", "q", F.col("low.c").alias("probe"), F.col("low.n").alias("m"), F.col("low.q").alias("p"))
-        else:  # all that is left across components
-            cross = held.join(low.select("token"), "token", "left_semi")
-            one, two = cross.alias("a"), cross.alias("b")
-            met = one.join(two, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") < F.col("b.label"))
-                           & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")))
-            met = met.select(F.col("b.c").alias("c"), F.col("b.n").alias("n"), F.col("b.q").alias("q"),
-                             F.col("a.c").alias("probe"), F.col("a.n").alias("m"), F.col("a.q").alias("p"))
-        met = met.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-        pairs = met.groupBy("probe", "c").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("q", "p")).alias("least")).where("k >= least")
-        if tried is not None:
-            pairs = pairs.join(sized(tried), ["probe", "c"], "left_anti")
-        if turn < ROUNDS:
-            pairs = pairs.groupBy("c").agg(F.max(F.struct("k", "probe")).alias("best")).select("best.probe", "c")
-        pairs = stage_table(pairs.select("probe", "c"), "ngram-pairs")
-        links = stage_table(search(pairs, sets, percent), "ngram-links")
-        both = pairs.unionByName(pairs.select(F.col("c").alias("probe"), F.col("probe").alias("c")))
-        tried = both if tried is None else tried.unionByName(both)
-        named = sized(labels)
-        joined = (links.join(named.select(F.col("c").alias("u"), F.col("label").alias("lu")), "u")
-                  .join(named.select(F.col("c").alias("v"), F.col("label").alias("lv")), "v").select(F.col("lu").alias("u"), F.col("lv").alias("v")))
-        roots = components(joined)
-        labels = stage_table(labels.join(roots.select(F.col("u").alias("label"), "root"), "label", "left")
-                             .select("c", F.coalesce("root", "label").alias("label")), "ngram-labels")
+    labels = roots.select(F.col("u").alias("c"), F.col("root").alias("label"))
     own = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     lowest = own.groupBy("label").agg(F.min("id").alias("component_id"))
     named = own.join(lowest, "label").select("n", "k1", "k2", "component_id")
