@@ -41,7 +41,7 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their piece ids; what the ids decode to must be the text."""
-    back = pieces.decode(pieces.encode(docs))
+    back = pieces.encode(docs, with_decoded=True)
     exact = F.col("decoded") == F.coalesce("row.text", F.lit(""))
     return back.select("row.*", "ids", F.size("ids").cast("long").alias("n_tokens"), exact.alias("exact"))
 

@@ -32,7 +32,7 @@ SPACE = "▁"
 U = np.uint64
 BASES = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
 NEVER = -1e30
-BATCH = 4 << 20
+BATCH = 2 << 20
 #: Score of a character given as bytes: below any piece, as in the original's unknown penalty.
 BYTES_SCORE = -1e9 - 1e6
 
@@ -175,7 +175,7 @@ def encode_words(words: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarra
         by_length.setdefault(len(w), []).append(k)
     got: list[tuple[np.ndarray, np.ndarray]] = []  # (word, id) in order within each word
     for n, at in by_length.items():
-        step = max(1, (1 << 17) // n)
+        step = max(1, (1 << 16) // n)
         for k in range(0, len(at), step):
             some = np.array(at[k : k + step])
             codes = np.frombuffer("".join(words[x] for x in some.tolist()).encode("utf-32-le"), np.uint32).astype(U).reshape(len(some), n)
@@ -216,7 +216,14 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.searchsorted(at, off), words
 
 
-def _encode(text: str, vocab):
+def _texts(ids: np.ndarray, off: np.ndarray, v: Vocabulary) -> pa.Array:
+    """What lists of ids stand for."""
+    at, raw = as_bytes(v.contents.take(pa.array(ids)))
+    cuts, data = at[off], raw.data
+    return pa.array([bytes(data[a:b])[1:].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.string())
+
+
+def _encode(text: str, vocab, with_decoded: bool):
     def run(batches):
         v = vocab.value
         for batch in small_batches(batches, BATCH):
@@ -227,7 +234,10 @@ def _encode(text: str, vocab):
             sizes = np.diff(w_off)[k]
             ids = w_ids[flat_ranges(w_off[:-1][k], sizes)]
             ends = np.concatenate(([0], np.cumsum(sizes)))[off]
-            yield pa.RecordBatch.from_arrays([batch["row"], list_array(ids.astype(np.int32), ends, pa.int32())], names=["row", "ids"])
+            columns = {"row": batch["row"], "ids": list_array(ids.astype(np.int32), ends, pa.int32())}
+            if with_decoded:
+                columns["decoded"] = _texts(ids, ends, v)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
@@ -236,23 +246,19 @@ def _decode(column: str, vocab):
     def run(batches):
         v = vocab.value
         for batch in small_batches(batches, BATCH):
-            lists = batch[column]
-            flat, off = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-            parts = v.contents.take(flat)
-            p_off, raw = as_bytes(parts)
-            cuts = p_off[off - off[0]]
-            data = raw.data
-            out = [bytes(data[a:b])[1:].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
+            off = batch[column].offsets.to_numpy().astype(np.int64)
+            texts = _texts(batch[column].flatten().to_numpy(zero_copy_only=False), off - off[0], v)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
 
     return run
 
 
-def encode(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFrame:
-    """(row, ids) for each document."""
+def encode(docs: DataFrame, text: str = "text", model: str = MODEL, with_decoded: bool = False) -> DataFrame:
+    """(row, ids) for each document; ``with_decoded`` adds what the ids stand for, from the same pass."""
     df = packed(docs)
     vocab = docs.sparkSession.sparkContext.broadcast(vocabulary(model))
-    return df.mapInArrow(_encode(text, vocab), f"row {df.schema['row'].dataType.simpleString()}, ids array<int>")
+    out = f"row {df.schema['row'].dataType.simpleString()}, ids array<int>" + (", decoded string" if with_decoded else "")
+    return df.mapInArrow(_encode(text, vocab, with_decoded), out)
 
 
 def decode(df: DataFrame, column: str = "ids", model: str = MODEL) -> DataFrame:
@@ -264,6 +270,6 @@ def decode(df: DataFrame, column: str = "ids", model: str = MODEL) -> DataFrame:
 
 def op10_sentencepiece(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs))
+    back = encode(docs, with_decoded=True)
     return back.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == whole(F.col("row.text"))).alias("exact"))

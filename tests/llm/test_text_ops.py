@@ -214,6 +214,8 @@ def test_pieces_agree_with_plain_viterbi_and_decode_exactly(spark):
     assert len(got) == len(texts)
     for r in got:
         assert list(r.ids) == plain_viterbi(r.text, scores, [int(x) for x in v.byte_ids], v.longest) and r.decoded == (r.text or "")
+    both = pieces.encode(df, with_decoded=True).select("row.doc_id", "ids", "decoded").collect()
+    assert all(r.decoded == (texts[r.doc_id] or "") for r in both)
     assert pieces.encode(df.limit(0)).count() == 0
 
 
