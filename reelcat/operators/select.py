@@ -88,7 +88,11 @@ def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH
     head = t.limit(max_broadcast_terms + 1).agg(F.count(F.lit(1)).alias("n"),
                                                 F.coalesce(F.sum(F.length("_term")), F.lit(0)).alias("chars")).first()
     if head["n"] <= max_broadcast_terms and head["chars"] <= max_broadcast_chars:
-        return videos.join(F.broadcast(t), term_matches(F.col(title_col), F.col("_term"), match), "left_semi")
+        # the terms' patterns are made once, not for every title
+        t = t.select((like_pattern if match == MATCH_LIKE else F.lower)(F.col("_term")).alias("_made"))
+        title = F.lower(F.col(title_col))
+        met = F.like(title, F.col("_made")) if match == MATCH_LIKE else F.contains(title, F.col("_made"))
+        return videos.join(F.broadcast(t), met, "left_semi")
     return _semi_join_by_grams(videos, t, match, title_col, anchor)
 
 

@@ -143,3 +143,29 @@ def test_dump_writer_roundtrip_and_pages_reader(spark, tmp_path):
     pages = spark.createDataFrame([(1, "https://h/a", "<html></html>")], "page_id long, url string, html string")
     pages.write.parquet(str(tmp_path / "pages"))
     assert read_pages(spark, str(tmp_path / "pages")).columns == ["page_id", "url", "html"]
+
+
+def test_ledger_csv_keeps_titles_and_reads_what_pandas_writes(spark, tmp_path):
+    import pandas as pd
+
+    titles = [" pad ", 'He said ""hi"", ok', "two\nlines", "a,b", '"q"']
+    led = spark.createDataFrame([("@s 100%", f"v{i}", t, i % 2 == 0, i) for i, t in enumerate(titles)],
+                                "subject_name string, video_id string, video_title string, is_link_found boolean, ledger_pos long")
+    K.write_ledger(led, str(tmp_path / "v1"))
+    from reelcat.streaming.ledger import read_ledger_version
+
+    assert sorted(tuple(r) for r in read_ledger_version(spark, str(tmp_path / "v1")).collect()) == sorted(tuple(r) for r in led.collect())
+    folder = tmp_path / "base" / "@My Chan"
+    folder.mkdir(parents=True)
+    pd.DataFrame({"video_id": [f"v{i}" for i in range(5)], "video_title": titles, "is_link_found": [True, False] * 2 + [True]}).to_csv(folder / "download_status.csv", index=False)
+    got = S.read_ledger(spark, str(tmp_path / "base")).orderBy("video_id").collect()
+    assert [r.video_title for r in got] == titles and {r.subject_name for r in got} == {"@My Chan"} and not got[1].is_link_found
+    assert S.read_ledger(spark, str(tmp_path / "none")).columns == S.read_ledger(spark, str(tmp_path / "base")).columns
+
+
+def test_hidden_catalogs_are_read(spark, tmp_path):
+    one = {"videos": {"v": {"id": "v", "title": "T"}}, "urls": {}}
+    for name in ("_Name_VideosObject.json", "Other 100%_VideosObject.json"):
+        (tmp_path / name).write_text(json.dumps(one))
+    got = {r.catalog_file for r in S.read_catalog_documents(spark, str(tmp_path)).collect()}
+    assert got == {"_Name_VideosObject.json", "Other 100%_VideosObject.json"}

@@ -44,8 +44,8 @@ def test_ingest_and_catalog_jobs(spark, tmp_path):
     doc = concat_doc(str(tmp_path / "docs" / "catalog_file=_Chan_Videos_VideosObject.json"))
     assert doc["videos"]["v1"]["duration"] == "11" and doc["urls"]["https://m.org/watch?v=v2"] == "v2"
 
-    jobs.reduce_catalogs(spark, str(tmp_path / "catalogs"), str(tmp_path / "reduced"), terms=["again"])
-    red = concat_doc(str(tmp_path / "reduced" / "manifest_name=_Chan_Videos_VideosObject_matching_Download_ready"))
+    path = jobs.reduce_catalogs(spark, str(tmp_path / "catalogs"), str(tmp_path), terms=["again"])
+    red = concat_doc(os.path.join(path, "manifest_name=_Chan_Videos_VideosObject_matching_Download_ready"))
     assert red["search_terms"] == ["again"] and list(red["videos"]) == ["v1"]
     assert red["videos"]["v1"]["subject_name"] == "@Chan"
 
@@ -114,3 +114,33 @@ def test_readme_flow_end_to_end(spark, tmp_path):
                                read_ledger(spark, str(tmp_path / "media")), ledger_order=jobs.LEDGER_FILE_ORDER)
     assert [r["id"] for r in plan["work"].collect()] == []          # v2 gated by its ledger status
     assert {r["subject_name"]: r["duration_total"] for r in plan["durations"].collect()} == {"@Chan": 22.0, None: 22.0}
+
+
+def test_catalog_sections_fill_independently_and_need_no_channel(spark, tmp_path):
+    d = tmp_path / "dump"
+    d.mkdir()
+    rec = "| d | 1 | 2 | 3 | T{0} | v{1} | https://m.org/{2} | x \\_/"
+    (d / "all.txt").write_text(rec.format(1, 1, "a") + rec.format(2, 2, "a") + rec.format(3, 3, "b") + rec.format(4, 3, "c"))
+    (d / "list_empty.txt").write_text("nothing here \\_/")
+    m = jobs.build_catalog(spark, str(d), str(tmp_path / "rows"), documents_path=str(tmp_path / "docs"), rejects_path=str(tmp_path / "rejects"))
+    assert (m["parsed_entries"], m["rejected_entries"]) == (4, 1)
+    doc = concat_doc(str(tmp_path / "docs" / "catalog_file=_VideosObject.json"))
+    assert set(doc["videos"]) == {"v1", "v2", "v3"} and doc["urls"] == {"https://m.org/a": "v2", "https://m.org/b": "v3", "https://m.org/c": "v3"}
+    empty = concat_doc(str(tmp_path / "docs" / "catalog_file=_empty_VideosObject.json"))
+    assert empty == {"videos": {}, "urls": {}}
+
+
+def test_a_selection_without_a_hit_writes_an_empty_manifest(spark, tmp_path):
+    v = spark.createDataFrame([], "entry_pos long, upload_date string, duration string, view_count string, like_count string, title string,"
+                              " id string, webpage_url string, description string, youtuber string")
+    path = jobs.select_videos(spark, v, str(tmp_path), terms=["zzz"])
+    assert concat_doc(os.path.join(path, "manifest_name=" + os.path.basename(path))) == {"search_terms": ["zzz"], "videos": {}}
+
+
+def test_renames_never_share_a_target(spark):
+    inv = spark.createDataFrame([("@a", "videoplayback.mp4", None, 5), ("@b", "videoplayback.mp4", None, 1), ("@b", "new.mp4", None, 2),
+                                 ("@c", "old.mp4", None, 2), ("@c", "c.mp4", None, 1), ("@d", "D", "HighQuality", 1)],
+                                "subject_name string, filename string, quality_dir string, modification_time long")
+    cur = spark.createDataFrame([("@a", "a", "A"), ("@b", "b", "B"), ("@c", "c", "C"), ("@d", "d", "D")], "subject_name string, id string, title string")
+    got = sorted((r.subject_name, r.from_name, r.to_name) for r in jobs.plan_renames(inv, cur).collect())
+    assert got == [("@a", "videoplayback.mp4", "a.mp4"), ("@b", "new.mp4", "b.mp4")]

@@ -49,9 +49,25 @@ def test_term_table_paths_agree_with_brute_force(spark, vids, match):
     assert fast == sorted(brute) == grams
 
 
-def test_channel_filter_pushed_to_scan(spark):
+def test_channel_filter_reaches_the_stored_tables_scan(spark, tmp_path):
+    from reelcat.sinks.tables import write_videos
     from reelcat.sources import derived
 
-    v = derived.videos(spark, "/root/testdata/sf0.001")
+    write_videos(derived.videos(spark, "/root/testdata/sf0.001"), str(tmp_path / "videos"))
+    v = spark.read.parquet(str(tmp_path / "videos"))
     plan = select_videos(v, channel="src3")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters" in plan and "EqualTo(source,src3)" in plan
+    assert "PartitionFilters: [isnotnull(youtuber" in plan and "= src3)" in plan
+
+
+def test_like_terms_mean_the_same_on_both_paths(spark):
+    from reelcat.operators.select import MATCH_LIKE, select_by_term_table
+
+    titles = ["plain words", "50% off", "a_b", "ends with abc%", "back\\slash", "", "axb", None, "long title with 100% of_all things"]
+    v = spark.createDataFrame(list(enumerate(titles)), "n int, title string")
+    want = {"\\%": {1, 3, 8}, "\\_": {2, 8}, "abc\\": {3}, "a\\_b": {2}, "a_b": {2, 6}, "%": {0, 1, 2, 3, 4, 5, 6, 8}, "": {0, 1, 2, 3, 4, 5, 6, 8},
+            "_____": {0, 1, 3, 4, 8}, "\\\\s": {4}, "with 100\\% of\\_all": {8}, "p\\lain": {0}}
+    for term, hits in want.items():
+        t = spark.createDataFrame([(term,)], "term string")
+        for limit in (0, 100):
+            got = {r.n for r in select_by_term_table(v, t, MATCH_LIKE, max_broadcast_terms=limit).collect()}
+            assert got == hits, (term, limit)
