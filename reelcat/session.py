@@ -89,6 +89,27 @@ def staging_scope(spark: SparkSession):
         _delete(spark, path)
 
 
+_KEPT: dict[tuple[str, str], str] = {}
+
+
+@contextlib.contextmanager
+def renewed_scope(spark: SparkSession, name: str):
+    """What is staged inside stays until the next scope of this name is entered.
+
+    For steps that return DataFrames over staged tables, each written out before the
+    next step begins: one step's staged tables at most are on disk.
+    """
+    key = (spark.sparkContext.applicationId, name)
+    if key in _KEPT:
+        _delete(spark, _KEPT.pop(key))
+    _SCOPES.append(f"{name}-{uuid.uuid4().hex[:12]}")
+    _KEPT[key] = "/".join([staging_root(spark), *_SCOPES])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
