@@ -1,17 +1,20 @@
 """The corpus pipeline: documents in, a deduplicated, mixed and encoded corpus out.
 
 STAGES are run in order; each gets the rows that its predecessor kept, written as Parquet
-and read again, and all but the last return the columns of ``documents``.
+and read again, and all but the last return the columns of ``documents``. A stage's own
+staged tables are deleted when the next stage begins, as its result is written by then.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelcat.llm import exact_dedup, mixing, ngram_join, pieces, quality
 from reelcat.llm.common import only_ids
-from reelcat.session import stage_table
+from reelcat.session import renewed_scope, stage_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +49,22 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return back.select("row.*", "ids", F.size("ids").cast("long").alias("n_tokens"), exact.alias("exact"))
 
 
+def _alone(stage):
+    """``stage`` with a staging folder of its own, for which the last stage's is deleted."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with renewed_scope(spark, "pipeline-stage"):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("exact_dedup", exact_duplicates),
-    ("ngram_join", near_duplicates),
-    ("mixing", mixing_weights),
-    ("sentencepiece", sentencepiece),
+    ("quality_rules", _alone(quality_rules)),
+    ("exact_dedup", _alone(exact_duplicates)),
+    ("ngram_join", _alone(near_duplicates)),
+    ("mixing", _alone(mixing_weights)),
+    ("sentencepiece", _alone(sentencepiece)),
 ]
 
 #: SQL can't express the last stage: tests hold run() against a brute-force version.

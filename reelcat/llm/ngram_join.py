@@ -31,11 +31,9 @@ in step 1 by two 64-bit sums of hashes and their size.
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
