@@ -5,15 +5,16 @@
 digits or more in any grouping, spelled-out addresses, long opaque tokens. Each candidate
 has features of its format and of the text around it.
 
-*Training* is weakly supervised, on a bounded sample of candidates (``train_rows``): those
-that meet a base span, or follow a key name and a sign of assignment, are positive, and
-so are rewritten base spans (without the plus, other separators, ``(at)``); the others are
-negative. A part is held back; by kind, the lowest score whose precision there reaches
-``precision`` is the threshold. Without positives or negatives of a kind it selects none.
+*Training* is weakly supervised: candidates that meet a base span, or follow a key name and
+a sign of assignment, are positive, and so are rewritten base spans (without the plus, other
+separators, ``(at)``); the others are negative. The trees are fitted on a sample bounded by
+``train_rows``, in which rare kinds and labels are kept whole. A quarter is held back from it;
+by kind, the lowest score whose precision reaches ``precision`` on all that is held back, of
+every document, is the threshold. A kind without positives there selects none.
 
 *Scoring*: the trees become one expression per candidate. Selected candidates that meet no
 base span and no better candidate are added. Every text is scanned once; no shuffle but
-the training's.
+the training's sample and sums (by kind and rounded score).
 
 Nulls: a null text is empty and has no spans. Equal rows fare alike. An empty table gives
 an empty result; input columns travel in one struct.
@@ -197,25 +198,48 @@ def _rewritten(base: DataFrame) -> DataFrame:
     return some.select("w.m", F.concat("x.b", cue).alias("b"), "w.generator", "w.kind")
 
 
+def _shares(counts: dict, limit: int) -> dict:
+    """The part of each stratum to take for ``limit`` rows in all: small strata whole, the larger ones alike."""
+    left, out = limit, {}
+    for i, (name, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        take = min(n, left // (len(counts) - i))
+        out[name], left = take / n, left - take
+    return out
+
+
+def _sampled(df: DataFrame, by: list[str], limit: int) -> DataFrame:
+    """About ``limit`` rows of ``df`` at most, taken by hash; rare combinations of ``by`` are kept whole."""
+    stratum = F.concat_ws(" ", *by)
+    shares = _shares({r["s"]: r["count"] for r in df.groupBy(stratum.alias("s")).count().collect()}, limit)
+    if not shares:
+        return df
+    share = F.element_at(F.create_map(*[c for k, v in shares.items() for c in (F.lit(k), F.lit(v))]), stratum)
+    return df.where(F.pmod(F.xxhash64("m", "b"), F.lit(1_000_000_000)) < share * 1_000_000_000)
+
+
+def _held() -> Column:
+    return F.pmod(F.xxhash64("m", "b", F.lit("held")), F.lit(4)) == 0
+
+
+def _made(base: DataFrame) -> DataFrame:
+    """The rewritten spans of ``base`` as positive examples."""
+    found = features(F.col("m"), F.col("b"), F.col("generator"))
+    return _rewritten(base).select("m", "b", "kind", F.lit(False).alias("meets"), F.lit(1.0).alias("label"), *[c.alias(k) for k, c in found.items()])
+
+
 def train(found: DataFrame, train_rows: int = 20_000, precision: float = 0.97, trees: int = 12, depth: int = 3) -> Model:
-    """A model from a bounded sample of the staged ``found`` (base, candidates)."""
+    """Trees from a bounded sample of the staged ``found`` (base, candidates), thresholds from all that is held back of it."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    def sampled(df, limit):
-        n = df.count()
-        return df if n <= limit else df.where(F.pmod(F.xxhash64("m", "b"), F.lit(1_000_000)) < int(1_000_000 * limit / n))
-
     each = found.select("base", F.explode("candidates").alias("x"))
     meets = F.exists("base", lambda y: _overlap(F.col("x"), y))
-    given = sampled(each.select("x.m", "x.b", "x.generator", "x.kind", meets.alias("meets")), train_rows).select(
-        "m", "b", "generator", "kind", "meets", (F.col("meets") | ((F.col("generator") == "opaque") & F.col("b").rlike(CUES["cue_key"]))).alias("positive"))
-    based = sampled(found.select(F.explode("base").alias("x")).select("x", "x.m", "x.b"), train_rows // 8).select("x")
-    rows = given.unionByName(_rewritten(based).select("*", F.lit(False).alias("meets"), F.lit(True).alias("positive")))
-    rows = rows.select("m", "b", "kind", "meets", F.col("positive").cast("double").alias("label"), *[c.alias(k) for k, c in features(
-        F.col("m"), F.col("b"), F.col("generator")).items()], (F.pmod(F.xxhash64("m", "b", F.lit("held")), F.lit(4)) == 0).alias("held"))
-    rows = stage_table(rows.coalesce(4), "pii-training")
-    fit = rows.where("NOT held")
+    keyed = (F.col("x.generator") == "opaque") & F.col("x.b").rlike(CUES["cue_key"])
+    given = each.select("x.m", "x.b", "x.kind", meets.alias("meets"), (meets | keyed).cast("double").alias("label"), *[F.col(f"x.{k}") for k in FEATURES])
+    based = found.select(F.explode("base").alias("x")).select("x", "x.m", "x.b")
+    some = _sampled(given.where(~_held()), ["kind", "label", "meets"], train_rows)
+    rows = some.unionByName(_made(_sampled(based, ["x.kind"], train_rows // 8)).where(~_held()))
+    fit = stage_table(rows.coalesce(4), "pii-training")
     if fit.select("label").distinct().count() < 2:
         return Model()
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(fit).select("vector", "label")
@@ -223,7 +247,7 @@ def train(found: DataFrame, train_rows: int = 20_000, precision: float = 0.97, t
     model = Model([(w, _tree(t._call_java("rootNode"))) for w, t in zip(boosted.treeWeights, boosted.trees)])
     # by kind, the lowest margin whose precision on held-back rows that no base span settles is reached (and stays so above)
     margin = F.round(F.greatest(F.least(model.margin(F.col), F.lit(5.0)), F.lit(-5.0)), 2).alias("margin")
-    held = rows.where("held AND NOT meets").select("kind", "label", margin)
+    held = given.unionByName(_made(based)).where(_held() & ~F.col("meets")).select("kind", "label", margin)
     sums = held.groupBy("kind", "margin").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("all")).orderBy(F.desc("margin")).collect()
     thresholds: dict = {}
     for kind in KINDS:

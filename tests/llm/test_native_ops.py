@@ -82,6 +82,17 @@ def test_trained_trees_add_spans_and_keep_the_base(spark):
     assert out.count() == len(rows)
 
 
+def test_rare_secrets_are_found_beyond_the_sample(spark):
+    rng = random.Random(4)
+    rows = [(i, f"serial {rng.randint(10**9, 10**10)} of {hashlib.sha1(str(i).encode()).hexdigest()} here") for i in range(3000)]
+    rows += [(9000 + i, f'token = "{hashlib.sha1(str(-i - 1).encode()).hexdigest()}" end') for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = [F.transform(c, pii._text).alias(c) for c in ("base", "spans")]
+    got = {r.doc_id: r for r in pii.personal_data(df, train_rows=100).select("row.doc_id", *spans).collect()}
+    assert all("secret:9:49" in got[9000 + i].spans or got[9000 + i].base for i in range(40))
+    assert all(got[i].spans == got[i].base for i in range(3000))
+
+
 def test_an_empty_table_has_no_spans(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert pii.personal_data(df).count() == 0
