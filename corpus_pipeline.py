@@ -30,11 +30,12 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by links of 0.85 on 4-word shingles the one with the smallest id stays.
 
-    Rows without an id, or that share an id, can't be told apart here and share a verdict.
+    Rows are told apart by a number, so those without an id, or that share one, have a verdict each.
     """
-    found = ngram_join.ngram_join(docs)
-    dropped = stage_table(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("doc_id")).distinct(), "pipeline-dropped")
-    return only_ids(docs, dropped, "doc_id", "left_anti")
+    docs = stage_table(docs.withColumn("__number", F.monotonically_increasing_id()), "pipeline-numbered")  # fixed once written
+    found = ngram_join.ngram_rows(docs, number="__number")
+    dropped = stage_table(found.where("NOT kept").select(F.col("r").alias("__number")), "pipeline-dropped")
+    return only_ids(docs, dropped, "__number", "left_anti").drop("__number")
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

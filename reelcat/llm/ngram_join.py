@@ -125,7 +125,7 @@ def sketch(texts: DataFrame, width: int, bits: int = SKETCH_BITS) -> np.ndarray:
     return np.clip(np.floor(2 * np.log2(np.maximum(counts, 1) / usual)) + 1, 0, 120).astype(np.uint8)
 
 
-def _prefixes(width: int, percent: int, bits: int, levels):
+def _prefixes(width: int, percent: int, bits: int, levels, names: list[str]):
     def run(batches):
         level = levels.value
         for batch in small_batches(batches):
@@ -140,7 +140,7 @@ def _prefixes(width: int, percent: int, bits: int, levels):
             first = np.minimum(n, n - (percent * n + 99) // 100 + needed(n))
             keep = (np.arange(len(h)) - off[doc]) < first[doc]
             prefix = list_array(h[keep].view(np.int64), np.concatenate(([0], np.cumsum(first))), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(n), *map(pa.array, sums), prefix], names=["id", "n", "k1", "k2", "prefix"])
+            yield pa.RecordBatch.from_arrays([*(batch[x] for x in names), pa.array(n), *map(pa.array, sums), prefix], names=[*names, "n", "k1", "k2", "prefix"])
 
     return run
 
@@ -285,13 +285,22 @@ def _shortened(postings: DataFrame, percent: int) -> DataFrame:
     return stage_table(live.where("place <= have - (least - 1)").select("c", "token", "weight"), "ngram-shortened")
 
 
-def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
-    """(id, n_shingles, component_id), one row for each input row."""
+def ngram_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85, number: str | None = None) -> DataFrame:
+    """(id, r, n_shingles, component_id, kept), one row for each input row.
+
+    ``r`` is the column ``number``, which differs from row to row, or else a number of the
+    row. One row of each component is kept, of those with the smallest id the one with the
+    smallest ``r``, and every row without words.
+    """
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
+    numbered = [] if number is None else [F.col(f"`{number}`").cast("long").alias("r")]
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), *numbered, ascii_lower(whole(F.col(f"`{text}`"))).alias("t"))
     levels = spark.sparkContext.broadcast(sketch(texts.select("t"), width))
-    members = texts.mapInArrow(_prefixes(width, percent, SKETCH_BITS, levels), "id bigint, n bigint, k1 bigint, k2 bigint, prefix array<bigint>")
-    members = stage_table(members.withColumn("r", F.monotonically_increasing_id()), "ngram-members")  # r is fixed once written
+    names = [x for x in texts.columns if x != "t"]
+    members = texts.mapInArrow(_prefixes(width, percent, SKETCH_BITS, levels, names),
+                               ", ".join(f"{x} bigint" for x in [*names, "n", "k1", "k2"]) + ", prefix array<bigint>")
+    members = members if numbered else members.withColumn("r", F.monotonically_increasing_id())
+    members = stage_table(members, "ngram-members")  # r is fixed once written
     narrow = members.where("n > 0").select("id", "n", "k1", "k2", "r")
     classes = narrow.groupBy("n", "k1", "k2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "r")).alias("rep"))
     classes = stage_table(classes.select("n", "k1", "k2", F.col("rep.id").alias("id"), F.col("rep.r").alias("c")), "ngram-classes")
@@ -312,10 +321,16 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     labels = roots.select(F.col("u").alias("c"), F.col("root").alias("label"))
     own = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    lowest = own.groupBy("label").agg(F.min("id").alias("component_id"))
-    named = own.join(lowest, "label").select("n", "k1", "k2", "component_id")
+    first = own.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "c")).alias("first"))
+    named = own.join(first, "label").select("n", "k1", "k2", "first")
     out = members.drop("prefix").join(named, ["n", "k1", "k2"], "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select("id", "r", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first.id")).otherwise(F.col("id")).alias("component_id"),
+                      ((F.col("n") == 0) | F.col("r").eqNullSafe(F.col("first.c"))).alias("kept"))
+
+
+def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
+    """(id, n_shingles, component_id), one row for each input row."""
+    return ngram_rows(docs, key, text, width, percent).select("id", "n_shingles", "component_id")
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -47,3 +47,13 @@ def test_stages_return_the_columns_of_documents_and_take_empty_tables(spark):
         out = stage(spark, docs, "")
         assert out.columns == docs.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 0
+
+
+def test_near_duplicates_judges_rows_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(5)
+    a, b, c, d, e, f, g = (" ".join(f"word{rng.randrange(500)}" for _ in range(80)) for _ in range(7))
+    rows = [(3, a), (5, a + " tail"), (5, b), (None, c), (None, c + " tail"), (None, d), (2, e), (4, e + " tail"), (2, f), (1, g), (1, g + " tail"), (1, g), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted((i or 0, (t or "").removesuffix(" tail")) for i, t in got) == sorted(
+        [(3, a), (5, b), (0, c), (0, d), (2, e), (2, f), (1, g), (9, ""), (0, "")])
