@@ -150,8 +150,8 @@ def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TITLES = ["%s", " padded %s ", "two\nlines %s", 'he said "hi", %s', "'%s',;|"]
 
 
-def _odd_title():
-    t, pos = F.substring("video_title", 1, 20), F.col("ledger_pos")
+def _odd_title(t):
+    pos = F.col("ledger_pos")
     shapes = [F.concat(F.lit(s.split("%s")[0]), t, F.lit(s.split("%s")[1])) for s in _TITLES]
     return F.element_at(F.array(*shapes), (pos % len(_TITLES)).cast("int") + 1)
 
@@ -160,8 +160,12 @@ def _sql_text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_ODD_TITLE_SQL = "CASE ledger_pos % 5 " + " ".join(
-    f"WHEN {k} THEN {_sql_text(s.split('%s')[0])} || substr(video_title, 1, 20) || {_sql_text(s.split('%s')[1])}" for k, s in enumerate(_TITLES)) + " END"
+def _odd_title_sql(t: str) -> str:
+    return "CASE ledger_pos % 5 " + " ".join(
+        f"WHEN {k} THEN {_sql_text(s.split('%s')[0])} || {t} || {_sql_text(s.split('%s')[1])}" for k, s in enumerate(_TITLES)) + " END"
+
+
+_ODD_TITLE_SQL = _odd_title_sql("substr(video_title, 1, 20)")
 
 
 @register("ledger_roundtrip", with_views(
@@ -171,8 +175,19 @@ def q_ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     An empty title is an empty CSV field, which reads as null (there and in pandas).
     """
+    return _ledger_roundtrip(spark, sf_dir, F.substring("video_title", 1, 20))
+
+
+@register("ledger_roundtrip_whole", with_views(
+    "SELECT subject_name || ' 100%' AS subject_name, video_id, nullif(" + _odd_title_sql("video_title") + ", '') AS video_title, is_link_found FROM link_status", "videos", "link_status"))
+def q_ledger_roundtrip_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 -> S6 as ``ledger_roundtrip``, with whole titles instead of their first 20 characters."""
+    return _ledger_roundtrip(spark, sf_dir, F.col("video_title"))
+
+
+def _ledger_roundtrip(spark: SparkSession, sf_dir: str, title) -> DataFrame:
     led = derived.link_status(spark, sf_dir).select(F.concat("subject_name", F.lit(" 100%")).alias("subject_name"), "video_id",
-                                                    _odd_title().alias("video_title"), "is_link_found")
+                                                    _odd_title(title).alias("video_title"), "is_link_found")
     written, base = staging_path(spark, "ledger-parts"), staging_path(spark, "ledgers")
     write_ledger(led, written)
     _land(spark, written, base, lambda subject, k: f"{k}/{subject}/download_status.csv")

@@ -169,3 +169,17 @@ def test_hidden_catalogs_are_read(spark, tmp_path):
         (tmp_path / name).write_text(json.dumps(one))
     got = {r.catalog_file for r in S.read_catalog_documents(spark, str(tmp_path)).collect()}
     assert got == {"_Name_VideosObject.json", "Other 100%_VideosObject.json"}
+
+
+def test_ledger_roundtrip_whole_returns_whole_titles(spark):
+    from conftest import SF_CHECK
+    from reelcat.plans import file_queries as Q
+    from reelcat.sources import derived
+
+    def shaped(r):
+        return None if r.video_title is None else Q._TITLES[r.ledger_pos % 5].replace("%s", r.video_title) or None
+
+    got = Q.q_ledger_roundtrip_whole(spark, SF_CHECK).collect()
+    led = derived.link_status(spark, SF_CHECK).select("subject_name", "video_id", "video_title", "is_link_found", "ledger_pos").collect()
+    assert max(len(r.video_title or "") for r in got) > 20 + max(map(len, Q._TITLES))
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((f"{r.subject_name} 100%", r.video_id, shaped(r), r.is_link_found)) for r in led)
