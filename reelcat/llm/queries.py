@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelcat.llm import chat, exact_dedup, language, mixing, ngram_join, pieces, pii, quality, suffix_dedup, warc
+from reelcat.llm import align, chat, exact_dedup, language, line_dedup, mixing, ngram_join, periodic, pieces, pii, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.op1_chat_formatting,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_sentencepiece": pieces.op10_sentencepiece,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
+    "op13_cross_tokenizer_alignment": align.op13_cross_tokenizer_alignment,
 }
 ORACLES = {
     "op1_chat_formatting": chat.ORACLE,
@@ -22,4 +25,5 @@ ORACLES = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op7_warc": warc.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
