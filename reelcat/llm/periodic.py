@@ -227,10 +227,12 @@ def planted(docs: DataFrame) -> DataFrame:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     n = F.size(words)
     g = F.floor(h / 10)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    repeated = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
-    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), repeated).otherwise(F.col("text")).alias("text"))
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    times = 3 + g % 8
+    p = (1 + F.floor((n - a) / times)).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), (times + 1).cast("int")))  # times + 1 of them are enough
+    repeated = F.slice(F.concat(F.slice(words, F.lit(1), a), again), F.lit(1), n)
+    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op11_periodic_runs(spark, sf_dir: str) -> DataFrame:
