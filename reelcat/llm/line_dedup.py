@@ -53,10 +53,11 @@ COUNTS = "shard int, key binary, n bigint, keeper bigint"
 FILTERS = "shard int, capacity bigint, keys bigint, filter binary"
 
 
-def line_key(line: Column, min_chars: int) -> Column:
-    """The digest of a line's key, null if the key is short."""
-    key = ascii_lower(F.trim(line, F.lit(WHITESPACE)))
-    return F.when(F.char_length(key) >= min_chars, F.unhex(F.substring(F.sha2(key, 256), 1, 32)))
+def line_keys(lines: Column, min_chars: int) -> Column:
+    """The digests of lines' keys, null for short keys; each step binds its result once."""
+    trimmed = F.transform(lines, lambda x: F.trim(x, F.lit(WHITESPACE)))
+    lowered = F.transform(trimmed, lambda x: F.when(F.octet_length(x) == F.char_length(x), F.lower(x)).otherwise(ascii_lower(x)))  # quicker on ASCII
+    return F.transform(lowered, lambda x: F.when(F.char_length(x) >= min_chars, F.unhex(F.substring(F.sha2(x, 256), 1, 32))))
 
 
 def held_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -64,7 +65,7 @@ def held_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
     t = whole(F.col(f"`{text}`"))
     lines = F.split(t, "\n", -1)
     return stage_table(docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(LARGEST)).alias("id"), F.sha2(t, 256).alias("digest"),
-                                   F.size(lines).alias("n_lines"), F.transform(lines, lambda x: line_key(x, min_chars)).alias("keys")), "lines-held")
+                                   F.size(lines).alias("n_lines"), line_keys(lines, min_chars).alias("keys")), "lines-held")
 
 
 def _keys(table_: pa.Table) -> np.ndarray:
