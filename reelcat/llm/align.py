@@ -49,7 +49,7 @@ SPACES = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]"
 #: Fixed value of the byte-level format: what is split before merging.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text worked on at once, parts encoded in one call, pairs listed at once.
-BATCH, CALL, PAIRS = 12 << 20, 1000, 1 << 22
+BATCH, CALL, PAIRS = 4 << 20, 1000, 1 << 20
 #: Pairs (of a long, a count and a flag) that are broadcast at most.
 COMMON = 1_000_000
 
