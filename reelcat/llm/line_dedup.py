@@ -189,7 +189,7 @@ def cleaned(docs: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str
     """(row, n_dropped, kept) of the documents that lose lines: the input row and the text that is left."""
     t = whole(F.col(f"row.`{text}`"))
     df = packed(docs).select("row", t.alias("t"), F.coalesce(F.col(f"row.`{key}`").cast("long"), F.lit(LARGEST)).alias("id"), F.sha2(t, 256).alias("digest"))
-    df = df.join(sized(dropped.select("id", "digest")), ["id", "digest"], "left_semi").join(dropped, ["id", "digest"])
+    df = df.join(sized(dropped.select("id")), "id", "left_semi").join(dropped, ["id", "digest"])  # few texts are left to shuffle
     return df.select("row", "t", "lines").mapInArrow(_cut, f"row {df.schema['row'].dataType.simpleString()}, n_dropped bigint, kept string")
 
 
