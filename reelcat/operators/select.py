@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelcat.functions.text import ColumnOrName, _col
-from reelcat.operators.substring import chunks_of, grams_of, tagged_grams
+from reelcat.operators.substring import chunks_of, grams_of, grams_of_lengths, spread_over_tasks
 from reelcat.session import sized, stage_table
 
 MATCH_LIKE = "like"  # SQL LIKE: % and _ in a term are wildcards, \ escapes
@@ -129,8 +129,7 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     """
     titles = videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct()
     titles = stage_table(titles.withColumn("_tid", F.monotonically_increasing_id()), "term-join-titles")
-    # gram cutting is CPU-bound: spread the titles over more tasks than their few files
-    spread = titles.repartition("_tid")
+    spread = spread_over_tasks(titles, "_tid")
     tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
     tm = stage_table(tm.withColumn("_alen", F.length("_anc")), "term-join-terms")
 
@@ -139,12 +138,11 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     short = tm.where((F.col("_alen") > 0) & (F.col("_alen") < anchor)).select("_term", "_alen", "_anc")
     lengths = sorted(r[0] for r in short.select("_alen").distinct().collect())
     if lengths:
-        tg = spread.select("_tid", F.explode(F.array_distinct(tagged_grams(F.col("_lt"), lengths))).alias("_g")).select(
-            "_tid", F.col("_g.glen").alias("_alen"), F.col("_g.gram").alias("_anc"))
+        tg = spread.select("_tid", F.explode(grams_of_lengths(F.col("_lt"), lengths)).alias("_anc"))
         if match == MATCH_LITERAL:
-            exact.append(tg.join(sized(short.select("_alen", "_anc")), ["_alen", "_anc"], "left_semi").select("_tid"))
+            exact.append(tg.join(sized(short.select("_anc")), "_anc", "left_semi").select("_tid"))
         else:
-            pairs.append(tg.join(sized(short), ["_alen", "_anc"]).select("_tid", "_term"))
+            pairs.append(tg.join(sized(short.select("_term", "_anc")), "_anc").select("_tid", "_term"))
 
     # long anchors: the rarest chunk among the titles
     long_ = tm.where(F.col("_alen") >= anchor).select("_term", "_anc")

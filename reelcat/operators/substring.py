@@ -52,13 +52,15 @@ def chunks_of(text: Column, length: int) -> Column:
     return F.array_distinct(F.concat(body, F.array(F.substring(text, -length, length))))
 
 
-def tagged_grams(text: Column, lengths: Sequence[int]) -> Column:
-    """Array of struct(glen, gram) over several gram lengths, one pass per length."""
-    def tag(n: int):
-        return lambda g: F.struct(F.lit(n).alias("glen"), g.alias("gram"))
+def grams_of_lengths(text: Column, lengths: Sequence[int]) -> Column:
+    """The distinct grams of several lengths, one pass per length; as texts, so they are told apart by hash (structs would be compared pair by pair)."""
+    arrays = [grams_of(text, n) for n in lengths]
+    return F.array_distinct(arrays[0] if len(arrays) == 1 else F.concat(*arrays))
 
-    arrays = [F.transform(grams_of(text, n), tag(n)) for n in lengths]
-    return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
+
+def spread_over_tasks(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` to a fixed number of tasks: gram cutting costs CPU per char, so few bytes must not mean few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: Sequence[str],
@@ -79,9 +81,7 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
     fl = files.where(F.col(file_name_col).isNotNull() & F.col(file_subject_col).isNotNull()).select(
         F.col(file_subject_col).alias("_subj"), F.col(file_name_col).alias("_fname")).distinct()
     fl = stage_table(fl.withColumn("_fid", F.monotonically_increasing_id()), "files")
-    # cutting grams costs CPU per char, not per byte read: spread names by key before
-    # exploding them (deterministic on retry)
-    spread = fl.repartition("_fid")
+    spread = spread_over_tasks(fl, "_fid")  # by key: the same on retry
 
     parts = []
     # short needles (0..anchor-1 chars): exact gram equality, only the lengths in use;
@@ -92,8 +92,8 @@ def rows_with_contained_needle(needles: DataFrame, files: DataFrame, key_cols: S
         grams = []
         positive = [n for n in short_lengths if n > 0]
         if positive:
-            grams.append(spread.select("_subj", F.explode(F.array_distinct(tagged_grams(F.col("_fname"), positive))).alias("_g")).select(
-                "_subj", F.col("_g.glen").alias("_nlen"), F.col("_g.gram").alias("_needle")))
+            grams.append(spread.select("_subj", F.explode(grams_of_lengths(F.col("_fname"), positive)).alias("_needle")).select(
+                "_subj", F.length("_needle").alias("_nlen"), "_needle"))
         if 0 in short_lengths:
             grams.append(spread.select("_subj", F.lit(0).alias("_nlen"), F.lit("").alias("_needle")))
         fg = grams[0] if len(grams) == 1 else grams[0].unionByName(grams[1])

@@ -236,12 +236,12 @@ def q_select_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bench_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Terms derived from the data: the second word of each benchmark passage."""
+    """Terms derived from the data: every word of every benchmark passage."""
     b = table(spark, sf_dir, "benchmark")
-    return b.select(F.lower(F.split_part(F.col("text"), F.lit(" "), F.lit(2))).alias("term")).where(F.length("term") >= 3)
+    return b.select(F.explode(F.split(F.lower("text"), " ")).alias("term")).where(F.length("term") >= 3).distinct()
 
 
-_TERMS_SQL = "SELECT lower(split_part(text, ' ', 2)) AS term FROM benchmark WHERE length(lower(split_part(text, ' ', 2))) >= 3"
+_TERMS_SQL = "SELECT DISTINCT term FROM (SELECT unnest(string_split(lower(text), ' ')) AS term FROM benchmark) WHERE length(term) >= 3"
 _TERM_JOIN_SQL = with_views(
     "SELECT entry_pos, id, title, youtuber FROM videos v WHERE EXISTS "
     "(SELECT 1 FROM terms t WHERE contains(lower(v.title), lower(t.term)))",
@@ -553,16 +553,21 @@ def q_rename_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ C8: pages
 
-_SPEC = page_ops.PageSpec()
 _NAV = r"(?is)<nav(?:\s[^>]*)?>(.*?)</nav\s*>"
 _HREF = r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 _LI = r"(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>"
-_TEXT_A = r"(?is)<a\s[^>]*>[^<]*the[^<]*</a>"
+_TEXT_A = r"(?s)<a\s[^>]*>[^<]*the[^<]*</a>"
 _TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+_SITE = "regexp_extract(url, '^[a-z]+://[^/?#]*', 0)"
+
+
+def _plain(x: str) -> str:
+    return f"replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
 
 
 def _href_of(x: str) -> str:
-    return f"CASE WHEN regexp_matches({x}, {_sql(_HREF)}) THEN regexp_extract({x}, {_sql(_HREF)}, 1) END"
+    href = _plain(f"regexp_extract({x}, {_sql(_HREF)}, 1)")
+    return f"CASE WHEN regexp_matches({x}, {_sql(_HREF)}) THEN CASE WHEN starts_with({href}, '/') THEN {_SITE} || {href} ELSE {href} END END"
 
 
 def _inner(x: str, pat: str) -> str:
@@ -576,37 +581,43 @@ def _inner(x: str, pat: str) -> str:
     + _href_of(_inner("nav", _LI)) + " END AS group_link, "
     "CASE WHEN regexp_matches(html, " + _sql(_TEXT_A) + ") THEN "
     + _href_of("regexp_extract(html, " + _sql(_TEXT_A) + ", 0)") + " END AS text_link, "
-    + _inner("html", _TITLE) + " AS page_title FROM (SELECT *, " + _inner("html", _NAV) + " AS nav FROM pages)",
+    + _plain(_inner("html", _TITLE)) + " AS page_title FROM (SELECT *, " + _inner("html", _NAV) + " AS nav FROM pages)",
 )
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1 (first link in a container), X2 (first link of the first group), X3 (link by text)."""
-    return page_ops.page_links(table(spark, sf_dir, "pages"), _SPEC)
+    """X1 (first link in a container), X2 (first link of the first group), X3 (link by text) of the crawled pages."""
+    return page_ops.page_links(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
 
 
 @register(
     "page_markers",
     "SELECT page_id, f AS is_failure, NOT f AS is_link_found, "
     "regexp_matches(html, " + _sql(r'(?is)<html\s[^>]*lang\s*=\s*"[^"]*es[^"]*"[^>]*>') + ") AS has_lang_marker, "
-    "coalesce(contains(url, 'utm_source='), FALSE) AS has_notice FROM (SELECT *, regexp_matches(html, "
-    + _sql(r'(?is)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the') + ") AS f FROM pages)",
+    "coalesce(contains(regexp_replace(" + _inner("html", _NAV) + ", '<[^>]*>', '', 'g'), 'The'), FALSE) AS has_notice FROM (SELECT *, regexp_matches(html, "
+    + _sql(r'(?s)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the') + ") AS f FROM pages)",
 )
 def q_page_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X4/F10 (failure block), F12 (notice text), language marker."""
-    return page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
+    """X4/F10 (failure block), F12 (notice text), language marker of the crawled pages."""
+    return page_ops.page_markers(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
 
 
-_LABEL = r"/([0-9]+)(?:[.]html)?/?(?:[?#].*)?$"
+# What a result page's fields are, by the rules that its blocks were made by (``derived.result_pages``): no page is parsed here.
+_DIR = "CASE WHEN p = '' THEN '/' ELSE regexp_replace(p, '[^/]*$', '') END"
+_UP = f"CASE WHEN {_DIR} = '/' THEN '/' ELSE regexp_replace({_DIR}, '[^/]+/$', '') END"
+_KEY = "cast(page_id AS varchar)"
+_RESULT_FIELDS_SQL = f"""SELECT page_id, CASE WHEN page_id % 11 > 0 THEN CASE page_id % 6
+  WHEN 0 THEN 'https://cdn.example.net/f/' || {_KEY} || '.mp4' WHEN 1 THEN site || '/get/' || {_KEY} || '?x=1&y=2' WHEN 2 THEN site || {_UP} || 'up/' || {_KEY} || '.mp4'
+  WHEN 3 THEN site || p || '?page=' || {_KEY} WHEN 4 THEN regexp_extract(url, '^[a-z]+:', 0) || '//cdn.example.net/' || {_KEY} ELSE site || {_DIR} || 'a/' || {_KEY} || '#f' END END AS container_link,
+ CASE WHEN page_id % 4 >= 2 THEN site || '/g0/' || {_KEY} END AS group_link,
+ CASE WHEN page_id % 10 <> 3 THEN site || '/lq/' || {_KEY} || '.mp4?a=1&b=2' END AS text_link,
+ page_id % 9 IN (4, 5) AS is_failure, page_id % 9 NOT IN (4, 5) AS is_link_found, page_id % 6 = 2 AS has_notice,
+ CASE WHEN page_id % 11 > 0 THEN CASE page_id % 5 WHEN 0 THEN cast(page_id % 900 AS double) WHEN 2 THEN 720.5 WHEN 4 THEN 399.0 END END AS label_value
+FROM (SELECT page_id, url, {_SITE} AS site, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p FROM pages)"""
 
 
-@register(
-    "page_threshold",
-    "SELECT page_id, v AS label_value, coalesce(v >= 400, FALSE) AS above_threshold FROM (SELECT page_id, "
-    "CASE WHEN regexp_matches(url, " + _sql(_LABEL) + ") AND regexp_matches(regexp_extract(url, " + _sql(_LABEL)
-    + ", 1), " + _DECIMAL_SQL + ") THEN CAST(regexp_extract(url, " + _sql(_LABEL) + ", 1) AS DOUBLE) END AS v FROM pages)",
-)
+@register("page_threshold", f"SELECT page_id, label_value, coalesce(label_value >= 400, FALSE) AS above_threshold FROM ({_RESULT_FIELDS_SQL})")
 def q_page_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X5 + P17 + F9: numeric label read from the page, compared with 400."""
-    return page_ops.page_threshold(table(spark, sf_dir, "pages"), _SPEC)
+    """X5 + P17 + F9: numeric label in an element of the result page, compared with 400."""
+    return page_ops.page_threshold(derived.result_pages(spark, sf_dir))
 
 
 @register(
@@ -670,7 +681,7 @@ def q_held_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_ops.held_by_id(inv, order="path")
 
 
-_PAGE_FAIL = r'(?is)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the'
+_PAGE_FAIL = r'(?s)<div\s[^>]*class\s*=\s*"[^"]*ad[^"]*"[^>]*>[^<]*the'
 
 
 @register(
@@ -698,7 +709,7 @@ def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Page ``k`` is the result page seen while fetching the video of entry ``k``.
     """
-    pages = page_ops.page_markers(table(spark, sf_dir, "pages"), _SPEC)
+    pages = page_ops.page_markers(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
     v = derived.videos(spark, sf_dir)
     seen = pages.join(v, pages["page_id"] == v["entry_pos"]).select(
         subject_from_channel("youtuber").alias("subject_name"), F.col("id").alias("video_id"),
@@ -709,11 +720,9 @@ def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "page_fields",
-    "SELECT l.page_id, l.container_link, l.group_link, l.text_link, l.page_title, m.is_failure, m.is_link_found,"
-    " m.has_notice, t.label_value, t.above_threshold, u.url_filename FROM (" + ORACLES["page_links"] + ") l"
-    " JOIN (" + ORACLES["page_markers"] + ") m USING (page_id) JOIN (" + ORACLES["page_threshold"] + ") t USING (page_id)"
-    " JOIN (" + ORACLES["url_filename"] + ") u USING (page_id)",
+    "SELECT r.*, coalesce(r.label_value >= 400, FALSE) AS above_threshold, t.page_title, u.url_filename FROM (" + _RESULT_FIELDS_SQL + ") r"
+    " JOIN (" + ORACLES["page_links"] + ") t USING (page_id) JOIN (" + ORACLES["url_filename"] + ") u USING (page_id)",
 )
 def q_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page field in one projection (one scan, no shuffle)."""
-    return page_ops.extract_page_fields(table(spark, sf_dir, "pages"), _SPEC)
+    """Every field of a result page, by element, in one scan without a shuffle."""
+    return page_ops.extract_page_fields(derived.result_pages(spark, sf_dir))

@@ -11,6 +11,7 @@ every case an operator must handle occurs and every view grows with the data:
 * ``link_status``  an existing status ledger
 * ``new_status``   a later status batch: some keys old, some new, titles changed
 * ``attempts``     download attempts per video (from ``events``)
+* ``result_pages`` the crawled pages with the blocks of a result page put into their bodies
 
 ``videos(..., hot=True)`` gives one channel a third of all rows and
 ``videos(..., hot_id=True)`` one id a third of all rows (skew checks);
@@ -130,6 +131,46 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A result page's blocks as one SQL expression that means the same to Spark and DuckDB (no
+# backslashes, quotes inside texts as Q): nested elements of one name before and inside the
+# ones looked for, decoys (comments, scripts, like names), and every shape of link and label.
+_K = "cast(page_id AS varchar(20))"
+_HREF_SHAPES = [f"'https://cdn.example.net/f/' || {_K} || '.mp4'", f"'/get/' || {_K} || '?x=1&amp;y=2'", f"'../up/' || {_K} || '.mp4'", f"'?page=' || {_K}",
+                f"'//cdn.example.net/' || {_K}", f"'./a/./b/../' || {_K} || '#f'"]
+_LABEL_SHAPES = [f"cast(page_id % 900 AS varchar(20))", "'HD'", "'720.5'", "''", "'39<i>9</i>'"]
+
+
+def _case(modulus: int, shapes: list[str]) -> str:
+    return f"CASE page_id % {modulus} " + " ".join(f"WHEN {k} THEN {x}" for k, x in enumerate(shapes)) + " END"
+
+
+def _group(k: int) -> str:
+    return (f"CASE WHEN page_id % 4 > {k} THEN '<div><div class=\"g link-group\"><div><p>text</p></div><div><a class=\"b\" href=\"/g{k}/' || {_K}"
+            f" || '\">go</a></div></div></div>' ELSE '<div class=\"link-groups\"><a href=\"/no\">no</a></div>' END")
+
+
+RESULT_BLOCK_SQL = " || ".join([
+    "'<div id=\"other\"><div class=\"def-btn-box\"><a href=\"/decoy\">d</a></div></div><!-- <div id=\"sf_result\"> -->'",
+    "CASE WHEN page_id % 11 = 0 THEN '' ELSE '<DIV data-note=\"a > b\" id=\"sf_result\"><script>var x=\"</div></div>\";</script><div><div>n</div></div>"
+    "<div class=\"def-btn-boxes\"><a href=\"/like\">l</a></div><div class=' || chr(39) || 'x def-btn-box y' || chr(39) || '><div class=\"in\"><p>no link</p></div></div>"
+    "<div class=\"def-btn-box\"><div><br><img src=\"/i.png\"></div><a name=\"n\">none</a><a class=b href=' || chr(39) || (" + _case(6, _HREF_SHAPES) + ") || chr(39) || '>go</a></div>"
+    "<div class=\"def-btn-name\"><div>q</div><span> <b>' || (" + _case(5, _LABEL_SHAPES) + ") || '</b> </span><span>1080</span></div></DIV>' END",
+    "'<div class=\"def-btn-box\"><a href=\"/late\">z</a></div><div id=\"links\"><div class=\"main\"><div><a href=\"/top\">t</a></div>'", _group(0), _group(1), _group(2), "'</div></div>'",
+    "'<section id=\"landingTz-main-screen-top\"><a class=\"landingTz-btn-close\" href=\"/hd\">high quality</a><a class=\"landingTz-btn-close'",
+    "CASE WHEN page_id % 10 = 3 THEN ' big' ELSE '' END", f"'\" href=\"/lq/' || {_K} || '.mp4?a=1&amp;b=&#50;\"><i>get it</i> with low quality</a></section>'",
+    "CASE page_id % 9 WHEN 4 THEN '<div class=\"note result-failure-box\"><div>Sorry.</div> The download link not found.</div>'"
+    " WHEN 5 THEN '<div class=\"result-failure\"><div>The down<b>load</b></div> link not found.</div>'"
+    " WHEN 6 THEN '<div class=\"result-failure\"><div>x</div></div><div>The download link not found.</div>' ELSE '' END",
+    "'<div id=\"c-ui-popup\"><div><div>t</div></div><p>'", "CASE WHEN page_id % 6 = 2 THEN 'Unable <b>to</b> download' ELSE 'Ready' END", "'</p></div>'",
+])
+RESULT_PAGES_SQL = f"SELECT page_id, url, replace(html, '<body>', '<body>' || {RESULT_BLOCK_SQL}) AS html FROM pages"
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): result pages made from the crawled ones by ``RESULT_BLOCK_SQL``."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", F.replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), F.expr(RESULT_BLOCK_SQL))).alias("html"))
+
+
 # ------------------------------------------------------------- SQL (oracle)
 # The same views as DuckDB SQL, used as CTEs by the oracle queries.
 

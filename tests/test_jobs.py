@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from reelcat.functions.grammar import RECORD_TERMINATOR as T
+from reelcat.operators.pages import CRAWLED
 from reelcat.plans import jobs
 
 REC = "| 2024010{n} | {dur} | 1{n}0 | 5 | {title} | v{n} | https://m.org/watch?v=v{n} | about {n}"
@@ -85,12 +86,11 @@ def test_plan_record_rename_and_pages_jobs(spark, tmp_path):
 
     pages = spark.createDataFrame(
         [(1, "https://h.org/en/512?utm_source=x",
-          '<html lang="en"><title>T</title><nav><ul><li><a href="/a">the a</a></li><li><a href="/b">b</a></li></ul></nav>'
+          '<html lang="en"><title>T &amp; U</title><nav><ul><li><a href="/a">the a</a></li><li><a href="/b">b</a></li></ul></nav>'
           '<div class="ad">the failure</div></html>')], "page_id long, url string, html string")
-    f = jobs.page_fields(pages).first()
-    assert (f["container_link"], f["group_link"], f["text_link"], f["page_title"]) == ("/a", "/a", "/a", "T")
-    assert (f["is_failure"], f["has_notice"], f["label_value"], f["above_threshold"], f["url_filename"]) == (
-        True, True, 512.0, True, "512")
+    f = jobs.page_fields(pages, CRAWLED).first()
+    assert (f["container_link"], f["group_link"], f["text_link"], f["page_title"]) == ("https://h.org/a",) * 3 + ("T & U",)
+    assert (f["is_failure"], f["has_notice"], f["label_value"], f["above_threshold"], f["url_filename"]) == (True, False, None, False, "512")
 
 
 def test_readme_flow_end_to_end(spark, tmp_path):
