@@ -23,6 +23,8 @@ from reelcat.functions.text import ColumnOrName, _col, strip_ws
 EVENT = (r"(?is)<!--.*?-->|<script(?=[\s>])[^>]*+>.*?</script\s*+>|<style(?=[\s>])[^>]*+>.*?</style\s*+>|<![^>]*+>"
          r"|</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^<]++|<")
 NAME = r"^<(/?[a-zA-Z][^\s/>]*)"
+#: A level of depth in a count of events.
+DEPTH = 1 << 32
 #: Elements without content.
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0"}
@@ -49,13 +51,13 @@ class Match:
     how: str = "word"
 
     def __call__(self, event: Column) -> Column:
-        named = event["name"] == self.tag if self.tag else event["name"].rlike("^[a-z]")
+        opens = event["name"] == self.tag if self.tag else (event["name"] != "") & ~event["name"].startswith("/")
         if self.attr is None:
-            return named
+            return opens
         value = attribute(event["tag"], self.attr)
         fits = {"equals": value == self.value, "contains": F.contains(value, F.lit(self.value)),
                 "word": F.array_contains(F.split(value, r"\s+"), self.value)}[self.how]
-        return named & F.contains(event["tag"], F.lit(self.value)) & F.coalesce(fits, F.lit(False))  # the cheap test first
+        return F.contains(event["tag"], F.lit(self.value)) & opens & F.coalesce(fits, F.lit(False))  # the tests that tell most first
 
 
 def by_id(value: str) -> Match:
@@ -86,18 +88,16 @@ def content(page: Column, at: Column) -> Column:
     """The events within the element whose open tag is at ``at``; null if ``at`` is."""
 
     def within(x):
-        name, rest = x["name"], x["rest"]
-
+        # the state is one number, so a step makes no row: the depth in steps of DEPTH, and the events counted
         def step(s, e):
-            change = F.when(s["depth"] <= 0, 0).when(e["name"] == s["name"], 1).when(e["name"] == s["close"], -1).otherwise(0)
-            return F.struct((s["depth"] + change).alias("depth"), (s["n"] + F.when(s["depth"] + change > 0, 1).otherwise(0)).alias("n"),
-                            s["name"].alias("name"), s["close"].alias("close"))
+            closed = F.when(s < 2 * DEPTH, s - DEPTH).otherwise(s - DEPTH + 1)
+            return F.when(s < DEPTH, s).when(e["name"] == x["name"], s + DEPTH + 1).when(e["name"] == x["close"], closed).otherwise(s + 1)
 
-        start = F.struct(F.when(name.isin(*VOID), 0).otherwise(1).alias("depth"), F.lit(0).alias("n"), name.alias("name"), F.concat(F.lit("/"), name).alias("close"))
-        return F.slice(rest, F.lit(1), F.aggregate(rest, start, step)["n"])
+        start = F.when(x["name"].isin(*VOID), 0).otherwise(DEPTH).cast("long")
+        return F.slice(x["rest"], F.lit(1), F.aggregate(x["rest"], start, step) % DEPTH)
 
     rest = F.slice(page, at + 2, F.greatest(F.size(page) - at - 1, F.lit(0)))
-    return F.when(at.isNotNull(), bound(F.struct(F.get(page, at)["name"].alias("name"), rest.alias("rest")), within))
+    return F.when(at.isNotNull(), bound(F.struct(F.get(page, at)["name"].alias("name"), F.concat(F.lit("/"), F.get(page, at)["name"]).alias("close"), rest.alias("rest")), within))
 
 
 def elements(page: Column, match: Match) -> Column:

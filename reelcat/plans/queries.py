@@ -30,7 +30,7 @@ from reelcat.plans import jobs
 from reelcat.operators.dedup import dedup_videos, keep_last, url_index
 from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos
 from reelcat.schemas import RECORD_FIELDS
-from reelcat.session import staging_path
+from reelcat.session import spread, staging_path
 from reelcat.sinks.tables import manifest_header_json, write_catalog_rows, write_manifest_documents
 from reelcat.sources.files import read_catalog_rows
 from reelcat.sources.tables import table
@@ -585,7 +585,7 @@ def _inner(x: str, pat: str) -> str:
 )
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 (first link in a container), X2 (first link of the first group), X3 (link by text) of the crawled pages."""
-    return page_ops.page_links(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
+    return page_ops.page_links(spread(table(spark, sf_dir, "pages").select("page_id", "url", "html")), page_ops.CRAWLED)
 
 
 @register(
@@ -597,7 +597,7 @@ def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_page_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X4/F10 (failure block), F12 (notice text), language marker of the crawled pages."""
-    return page_ops.page_markers(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
+    return page_ops.page_markers(spread(table(spark, sf_dir, "pages").select("page_id", "html")), page_ops.CRAWLED)
 
 
 # What a result page's fields are, by the rules that its blocks were made by (``derived.result_pages``): no page is parsed here.
@@ -709,7 +709,7 @@ def q_record_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Page ``k`` is the result page seen while fetching the video of entry ``k``.
     """
-    pages = page_ops.page_markers(table(spark, sf_dir, "pages"), page_ops.CRAWLED)
+    pages = page_ops.page_markers(spread(table(spark, sf_dir, "pages").select("page_id", "html")), page_ops.CRAWLED)
     v = derived.videos(spark, sf_dir)
     seen = pages.join(v, pages["page_id"] == v["entry_pos"]).select(
         subject_from_channel("youtuber").alias("subject_name"), F.col("id").alias("video_id"),

@@ -131,6 +131,15 @@ def sized(staged):
     return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
 
 
+def spread(scan):
+    """A table's scan over all tasks there are, if its files make fewer partitions (a file of one row group is one task else).
+
+    For scans under work that costs much more a row than moving it; a table of many splits is left as it is.
+    """
+    tasks = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan._jdf.queryExecution().toRdd().getNumPartitions() >= tasks else scan.repartition(tasks)
+
+
 def stage_table(df, name: str):
     """Write ``df`` as Parquet under the shared staging folder and read it back.
 

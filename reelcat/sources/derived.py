@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from reelcat.functions.grammar import render_record
 from reelcat.functions.text import media_name, subject_from_channel
 from reelcat.schemas import RECORD_FIELDS
-from reelcat.session import staging_path
+from reelcat.session import spread, staging_path
 from reelcat.sinks.dump import write_dump
 from reelcat.sources.tables import table
 
@@ -168,7 +168,8 @@ RESULT_PAGES_SQL = f"SELECT page_id, url, replace(html, '<body>', '<body>' || {R
 
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, url, html): result pages made from the crawled ones by ``RESULT_BLOCK_SQL``."""
-    return table(spark, sf_dir, "pages").select("page_id", "url", F.replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), F.expr(RESULT_BLOCK_SQL))).alias("html"))
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), F.expr(RESULT_BLOCK_SQL))).alias("html"))
 
 
 # ------------------------------------------------------------- SQL (oracle)
