@@ -8,6 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelcat.session import sized, spread
+
 #: ASCII white space: the separators of words, ``[\x20\x09-\x0D]``.
 WHITESPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -15,7 +17,8 @@ LOWER = UPPER.lower()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, over all tasks also if it is one row group."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def ascii_lower(c: Column) -> Column:
@@ -96,15 +99,6 @@ def list_array(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.L
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
 
 
-#: Rows up to which a staged table of a few longs a row is broadcast; a longer one is joined by shuffle.
-BROADCAST_ROWS = 1_000_000
-
-
-def sized(staged: DataFrame) -> DataFrame:
-    """A staged narrow table, marked for broadcast only if its counted rows are few."""
-    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
-
-
 def only_ids(docs: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
     """The rows whose ``key`` is (left_semi) or isn't (left_anti) in the staged table ``ids``, null-safe."""
     ids = sized(ids.select(F.col(key).alias("__only_id")))

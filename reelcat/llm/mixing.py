@@ -16,8 +16,9 @@ Sums run over blocks first: a source with a third of all rows is many blocks.
 
 ``mix_position`` in [0, 1) interleaves the sources in proportion: sort by it to train.
 Tokens are words. Nulls: a null text has no words; documents without words come once, at
-position 0; a null source is a source of its own. Equal rows fare alike. An empty table
-gives an empty mix. Input columns travel in one struct.
+position 0; a null source is a source of its own. If some ids are null or shared, rows are
+told apart by a number, so each is taken by itself. An empty table gives an empty mix. Input
+columns travel in one struct.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from reelcat.session import stage_table
 
 HALVINGS = 4
 PASSES = 10
+#: Hexadecimal digits of a block's draw by which blocks are summed first.
+DIGITS = 3
 
 
 @dataclass(frozen=True)
@@ -96,7 +99,12 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "t
     # null beside "" and "null"
     df = df.withColumns({"named": F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")),
                          "ident": F.coalesce(F.col(f"row.`{key}`").cast("string"), F.lit(""))})
-    narrow = stage_table(df.groupBy("named", "ident").agg(F.sum("tokens").alias("tokens")), "mix-tokens").where("tokens > 0")
+    narrow = stage_table(df.groupBy("named", "ident").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("copies")), "mix-tokens")
+    if narrow.where("copies > 1").limit(1).count():  # ids that are null or shared don't name one row: rows are numbered, once
+        number = F.concat_ws("|", "ident", F.monotonically_increasing_id().cast("string"))
+        df = stage_table(df.withColumn("ident", number), "mix-numbered")
+        narrow = df
+    narrow = narrow.select("named", "ident", "tokens").where("tokens > 0")
     sources = stage_table(narrow.groupBy("named").agg(F.sum("tokens").alias("tokens")), "mix-sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     sources = sources.withColumn("all_tokens", F.lit(total).cast("long"))
@@ -117,8 +125,14 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "t
     last_epoch = F.floor((F.col("owed") - 1) / F.col("source_tokens")).cast("long")
     blocks = blocks.where("owed > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last_epoch)))
     drawn = _drawn(F.lit(mix.seed), F.lit("order"), "named", F.col("epoch").cast("string"), F.col("block").cast("string"))
-    earlier = Window.partitionBy("named", "epoch").orderBy(drawn, "block").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.coalesce(F.sum("block_tokens").over(earlier), F.lit(0)) + F.col("epoch") * F.col("source_tokens")
+    # summed by the first digits drawn, then inside them: no task gets all blocks of a source
+    blocks = blocks.withColumn("drawn", drawn).withColumn("digits", F.substring("drawn", 1, DIGITS))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    groups = blocks.groupBy("named", "epoch", "digits").agg(F.sum("block_tokens").alias("group_tokens"))
+    groups = groups.withColumn("earlier", F.coalesce(F.sum("group_tokens").over(before("named", "epoch").orderBy("digits")), F.lit(0))).drop("group_tokens")
+    inside = F.coalesce(F.sum("block_tokens").over(before("named", "epoch", "digits").orderBy("drawn", "block")), F.lit(0))
+    blocks = blocks.withColumn("inside", inside).join(groups, ["named", "epoch", "digits"])
+    ahead = F.col("earlier") + F.col("inside") + F.col("epoch") * F.col("source_tokens")
     blocks = blocks.withColumn("ahead", ahead).where("ahead < owed").select(
         F.col("named").alias("b_named"), F.col("block").alias("b_block"), "epoch", "ahead")
     taken = narrow.join(blocks, (F.col("named") == F.col("b_named")) & (F.col("block") == F.col("b_block")))

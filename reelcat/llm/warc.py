@@ -16,6 +16,7 @@ that repeat it in full are responses too. An empty table writes and reads no rec
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import pyarrow as pa
@@ -28,6 +29,8 @@ from reelcat.session import stage_table, staging_path
 CRLF = "\r\n"
 END = CRLF * 2
 DATE = "2024-01-01T00:00:00Z"  # the transactions' date, where the table has none
+#: Sizes of pages written together differ by less than this factor; up to CLASS ** LEAST_CLASS bytes all are one class.
+CLASS, LEAST_CLASS, OWN_LINES = 4, 7, 3 << 10
 RECORDS = ("type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, "
            "content_type string, payload_digest string, length bigint, http_head bigint, block binary")
 
@@ -53,7 +56,11 @@ def _record(kind, headers: list[tuple[str, Column]], block: Column) -> Column:
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
                    revisit_from: int = 0, file_bytes: int = 32 << 20) -> None:
-    """Write the pages' transactions under ``path``. Payloads of at least ``revisit_from`` bytes are written once."""
+    """Write the pages' transactions under ``path``. Payloads of at least ``revisit_from`` bytes are written once.
+
+    Pages are written by size class, each with as many records a file as ``file_bytes`` hold of its
+    largest pages: no archive is larger, but for one of a single page that is.
+    """
     df = pages.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{url}`").cast("string").alias("url"), whole(F.col(f"`{payload}`")).alias("body"))
     df = df.withColumns({"digest": base32_sha1(F.col("body")), "n": F.octet_length("body").cast("long"), "content": F.sha2("body", 256)})
     # Only payloads met more than once, with the id of their response: staged, so that its size is known to the join.
@@ -83,8 +90,14 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         _record(kind, [("WARC-Record-ID", F.col("rid")), target, refers, profile, digest, http_type("response")], http),
         _record(F.lit("metadata"), [own("metadata"), with_it, target, ("Content-Type", F.lit("application/warc-fields"))], fields),
     )
-    lines = df.select(F.explode(records).alias("value"))
-    lines.write.option("lineSep", END).option("maxRecordsPerFile", max(3, file_bytes // (1 << 11))).text(path)
+    # what a page's three records take at most, as a power of CLASS: the payload, the URL in five places, the other lines
+    size = F.when(F.col("revisit"), 0).otherwise(F.col("n")) + 5 * F.coalesce(F.octet_length("url"), F.lit(0)) + OWN_LINES
+    df = df.withColumn("class", F.greatest(F.ceil(F.ln(size) / math.log(CLASS)), F.lit(LEAST_CLASS)).cast("int"))
+    classes = sorted(r[0] for r in df.select("class").distinct().collect()) or [LEAST_CLASS]  # a few small numbers
+    for k in classes:
+        lines = df.where(F.col("class") == k).select(F.explode(records).alias("value"))
+        pages_a_file = max(1, file_bytes // CLASS**k)
+        lines.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", 3 * pages_a_file).text(path)
 
 
 def _whole_bytes(content: bytes) -> bytes:

@@ -223,3 +223,28 @@ def test_a_very_long_word_round_trips(spark):
     text = "ab1é" * 40_000
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert pieces.decode(pieces.encode(df)).first().decoded == text
+
+
+def test_rows_without_an_id_of_their_own_are_taken_one_by_one(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 10 == 1 else i, "w " * 10, "ab"[i % 2]) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    for budget in (12_000, 6_000, 3_000):
+        mix = mixing.Mix(None, 1.0, budget, 200)
+        got = mixing.mixed(df, mix).select("row.doc_id", "source", "tokens").collect()
+        for s in "ab":  # two sources of 6,000 tokens each: half the budget of each, to one row
+            assert abs(sum(r.tokens for r in got if r.source == s) - budget / 2) <= 10
+    assert 60 < sum(r.doc_id is None for r in got) < 140  # of 300 rows taken, about a third
+
+
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    import os
+
+    rng = random.Random(13)
+    sizes = [1 << 20] * 40 + [rng.randint(0, 3000) for _ in range(400)] + [200_000] * 30 + [9 << 20]
+    rows = [(i, f"http://h.org/{i}", f"{i:09d}" + "x" * max(0, n - 9)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, PAGES).repartition(2)
+    warc.write_archives(df, str(tmp_path / "w"), file_bytes=4 << 20)
+    files = [os.path.getsize(f) for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert sum(n > 4 << 20 for n in files) == 1 and sum(files) > sum(sizes)  # the page of 9 MB alone
+    got = warc.assemble(warc.read_archives(spark, str(tmp_path / "w"))).select("response.target_uri", F.length(warc.payload_of("response")).alias("n")).collect()
+    assert {(r.target_uri, r.n) for r in got} == {(u, len(b)) for _, u, b in rows} and len(got) == len(rows)
