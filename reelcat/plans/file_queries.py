@@ -103,6 +103,17 @@ def q_ingest_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_videos(spark, path).select("id", "title", "youtuber", "ingest_run")
 
 
+@register("ingest_incremental", with_views(
+    "SELECT id, trim(title) AS title, youtuber, ingest_run FROM (SELECT id, title, " + _CHANNEL_SQL + " AS youtuber, 1 AS ingest_run,"
+    " row_number() OVER (PARTITION BY id ORDER BY " + _CHANNEL_SQL + " DESC, entry_pos DESC) AS _r FROM videos) WHERE _r = 1", "videos"))
+def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 as an idempotent append, run twice over named dumps: the second run finds no new file and adds no row."""
+    path = staging_path(spark, "ingested-new")
+    for _ in range(2):
+        jobs.ingest_new(spark, _named_dumps(spark, sf_dir), path)
+    return jobs.committed_videos(spark, path).select("id", "title", "youtuber", "ingest_run")
+
+
 def _document_entries(spark: SparkSession, path: str, doc_col: str) -> DataFrame:
     """(doc, key, value) of the entries of written documents; values as JSON text."""
     lines = spark.read.text(path).where(F.col("value").rlike('^(    |  , )"'))

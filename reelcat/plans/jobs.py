@@ -7,6 +7,8 @@ and never overwrite the path they read.
 
 from __future__ import annotations
 
+import itertools
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -64,6 +66,45 @@ def ingest_dump(spark: SparkSession, dump_path: str, videos_path: str, rejects_p
     return seen.get | distinct.first().asDict()
 
 
+INGEST_LOG = "path string, length long, modificationTime timestamp, ingest_run long"
+
+
+def ingest_log(spark: SparkSession, videos_path: str) -> DataFrame:
+    """(path, length, modificationTime, ingest_run) of the dump files whose rows are committed in ``videos_path``."""
+    log = f"{videos_path}/_ingested/files"
+    return spark.read.schema(INGEST_LOG).parquet(log) if _exists(spark, log) else spark.createDataFrame([], INGEST_LOG)
+
+
+def ingest_new(spark: SparkSession, dump_path: str | list[str], videos_path: str, channel: str | None = None, compat: bool = False,
+               glob: str | None = None) -> dict:
+    """C1, idempotent: only dump files that no committed run has read are read (by path, length and modification time).
+
+    The files are listed without their contents and anti-joined with the log before any is read; a
+    run's number is reserved in the log's folder, without a look at the stored rows. The log is
+    written last: rows of a run that failed before stay invisible to ``committed_videos``, and
+    its files are read again. Returns the load counters, with ``files`` read (0: nothing was new).
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listed = (reader.option("pathGlobFilter", glob) if glob else reader).load(dump_path).select("path", "length", "modificationTime")
+    fresh = listed.join(ingest_log(spark, videos_path), ["path", "length", "modificationTime"], "left_anti").orderBy("path").collect()  # names, as a reader needs them
+    if not fresh:
+        return {"files": 0}
+    run = next(n for n in itertools.count(1) if sinks.reserve(spark, f"{videos_path}/_ingested", f"run-{n}"))
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", r["path"]) for r in fresh]  # as they are, not as patterns
+    seen = Observation(f"ingest-{uuid.uuid4().hex}")
+    counted = classify_entries(read_dump(spark, paths), compat=compat, channel=channel).observe(seen, F.sum("chars").alias("chars"), *load_counters())
+    sinks.write_videos(parsed_rows(counted).withColumn("ingest_run", F.lit(run).cast("long")), videos_path, mode="append")
+    rows = spark.createDataFrame([(*r, run) for r in fresh], INGEST_LOG)
+    rows.coalesce(1).write.mode("append").parquet(f"{videos_path}/_ingested/files")
+    return seen.get | {"files": len(fresh)}
+
+
+def committed_videos(spark: SparkSession, videos_path: str) -> DataFrame:
+    """The rows of committed runs (``ingest_new``), the last entry of each id (A1)."""
+    runs = ingest_log(spark, videos_path).select("ingest_run").distinct()
+    return keep_last(_ingested(spark, videos_path).join(F.broadcast(runs), "ingest_run", "left_semi"), "id", list(INGEST_ORDER))
+
+
 def latest_videos(spark: SparkSession, videos_path: str) -> DataFrame:
     """A1 on read: one row per id over every ingest run, the last entry wins (order: ``INGEST_ORDER``)."""
     return keep_last(_ingested(spark, videos_path), "id", list(INGEST_ORDER))

@@ -7,9 +7,12 @@ engine reads back. Single-object JSON documents are an edge format, written by
 
 from __future__ import annotations
 
+import itertools
 import json
+import threading
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,22 +86,42 @@ def write_manifest_documents(rows: DataFrame, terms: Sequence[str] | None, path:
         write_documents(manifest_documents(rows, terms, doc_col, names), doc_col, path, mode)
 
 
+#: One reservation at a time in this process; between processes the file system's create without overwrite decides.
+_RESERVING = threading.Lock()
+
+
+def reserve(spark: SparkSession, folder: str, name: str) -> bool:
+    """Take ``name`` in ``folder`` by creating ``folder/_taken/<name>`` without overwrite; false if it was taken before.
+
+    One call to the file system, which lets one of several writers through (on HDFS and on stores
+    with a conditional create; a local file system of several processes only checks first).
+    """
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_taken/{name}")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    with _RESERVING:
+        try:
+            fs.create(marker, False).close()
+        except Py4JJavaError as e:
+            if fs.exists(marker):
+                return False
+            raise e
+    return True
+
+
 def unique_path(spark: SparkSession, folder: str, base_name: str, extension: str = "") -> str:
     """K4: ``folder/base_name{ext}``, or ``base_name_2``, ``_3`` ... if taken (never overwrite).
 
-    Only file-system metadata is read (Hadoop ``exists``); pair with
-    ``mode("errorifexists")`` so a race still cannot overwrite.
+    The name is reserved (``reserve``), so writers that ask at the same time get different ones;
+    a path that is there without a reservation counts as taken. Pair with ``mode("errorifexists")``.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs_path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = fs_path.getFileSystem(conf)
-    candidate = f"{folder.rstrip('/')}/{base_name}{extension}"
-    n = 2
-    while fs.exists(jvm.org.apache.hadoop.fs.Path(candidate)):
-        candidate = f"{folder.rstrip('/')}/{base_name}_{n}{extension}"
-        n += 1
-    return candidate
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for n in itertools.count(1):
+        name = f"{base_name}{f'_{n}' if n > 1 else ''}{extension}"
+        candidate = f"{folder.rstrip('/')}/{name}"
+        if not fs.exists(path(candidate)) and reserve(spark, folder, name):
+            return candidate
 
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
