@@ -146,7 +146,7 @@ def decoded(text: Column) -> Column:
 
 def target(href: Column, base: Column) -> Column:
     """Where a written ``href`` leads from the page at ``base``."""
-    return resolved(base, decoded(href))
+    return bound(F.struct(decoded(href).alias("ref"), base.alias("base")), lambda x: resolved(x["base"], x["ref"]))  # named often there, decoded once
 
 
 def _without_dots(path: Column) -> Column:
