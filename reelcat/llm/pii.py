@@ -5,16 +5,21 @@
 digits or more in any grouping, spelled-out addresses, long opaque tokens. Each candidate
 has features of its format and of the text around it.
 
-*Training* is weakly supervised: candidates that meet a base span, or follow a key name and
-a sign of assignment, are positive, and so are rewritten base spans (without the plus, other
-separators, ``(at)``); the others are negative. The trees are fitted on a sample bounded by
-``train_rows``, in which rare kinds and labels are kept whole. A quarter is held back from it;
-by kind, the lowest score whose precision reaches ``precision`` on all that is held back, of
-every document, is the threshold. A kind without positives there selects none.
-
-*Scoring*: the trees become one expression per candidate. Selected candidates that meet no
-base span and no better candidate are added. Every text is scanned once; no shuffle but
-the training's sample and sums (by kind and rounded score).
+*Training* is weakly supervised. Positive: numbers that meet a base span of their kind, opaque
+tokens named by a key, base spans rewritten into formats that the base patterns miss (other
+separators, no country code, ``(at)``). Negative: only what its format or place rules out
+(failing checks, wrong lengths, dates, quads, numbers after a serial's cue, ``at`` without a
+mark, tokens no key names) and the like made from base spans. A candidate that may be data
+is left out of training and of thresholds, so that a corpus full of rewritten data does not
+teach the trees that it is clean. The trees are fitted on a sample bounded by ``train_rows``,
+in which rare kinds and labels are kept whole. A quarter, by content, is held back from it; by
+kind, the lowest score of a positive whose precision reaches ``precision`` on all that is held
+back, of every document, is the threshold. A kind without positives there selects none.
+
+*Scoring*: the trees become one expression per candidate. Tokens named by a key are selected as
+such; the trees see no key's name and extend them by format, quotes and assignment. Selected
+candidates that meet no base span and no better candidate are added. Every text is scanned
+once; no shuffle but the training's sample and sums (by kind and rounded score).
 
 Nulls: a null text is empty and has no spans. Equal rows fare alike. An empty table gives
 an empty result; input columns travel in one struct.
@@ -43,16 +48,19 @@ GUARD = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 GENERATORS = {
     "number": (r"(?<![A-Za-z0-9])[+(]?[0-9](?:[\x20()./-]{0,2}+[0-9]){8,}+(?![A-Za-z0-9])", "[0-9]"),
     "spelled": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[(\[{]at[)\]}] ?| at )[A-Za-z0-9-]++(?:(?: ?[(\[{]dot[)\]}] ?| dot |\.)[A-Za-z0-9-]++)*+", "at"),
-    "opaque": (r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+", "[0-9]"),
+    "opaque": (r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+={0,2}+", "[0-9]"),
 }
 CUES = {
     "cue_phone": r"(?i)(?:phone|tel|call|fax|mobile|whatsapp|sms)[^a-z]{0,6}$",
     "cue_card": r"(?i)(?:card|visa|mastercard|amex|credit|debit|iban)[^a-z]{0,6}$",
     "cue_mail": r"(?i)(?:mail|contact|write|reach)[^a-z]{0,6}$",
-    "cue_key": r"(?i)(?:token|key|secret|passw(?:or)?d|api|auth|bearer)[\"']? ?[=: ] ?[\"']?$",
+    "cue_serial": r"(?i)(?:order|serial|invoice|ticket|parcel|tracking|isbn|batch|ref(?:erence)?|no|nr|id)[^a-z]{0,6}$",
 }
-FEATURES = ["chars", "digits", "letters", "others", "spaces", "groups", "dots", "distinct", "plus", "parens", "luhn", "hexadecimal", "mixed",
-            "at_mark", "dot_word", "quoted", *CUES, *[f"is_{g}" for g in GENERATORS]]
+#: What names a secret: the label of opaque tokens, therefore no feature.
+KEY_NAME = r"(?i)(?:token|key|secret|passw(?:or)?d|api|auth|bearer)[\"']? ?[=: ] ?[\"']?$"
+DATE = r"^(?:19|20)[0-9]{2}([-./ ]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?![0-9])"
+FEATURES = ["chars", "digits", "letters", "others", "spaces", "groups", "longest", "dots", "distinct", "plus", "parens", "zeros", "luhn", "dated",
+            "hexadecimal", "mixed", "at_mark", "dot_word", "quoted", "assigned", *CUES, *[f"is_{g}" for g in GENERATORS]]
 BLOCK = 256
 
 
@@ -103,6 +111,19 @@ def _valid(kind: str, m: Column) -> Column:
     return F.length(_digits(m)).between(10, 15)
 
 
+def _groups(m: Column) -> Column:
+    return F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
+
+
+def _longest(m: Column) -> Column:
+    return F.coalesce(F.array_max(F.transform(_groups(m), F.length)), F.lit(0))
+
+
+def named_secret(x: Column) -> Column:
+    """Whether a candidate is an opaque token with a digit that a key's name and an assignment come before."""
+    return (x["generator"] == "opaque") & x["m"].rlike("[0-9]") & x["b"].rlike(KEY_NAME)
+
+
 def features(m: Column, b: Column, generator: Column) -> dict[str, Column]:
     """The features of a candidate ``m`` after the text ``b``, as doubles."""
     def count(pattern):
@@ -110,11 +131,11 @@ def features(m: Column, b: Column, generator: Column) -> dict[str, Column]:
 
     found = {
         "chars": F.length(m), "digits": count("[0-9]"), "letters": count("[A-Za-z]"), "others": count("[^A-Za-z0-9 ]"), "spaces": count(" "),
-        "groups": F.size(F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))), "dots": count("[.]"),
+        "groups": F.size(_groups(m)), "longest": _longest(m), "dots": count("[.]"), "zeros": m.startswith("00"), "dated": m.rlike(DATE),
         "distinct": F.size(F.array_distinct(F.split(m, ""))), "plus": m.startswith("+"), "parens": m.contains("("),
         "luhn": F.coalesce(_luhn(_digits(m)), F.lit(False)), "hexadecimal": m.rlike("^[0-9a-f]+$"),
         "mixed": m.rlike("[0-9]") & m.rlike("[A-Za-z]"), "at_mark": m.rlike(r"[(\[{]at[)\]}]"), "dot_word": m.rlike(r" dot |[(\[{]dot[)\]}]"),
-        "quoted": b.rlike("[\"']$"),
+        "quoted": b.rlike("[\"']$"), "assigned": b.rlike("[=:] ?[\"']?$"),
     }
     found |= {name: b.rlike(cue) for name, cue in CUES.items()}
     found |= {f"is_{g}": generator == g for g in GENERATORS}
@@ -182,20 +203,55 @@ def _tree(node):
     return (FEATURES[split.featureIndex()], split.threshold(), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
+def _label(x: Column, base: Column) -> Column:
+    """1 for a candidate that is data, 0 for one that its format or place rules out, null for one that may be data."""
+    met = F.filter(base, lambda y: _overlap(x, y))
+    n, alike = x["digits"], F.exists(met, lambda y: y["kind"] == x["kind"])
+    phone = ((n.between(10, 15) & x["groups"].between(2, 6) & (x["longest"] <= 5) & (x["dated"] == 0) & (x["cue_serial"] == 0)) | (x["cue_phone"] == 1))
+    number = F.when(alike, 1.0).when(F.exists(met, lambda y: y["kind"] == "ip"), 0.0).when((F.size(met) == 0) & ~F.when(
+        x["kind"] == "card", x["luhn"] == 1).otherwise(phone), 0.0)
+    spelled = F.when((F.size(met) == 0) & (x["at_mark"] == 0) & (x["dot_word"] == 0), 0.0)
+    opaque = F.when(named_secret(x), 1.0).when(F.size(met) == 0, 0.0)
+    return F.when(x["generator"] == "number", number).when(x["generator"] == "spelled", spelled).otherwise(opaque)
+
+
 def _rewritten(base: DataFrame) -> DataFrame:
-    """Positive examples in other formats than the base patterns know: (m, b, generator, kind)."""
+    """Base spans in formats that the base patterns don't know, and the like that can't be data: (m, b, generator, kind, label)."""
     m, d = F.col("x.m"), _digits(F.col("x.m"))
-    fours = F.regexp_replace(d, "(.{4})(?=.)", "$1-")
-    bare = F.regexp_replace(m, r"\+", "")
-    ways = {
-        "phone": [("number", bare), ("number", F.regexp_replace(bare, "[ ().-]+", ".")), ("number", F.concat(F.lit("00"), d))],
-        "card": [("number", fours), ("number", F.replace(fours, F.lit("-"), F.lit(" ")))],
-        "email": [("spelled", F.replace(F.replace(m, F.lit("@"), F.lit(a)), F.lit("."), F.lit(d))) for a, d in ((" (at) ", " (dot) "), (" at ", " dot "), ("[at]", "."))],
-    }
-    rows = [F.struct(w.alias("m"), F.lit(g).alias("generator"), F.lit(k).alias("kind")) for k, ws in ways.items() for g, w in ws]
-    cue = F.element_at(F.array(*map(F.lit, ["", "", " phone: ", " call ", " card ", " mail "])), F.pmod(F.xxhash64("x.m", "w.m"), F.lit(6)).cast("int") + 1)
-    some = base.withColumn("w", F.explode(F.filter(F.array(*rows), lambda w: w["kind"] == F.col("x.kind"))))
-    return some.select("w.m", F.concat("x.b", cue).alias("b"), "w.generator", "w.kind")
+    local, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
+    bare, national = F.regexp_replace(m, r"\+", ""), F.regexp_replace(m, r"^\+[0-9]{1,3}[ .-]*", "")
+    wrong = F.concat(F.substr(d, F.lit(1), F.length(d) - 1), F.pmod(F.right(d, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))
+
+    def fours(digits, by):
+        return F.regexp_replace(digits, "(.{4})(?=.)", f"$1{by}")
+
+    def parted(number, by):
+        return F.regexp_replace(F.regexp_replace(number, r"^\(", ""), "[ ().-]+", by)
+
+    anywhere = F.element_at(F.array(*map(F.lit, ["", "", " phone: ", " call ", " card: ", " mail "])), F.pmod(F.xxhash64("x.m", "x.b"), F.lit(6)).cast("int") + 1)
+    serial = F.element_at(F.array(*map(F.lit, [" order ", " serial no. ", " invoice: ", " ref ", " ticket #", " id "])), F.pmod(F.xxhash64("x.m", "x.b"), F.lit(6)).cast("int") + 1)
+    dialled = [bare, parted(bare, "."), parted(bare, "-"), national, parted(national, "."), parted(national, "-"), parted(national, " "), F.concat(F.lit("00"), d)]
+    # (kind, generator, span, the text put before it, label)
+    ways = [("phone", "number", w, anywhere, 1) for w in dialled]
+    ways += [("phone", "number", _digits(w), F.lit(" phone: "), 1) for w in (bare, national)]
+    ways += [("phone", "number", w, serial, 0) for w in (_digits(bare), _digits(national), parted(bare, "-"), parted(national, "-"), parted(national, "."))]
+    ways += [("phone", "number", _digits(w), F.lit(""), 0) for w in (bare, national)]
+    ways += [("phone", "number", F.substr(parted(national, "."), F.lit(1), F.length(parted(national, ".")) - 1), anywhere, 0)]
+    ways += [("card", "number", fours(d, by), anywhere, 1) for by in (".", "/", "  ", "- ")]
+    ways += [("card", "number", fours(wrong, by), anywhere, 0) for by in (".", "/", "-", " ", "")]
+    ways += [("card", "number", fours(F.substr(d, F.lit(1), F.lit(12)), "-"), c, 0) for c in (F.lit(""), serial)]
+    ways += [("email", "spelled", F.concat(local, F.lit(a), F.replace(domain, F.lit("."), F.lit(o))), anywhere, 1)
+             for a, o in ((" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("[at]", "."), ("(at)", "(dot)"))]
+    ways += [("email", "spelled", F.concat(local, F.lit(" at "), w), anywhere, 0) for w in (F.substring_index(domain, ".", 1), domain)]
+    rows = [F.struct(F.lit(k).alias("of"), F.lit(g).alias("generator"), w.alias("m"), F.concat("x.b", c).alias("b"), F.lit(float(y)).alias("label"))
+            for k, g, w, c, y in ways]
+    some = base.withColumn("w", F.explode(F.filter(F.array(*rows), lambda w: w["of"] == F.col("x.kind"))))
+    n = F.length(_digits(F.col("w.m")))
+    some = some.withColumn("kind", F.when(F.col("w.generator") == "number", F.when(n >= 14, "card").otherwise("phone")).otherwise(F.col("w.of")))
+    proposable = F.col("w.m").rlike(f"^(?:{GENERATORS['number'][0]})$") & n.between(9, 19)
+    # what a rewriting turns into a number of another kind says nothing of that kind
+    return some.where((F.col("w.generator") != "number") | (proposable & ((F.col("kind") == F.col("w.of")) | (F.col("w.label") == 0)))).select(
+        "w.m", "w.b", "w.generator", "kind", "w.label", "salt")
 
 
 def _shares(counts: dict, limit: int) -> dict:
@@ -208,13 +264,13 @@ def _shares(counts: dict, limit: int) -> dict:
 
 
 def _sampled(df: DataFrame, by: list[str], limit: int) -> DataFrame:
-    """About ``limit`` rows of ``df`` at most, taken by hash; rare combinations of ``by`` are kept whole."""
+    """About ``limit`` rows of ``df`` at most, by a hash of the span and its row; rare combinations of ``by`` are kept whole."""
     stratum = F.concat_ws(" ", *by)
     shares = _shares({r["s"]: r["count"] for r in df.groupBy(stratum.alias("s")).count().collect()}, limit)
     if not shares:
         return df
     share = F.element_at(F.create_map(*[c for k, v in shares.items() for c in (F.lit(k), F.lit(v))]), stratum)
-    return df.where(F.pmod(F.xxhash64("m", "b"), F.lit(1_000_000_000)) < share * 1_000_000_000)
+    return df.where(F.pmod(F.xxhash64("m", "b", "salt"), F.lit(1_000_000_000)) < share * 1_000_000_000)
 
 
 def _held() -> Column:
@@ -222,24 +278,25 @@ def _held() -> Column:
 
 
 def _made(base: DataFrame) -> DataFrame:
-    """The rewritten spans of ``base`` as positive examples."""
+    """The rewritten spans of ``base`` as examples of both labels."""
     found = features(F.col("m"), F.col("b"), F.col("generator"))
-    return _rewritten(base).select("m", "b", "kind", F.lit(False).alias("meets"), F.lit(1.0).alias("label"), *[c.alias(k) for k, c in found.items()])
+    return _rewritten(base).select("m", "b", "salt", "kind", F.lit(False).alias("meets"), "label", *[c.alias(k) for k, c in found.items()])
 
 
-def train(found: DataFrame, train_rows: int = 20_000, precision: float = 0.97, trees: int = 12, depth: int = 3) -> Model:
+def train(found: DataFrame, train_rows: int = 20_000, precision: float = 0.97, trees: int = 12, depth: int = 4) -> Model:
     """Trees from a bounded sample of the staged ``found`` (base, candidates), thresholds from all that is held back of it."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    each = found.select("base", F.explode("candidates").alias("x"))
+    salt = F.xxhash64("row").alias("salt")
+    each = found.select("base", salt, F.explode("candidates").alias("x"))
     meets = F.exists("base", lambda y: _overlap(F.col("x"), y))
-    keyed = (F.col("x.generator") == "opaque") & F.col("x.b").rlike(CUES["cue_key"])
-    given = each.select("x.m", "x.b", "x.kind", meets.alias("meets"), (meets | keyed).cast("double").alias("label"), *[F.col(f"x.{k}") for k in FEATURES])
-    based = found.select(F.explode("base").alias("x")).select("x", "x.m", "x.b")
+    given = each.select("x.m", "x.b", "salt", "x.kind", meets.alias("meets"), _label(F.col("x"), F.col("base")).alias("label"), *[F.col(f"x.{k}") for k in FEATURES])
+    given = given.where(F.col("label").isNotNull())
+    based = found.select(salt, F.explode("base").alias("x")).select("salt", "x", "x.m", "x.b")
     some = _sampled(given.where(~_held()), ["kind", "label", "meets"], train_rows)
     rows = some.unionByName(_made(_sampled(based, ["x.kind"], train_rows // 8)).where(~_held()))
-    fit = stage_table(rows.coalesce(4), "pii-training")
+    fit = stage_table(rows, "pii-sample").repartition(4)
     if fit.select("label").distinct().count() < 2:
         return Model()
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(fit).select("vector", "label")
@@ -256,7 +313,8 @@ def train(found: DataFrame, train_rows: int = 20_000, precision: float = 0.97, t
             good, every = good + r["good"], every + r["all"]
             if good < precision * every:
                 break
-            thresholds[kind] = r["margin"]
+            if r["good"]:
+                thresholds[kind] = r["margin"]
     return Model(model.trees, thresholds)
 
 
@@ -271,13 +329,17 @@ def personal_data(docs: DataFrame, text: str = "text", keep_text: bool = True, m
         found = found.withColumn("row", F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != text]))
     found = stage_table(found.drop("t"), "pii-candidates")
     model = train(found, **training) if model is None else model
-    if not model.thresholds:
-        return found.select("row", "base", F.col("base").alias("spans"))
-    limit = F.create_map(*[c for k, v in model.thresholds.items() for c in (F.lit(k), F.lit(float(v)))])
-    free = F.filter("candidates", lambda x: x["kind"].isin(list(model.thresholds)) & ~F.exists("base", lambda y: _overlap(x, y)))
-    scored = F.transform(free, lambda x: F.struct(F.round(model.margin(lambda name: x[name]), 2).alias("margin"), *[
-        x[c].alias(c) for c in ("start", "rank", "end", "kind", "m", "b")]))
-    chosen = found.withColumn("chosen", F.filter(scored, lambda x: x["margin"] >= F.element_at(limit, x["kind"])))
+    free = F.filter("candidates", lambda x: ~F.exists("base", lambda y: _overlap(x, y)))
+    scored = F.transform(free, lambda x: F.struct(F.when(named_secret(x), F.lit(100.0)).otherwise(F.round(model.margin(lambda name: x[name]), 2)).alias("margin"), *[
+        x[c].alias(c) for c in ("start", "rank", "end", "kind", "m", "b", "generator")]))
+
+    def selected(x):
+        passed = named_secret(x)
+        for kind, limit in model.thresholds.items():
+            passed = passed | ((x["kind"] == kind) & (x["margin"] >= F.lit(float(limit))))
+        return passed
+
+    chosen = found.withColumn("chosen", F.filter(scored, selected))
 
     def beaten(x):
         return F.exists("chosen", lambda y: _overlap(x, y) & ((y["margin"] > x["margin"]) | ((y["margin"] == x["margin"]) & (
@@ -308,5 +370,7 @@ def op2_personal_data(spark, sf_dir: str) -> DataFrame:
     def count(k):
         return F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
 
+    added = (F.size("spans") - F.size("base")).cast("long").alias("n_added")
+    secrets = F.size(F.filter("spans", lambda x: x["kind"] == "secret")).cast("long").alias("n_secret")
     return found.select("row.doc_id", *map(count, BASE), F.sha2(F.array_join(F.transform("base", _text), ","), 256).alias("base_sha256"),
-                        F.array_join(F.transform("spans", _text), ",").alias("spans"))
+                        F.array_join(F.transform("spans", _text), ",").alias("spans"), added, secrets)
