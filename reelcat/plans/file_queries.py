@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reelcat.operators import manifest as manifest_ops
 from reelcat.operators.select import MATCH_LIKE, select_by_term_table
-from reelcat.plans import jobs
+from reelcat.plans import jobs, latest
 from reelcat.plans.queries import (_J1_SQL, _J3_SQL, _MANIFEST_OUT, _PLAN_OUT, _SEL_OUT, _manifest, _manifest_ctes, _like_sql, MANIFEST_TERMS, register)
 from reelcat.schemas import RECORD_FIELDS
 from reelcat.session import staging_path
@@ -114,6 +114,37 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.committed_videos(spark, path).select("id", "title", "youtuber", "ingest_run")
 
 
+# ------------------------------------------------------------------ A1, A2 merged run by run
+
+#: Three runs over the named dumps, by channel.
+_RUN_GLOBS = ["list_007_*", "list_{My Chan,100%}_*", "list_Zo*"]
+_RUN_SQL = "CASE entry_pos % 4 WHEN 0 THEN 1 WHEN 3 THEN 3 ELSE 2 END"
+
+
+def _merged_runs(spark: SparkSession, sf_dir: str, key: str) -> str:
+    path = staging_path(spark, "ingested-merged")
+    for glob in _RUN_GLOBS:
+        jobs.ingest_new(spark, _named_dumps(spark, sf_dir), path, glob=glob)
+        latest.merge_latest(spark, path, key)
+    return path
+
+
+@register("latest_incremental", with_views(
+    "SELECT id, trim(title) AS title, youtuber, ingest_run FROM (SELECT id, title, " + _CHANNEL_SQL + " AS youtuber, " + _RUN_SQL + " AS ingest_run,"
+    " row_number() OVER (PARTITION BY id ORDER BY " + _RUN_SQL + " DESC, " + _CHANNEL_SQL + " DESC, entry_pos DESC) AS _r FROM videos) WHERE _r = 1", "videos"))
+def q_latest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 kept up to date: three runs, each merged into the buckets that it touches."""
+    return latest.kept_latest(spark, _merged_runs(spark, sf_dir, "id")).select("id", "title", "youtuber", "ingest_run")
+
+
+@register("url_index_incremental", with_views(
+    "SELECT webpage_url, id FROM (SELECT webpage_url, id, row_number() OVER (PARTITION BY webpage_url ORDER BY " + _RUN_SQL + " DESC, "
+    + _CHANNEL_SQL + " DESC, entry_pos DESC) AS _r FROM videos) WHERE _r = 1", "videos"))
+def q_url_index_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/J5 kept up to date over the same runs."""
+    return latest.kept_url_index(spark, _merged_runs(spark, sf_dir, "webpage_url"))
+
+
 def _document_entries(spark: SparkSession, path: str, doc_col: str) -> DataFrame:
     """(doc, key, value) of the entries of written documents; values as JSON text."""
     lines = spark.read.text(path).where(F.col("value").rlike('^(    |  , )"'))

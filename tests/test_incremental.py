@@ -1,10 +1,12 @@
 """Idempotent ingestion by a log of files, and names reserved by one writer each."""
 
 import os
+import random
 from concurrent.futures import ThreadPoolExecutor
 
 from reelcat.functions.grammar import RECORD_TERMINATOR as T
-from reelcat.plans import jobs
+from reelcat.operators.dedup import url_index
+from reelcat.plans import jobs, latest
 from reelcat.sinks import tables as sinks
 
 
@@ -57,3 +59,60 @@ def test_writers_that_ask_at_once_get_different_names(spark, tmp_path):
     assert sinks.unique_path(spark, str(tmp_path / "out"), "y").endswith("/y")
     (tmp_path / "out" / "z").mkdir()
     assert sinks.unique_path(spark, str(tmp_path / "out"), "z").endswith("/z_2")
+
+
+def check_kept(spark, out):
+    """Both kept tables against the dedup of every committed row."""
+    runs = {r.ingest_run for r in jobs.ingest_log(spark, out).collect()}
+    rows = jobs._ingested(spark, out).where(jobs.F.col("ingest_run").isin(list(runs)))
+    full = jobs.committed_videos(spark, out)
+    assert sorted(map(str, latest.kept_latest(spark, out).select(*full.columns).collect())) == sorted(map(str, full.collect()))
+    assert sorted(latest.kept_url_index(spark, out).collect()) == sorted(url_index(rows, jobs.INGEST_ORDER).collect())
+
+
+def test_the_kept_tables_equal_the_dedup_of_all_runs(spark, tmp_path):
+    rng = random.Random(5)
+    d, out = tmp_path / "dumps", str(tmp_path / "videos")
+    d.mkdir()
+    for run in range(5):  # a third of a run's rows share one id
+        dump(d, f"list_C{run % 2}_{run}.txt", [("hot" if rng.random() < 0.33 else f"v{rng.randint(0, 30)}", f"t{run}-{i}") for i in range(40)])
+        jobs.ingest_new(spark, str(d), out)
+        if run != 2:  # two runs in one merge
+            assert latest.merge_latest(spark, out, buckets=8)["runs"] == latest.merge_latest(spark, out, "webpage_url", buckets=4)["runs"] == (2 if run == 3 else 1)
+    check_kept(spark, out)
+    assert latest.merge_latest(spark, out) == {"runs": 0, "buckets": 0}
+
+
+def test_a_small_run_rewrites_the_buckets_it_touches_and_a_failed_merge_none(spark, tmp_path, monkeypatch):
+    d, out = tmp_path / "dumps", str(tmp_path / "videos")
+    d.mkdir()
+    assert latest.kept_latest(spark, out).count() == 0
+    dump(d, "list_A_x.txt", [(f"v{i}", "first") for i in range(60)])
+    jobs.ingest_new(spark, str(d), out)
+    assert latest.merge_latest(spark, out, buckets=8)["buckets"] == 8
+    before = latest._version(spark, latest._base(out, "id"))
+    dump(d, "list_B_x.txt", [("v7", "second"), ("v7", "third")])
+    jobs.ingest_new(spark, str(d), out)
+    with monkeypatch.context() as m:
+        listed, calls = sinks._versions, []
+
+        def lost(*a):  # the version is read first; the second listing comes after the buckets are written
+            calls.append(a)
+            if len(calls) == 2:
+                raise OSError("lost")
+            return listed(*a)
+
+        m.setattr(latest.sinks, "_versions", lost)
+        try:
+            latest.merge_latest(spark, out)
+            raise AssertionError("the merge should have failed")
+        except OSError:
+            pass
+    assert len(os.listdir(f"{out}/_latest/id/data")) == 2  # written, but no version names it
+    assert latest._version(spark, latest._base(out, "id")) == before
+    assert latest.merge_latest(spark, out, buckets=99) == {"runs": 1, "buckets": 1}  # the first merge's buckets stay
+    after = latest._version(spark, latest._base(out, "id"))
+    assert after[0] == 8 and after[1] == {1, 2} and sum(after[2][b] != before[2][b] for b in before[2]) == 1
+    latest.merge_latest(spark, out, "webpage_url")
+    check_kept(spark, out)
+    assert {r.title for r in latest.kept_latest(spark, out).where("id = 'v7'").collect()} == {"third"}
