@@ -1,7 +1,7 @@
 """Language ID: script ranges narrow the candidates, Viterbi over words labels spans.
 
-*Training*: letter n-grams (1 to 4, with word ends) of a bounded sample of labelled
-documents (``train_docs``), hashed to 2^16 buckets and counted by language in Spark; words
+*Training*: letter n-grams (1 to 4, with word ends) of a bounded sample of distinct labelled
+texts (``train_docs`` in all, rare languages whole), hashed to 2^16 buckets and counted by language in Spark; words
 are counted by script and language. The driver receives 2^16 counters a language.
 
 *Prediction*: a word's script, from the ranges below, leaves the languages that use it;
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelcat.llm.common import packed, small_batches, split_words, table
+from reelcat.llm.pii import _shares
 
 #: First code point of each range and its script; a range ends where the next begins.
 SCRIPTS = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -104,12 +105,24 @@ def _counting(batches):
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(k)), pa.array(k.astype(np.int32)), pa.array(both[k])], names=["lang", "k", "n"])
 
 
+def sampled(labelled: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 20_000) -> DataFrame:
+    """(lang, t): about ``train_docs`` distinct labelled texts at most; a language's copies count once, rare languages are taken whole.
+
+    Texts are drawn by their hash, by a share of each language's (estimated) distinct texts. Copies
+    collapse before the exchange, so that a text in a third of all rows is one row of the sample.
+    """
+    df = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL AND lang IS NOT NULL")
+    sizes = df.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("t"), 0.02).alias("n")).collect()
+    share = _shares({r["lang"]: r["n"] for r in sizes}, train_docs)
+    taken = F.lit(0.0)
+    if share:
+        taken = F.element_at(F.create_map(*[c for k, v in share.items() for c in (F.lit(k), F.lit(float(v)))]), F.col("lang"))
+    return df.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000_000)) < taken * 1_000_000_000).distinct()
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", train_docs: int = 20_000) -> Model:
-    """A model from at most about ``train_docs`` rows, drawn by a hash of their text."""
-    df = labelled.select(F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("lang")).where("t IS NOT NULL AND lang IS NOT NULL")
-    rows = df.count()
-    if rows > train_docs:
-        df = df.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(1_000_000 * train_docs / rows))
+    """A model from the sample of ``sampled``."""
+    df = sampled(labelled, text, lang, train_docs).select("t", "lang")
     got = df.mapInArrow(_counting, "lang string, k int, n bigint").groupBy("lang", "k").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique())
     counts = np.zeros(((1 << BITS) + len(NAMES), len(langs)))

@@ -52,6 +52,18 @@ def test_escapes_are_undone_and_hide_controls():
 # ---------------------------------------------------------------- language
 
 
+def test_a_rare_language_is_learned_beside_a_text_in_a_third_of_the_rows(spark):
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") < 33_000, "aa").when(F.col("id") < 99_970, "bb").otherwise("cc").alias("lang"),
+        F.when(F.col("id") < 33_000, "mana kana tana").when(F.col("id") < 99_970, F.concat(F.lit("bole dole "), F.col("id"), F.lit(" gole")))
+        .otherwise(F.concat(F.lit("zuzu xuxu "), F.col("id"), F.lit(" wuwu"))).alias("text"))
+    got = {r.lang: r["count"] for r in language.sampled(rows, train_docs=600).groupBy("lang").count().collect()}
+    assert got["aa"] == 1 and got["cc"] == 30 and 400 <= got["bb"] <= 700
+    model = language.train(rows, train_docs=600)
+    df = spark.createDataFrame([(1, "zuzu wuwu"), (2, "mana tana"), (3, "dole gole")], "doc_id bigint, text string")
+    assert {r.doc_id: r.lang_pred for r in language.label_languages(df, model).select("row.doc_id", "lang_pred").collect()} == {1: "cc", 2: "aa", 3: "bb"}
+
+
 def test_held_out_languages_and_spans(spark):
     out = language.op5_language_id(spark, "/root/testdata/sf0.01")
     lang = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
