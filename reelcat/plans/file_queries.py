@@ -6,15 +6,18 @@ folder, then read through the real readers; see ``plans.queries`` for the rest.
 
 from __future__ import annotations
 
+import functools
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelcat.functions.text import parse_term_list, subject_from_channel
 from reelcat.operators import manifest as manifest_ops
 from reelcat.operators.select import MATCH_LIKE, select_by_term_table
-from reelcat.plans import jobs, latest
-from reelcat.plans.queries import (_J1_SQL, _J3_SQL, _MANIFEST_OUT, _PLAN_OUT, _SEL_OUT, _manifest, _manifest_ctes, _like_sql, MANIFEST_TERMS, register)
+from reelcat.plans import jobs, kept_inventory, kept_ledger, latest
+from reelcat.plans.queries import (_J1_SQL, _J3_SQL, _MANIFEST_OUT, _PLAN_OUT, _SEL_OUT, _manifest, _manifest_ctes, _like_sql, CATALOG_TERMS, MANIFEST_TERMS,
+                                   ORACLES, _CATALOG_FILE_SQL, _STRIP, _LEDGER_OUT, _literal_sql, _staged_catalogs, register)
 from reelcat.schemas import RECORD_FIELDS
 from reelcat.session import staging_path
 from reelcat.sinks.dump import write_dump
@@ -187,6 +190,83 @@ def q_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _document_entries(spark, path, "manifest_name").select("doc", record.alias("r")).select("doc", "r.*")
 
 
+# ------------------------------------------------------------------ C3, C4 through their jobs
+
+def _written_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(file, doc, record fields, subject): a job's manifests, their file name's date as ``<day>``."""
+    record = F.from_json("json", ", ".join(f"{c} string" for c in _MANIFEST_OUT))
+    undated = [F.regexp_replace(c, "_[0-9]{8}_", "_<day>_") for c in (F.lit(path.rsplit("/", 1)[1]), F.col("doc"))]
+    return (_document_entries(spark, path, "manifest_name").select(undated[0].alias("file"), undated[1].alias("doc"), record.alias("r"))
+            .select("file", "doc", "r.*"))
+
+
+_BY_TERMS, _BY_CHANNEL = "videos_search_<day>_matching_Download_ready", "videos_src5_<day>_matching_Download_ready"
+
+
+@register("select_job", with_views(
+    f"SELECT '{_BY_TERMS}' || k AS file, '{_BY_TERMS}' AS doc, {', '.join(_MANIFEST_OUT)} FROM manifest, (VALUES (''), ('_2')) AS n(k)"
+    f" UNION ALL SELECT '{_BY_CHANNEL}', '{_BY_CHANNEL}', {', '.join(_MANIFEST_OUT)} FROM by_channel", "videos",
+    extra=_manifest_ctes(_like_sql(MANIFEST_TERMS)) | {f"{k}_": q for k, q in _manifest_ctes("youtuber = 'src5'").items() if k == "selected"}
+    | {"by_channel": _manifest_ctes()["manifest"].replace("FROM selected", "FROM selected_")}))
+def q_select_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C3 through its job: a bracketed term list (P10) twice, the second under the next free name (P11, K4), and a channel; read back."""
+    folder, v = staging_path(spark, "manifests"), derived.videos(spark, sf_dir)
+    terms = parse_term_list("[" + ", ".join(f"'{t}'" for t in MANIFEST_TERMS) + "]")
+    paths = [jobs.select_videos(spark, v, folder, terms=terms) for _ in range(2)] + [jobs.select_videos(spark, v, folder, channel="src5")]
+    return functools.reduce(DataFrame.unionByName, [_written_manifest(spark, p) for p in paths])
+
+
+@register("reduce_job", with_views(
+    "SELECT file, coalesce(replace(catalog_file, '.json', ''), 'None') || '_matching_Download_ready' AS doc, "
+    + ", ".join(f"{_STRIP.format(f'coalesce({c}, {chr(39)}{chr(39)})')} AS {c}" for c in RECORD_FIELDS)
+    + ", split_part(regexp_replace(replace(catalog_file, '_VideosObject.json', ''), '^_', '@'), '_', 1) AS subject_name"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY catalog_file, id ORDER BY entry_pos DESC) AS _rn"
+    f" FROM (SELECT *, {_CATALOG_FILE_SQL} AS catalog_file FROM videos WHERE entry_pos % 13 <> 5)), (VALUES ('reduced'), ('reduced_2')) AS n(file)"
+    f" WHERE _rn = 1 AND ({_literal_sql(CATALOG_TERMS)})", "videos"))
+def q_reduce_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 through its job, twice: every built catalog to a manifest (P7, P8, P12), the second run in the next free folder (K4); read back."""
+    folder, catalogs = staging_path(spark, "reduced"), _staged_catalogs(spark, sf_dir)
+    paths = [jobs.reduce_catalogs(spark, catalogs, folder, CATALOG_TERMS) for _ in range(2)]
+    return functools.reduce(DataFrame.unionByName, [_written_manifest(spark, p) for p in paths])
+
+
+# ------------------------------------------------------------------ J4, K5 merged batch by batch
+
+@register("ledger_merge", ORACLES["ledger_upsert"])
+def q_ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 kept up to date: a ledger, two status batches and the first of them again, cell by cell; the same rows as one upsert."""
+    base, status = staging_path(spark, "kept-ledger"), derived.new_status(spark, sf_dir)
+    kept_ledger.start_ledger(spark, base, derived.link_status(spark, sf_dir))
+    first, second = (status.where(F.col("video_title").endswith(" v2") == again) for again in (True, False))
+    for number, batch in ((1, first), (2, second), (1, first)):
+        kept_ledger.merge_status(spark, base, batch, number)
+    return kept_ledger.kept_status(spark, base).select(*_LEDGER_OUT)
+
+
+# ------------------------------------------------------------------ S7, S9 over real files, listing by listing
+
+_FILE_SQL = ("SELECT concat('@', coalesce(youtuber, 'None')) AS subject_name, CASE WHEN entry_pos % 9 < 5 THEN 'HighQuality' END AS quality_dir,"
+             " entry_pos % 3 AS part, 'b' || cast(entry_pos // 10000 AS varchar) || '+' || cast(entry_pos % 3 AS varchar) || ' 100%.mp4' AS filename, length(id) + 1 AS n FROM videos")
+
+
+@register("inventory_refresh", with_views(
+    "SELECT subject_name, quality_dir, filename, CAST(sum(n) AS BIGINT) AS length, 'added' AS change, CAST(CASE WHEN part = 2 THEN 2 ELSE 1 END AS BIGINT) AS refresh"
+    " FROM files GROUP BY subject_name, quality_dir, filename, part", "videos", extra={"files": _FILE_SQL}))
+def q_inventory_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7/S8/S9 on real files: two thirds of the media folders listed, then all of them, then all again; every change found, with its refresh."""
+    media, base, pos = staging_path(spark, "media"), staging_path(spark, "kept-inventory"), F.col("entry_pos")
+    name = F.concat(F.lit("b"), F.floor(pos / 10000).cast("string"), F.lit("+"), (pos % 3).cast("string"), F.lit(" 100%.mp4"))
+    file = F.concat_ws("/", subject_from_channel("youtuber"), F.when(pos % 9 < 5, F.lit("HighQuality")), name)
+    files = derived.videos(spark, sf_dir).select(file.alias("file"), F.col("id").alias("value"), (pos % 3).alias("part"))
+    for late in (False, True):
+        written = staging_path(spark, "media-parts")
+        files.where((F.col("part") == 2) == late).drop("part").repartition("file").write.partitionBy("file").text(written)
+        _land(spark, written, media, lambda f, k: f if k == 0 else f"{f}.{k}")
+        kept_inventory.refresh_inventory(spark, media, base)
+    kept_inventory.refresh_inventory(spark, media, base)
+    return kept_inventory.inventory_changes(spark, base).select("subject_name", "quality_dir", "filename", "length", "change", "refresh")
+
+
 # ------------------------------------------------------------------ S6, K5, C5 over ledger files
 
 _TITLES = ["%s", " padded %s ", "two\nlines %s", 'he said "hi", %s', "'%s',;|"]

@@ -151,12 +151,13 @@ def reduce_catalogs(spark: SparkSession, catalogs_path: str, out_folder: str,
                     terms: Sequence[str] | None = None, name: str = "reduced") -> str:
     """C4: every catalog -> literal-term filter -> manifest per catalog (P7, P8, P12), also without a hit.
 
-    The manifests go to a fresh folder (K4) under ``out_folder``, whose path is returned.
+    The manifests go to a fresh folder (K4) under ``out_folder``, whose path is returned;
+    rows without a catalog name go to the manifest of ``None``.
     """
     catalogs = read_catalog_rows(spark, catalogs_path)
     rows = manifest_ops.reduce_catalog_rows(catalogs, terms)
     path = sinks.unique_path(spark, out_folder, name)
-    named = manifest_name_from_input(F.col("catalog_file")).alias("manifest_name")
+    named = manifest_name_from_input(F.coalesce("catalog_file", F.lit("None"))).alias("manifest_name")
     sinks.write_manifest_documents(rows.withColumn("manifest_name", named), terms, path, names=catalogs.select(named).distinct())
     return path
 

@@ -14,38 +14,22 @@ version doesn't name can be deleted once no reader of an older version is left.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelcat.operators.dedup import keep_last
 from reelcat.plans.jobs import INGEST_ORDER, INGESTED, _ingested, ingest_log
 from reelcat.session import stage_table, staging_scope
-from reelcat.sinks import tables as sinks
+from reelcat.sinks import kept
 
 #: What a key's table keeps of a row: all of it (A1), or the index entry (A2).
 KEPT = {"id": INGESTED, "webpage_url": "source_file string, source_offset long, source_seq long, id string, webpage_url string, ingest_run long"}
-VERSION = "kind string, number long, folder string"
 
 
 def _base(videos_path: str, key: str) -> str:
     return f"{videos_path.rstrip('/')}/_latest/{key}"
 
 
-def _version(spark: SparkSession, base: str) -> tuple[int | None, set, dict]:
-    """(number of buckets, runs merged, folder of each bucket) of the newest version: a few numbers a bucket and run."""
-    path = sinks.current_ledger_path(spark, f"{base}/versions")
-    rows = spark.read.schema(VERSION).parquet(path).collect() if path else []
-    return (next((r["number"] for r in rows if r["kind"] == "buckets"), None), {r["number"] for r in rows if r["kind"] == "run"},
-            {r["number"]: r["folder"] for r in rows if r["kind"] == "bucket"})
-
-
-def _read(spark: SparkSession, key: str, base: str, placed: dict) -> DataFrame:
-    paths = [f"{base}/{folder}/bucket={b}" for b, folder in sorted(placed.items())]
-    return spark.read.schema(KEPT[key]).parquet(*paths) if paths else spark.createDataFrame([], KEPT[key])
-
-
 def merge_latest(spark: SparkSession, videos_path: str, key: str = "id", buckets: int = 64) -> dict:
     """Merge the runs committed since the last merge; returns how many ``runs`` were new and how many ``buckets`` were written.
 
@@ -53,34 +37,31 @@ def merge_latest(spark: SparkSession, videos_path: str, key: str = "id", buckets
     of the distinct keys fits a task. A key that many new rows share is reduced before the shuffle.
     """
     base = _base(videos_path, key)
-    number, merged, placed = _version(spark, base)
-    number = number or buckets
+    last = kept.current_version(spark, base)
+    number = last.buckets or buckets
     committed = {r["ingest_run"] for r in ingest_log(spark, videos_path).select("ingest_run").distinct().collect()}
-    runs = sorted(committed - merged)
+    runs = sorted(committed - last.merged)
     if not runs:
         return {"runs": 0, "buckets": 0}
     bucket = F.pmod(F.xxhash64(key), F.lit(number)).cast("int").alias("bucket")
     order, columns = list(INGEST_ORDER), spark.createDataFrame([], KEPT[key]).columns
+    placed = dict(last.placed)
     with staging_scope(spark):
         rows = _ingested(spark, videos_path).where(F.col("ingest_run").isin(runs)).select(*columns)
         fresh = stage_table(keep_last(rows, key, order).select("*", bucket), "latest-fresh")
         touched = {r["bucket"] for r in fresh.select("bucket").distinct().collect()}
         old = {b: folder for b, folder in placed.items() if b in touched}
-        every = fresh.unionByName(_read(spark, key, base, old).select("*", bucket)) if old else fresh
-        folder = f"data/{uuid.uuid4().hex}"
+        every = fresh.unionByName(kept.read_buckets(spark, base, KEPT[key], old).select("*", bucket)) if old else fresh
         if touched:  # one exchange by bucket serves the window and the files
-            keep_last(every.repartition("bucket"), ["bucket", key], order).write.partitionBy("bucket").parquet(f"{base}/{folder}")
-    placed = placed | dict.fromkeys(touched, folder)
-    lines = [("buckets", number, None), *[("run", r, None) for r in sorted(merged | committed)], *[("bucket", b, f) for b, f in sorted(placed.items())]]
-    after = max(sinks._versions(spark, f"{base}/versions"), default=0) + 1
-    spark.createDataFrame(lines, VERSION).coalesce(1).write.mode("errorifexists").parquet(f"{base}/versions/version={after}")
+            placed |= dict.fromkeys(touched, kept.write_buckets(keep_last(every.repartition("bucket"), ["bucket", key], order), base))
+    kept.commit_version(spark, base, kept.KeptVersion(number, last.merged | committed, placed))
     return {"runs": len(runs), "buckets": len(touched)}
 
 
 def kept_latest(spark: SparkSession, videos_path: str, key: str = "id") -> DataFrame:
     """The last row of each ``key`` over the runs merged so far; a scan without a shuffle."""
     base = _base(videos_path, key)
-    return _read(spark, key, base, _version(spark, base)[2])
+    return kept.read_buckets(spark, base, KEPT[key], kept.current_version(spark, base).placed)
 
 
 def kept_url_index(spark: SparkSession, videos_path: str) -> DataFrame:

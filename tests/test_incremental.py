@@ -90,29 +90,24 @@ def test_a_small_run_rewrites_the_buckets_it_touches_and_a_failed_merge_none(spa
     dump(d, "list_A_x.txt", [(f"v{i}", "first") for i in range(60)])
     jobs.ingest_new(spark, str(d), out)
     assert latest.merge_latest(spark, out, buckets=8)["buckets"] == 8
-    before = latest._version(spark, latest._base(out, "id"))
+    before = latest.kept.current_version(spark, latest._base(out, "id"))
     dump(d, "list_B_x.txt", [("v7", "second"), ("v7", "third")])
     jobs.ingest_new(spark, str(d), out)
     with monkeypatch.context() as m:
-        listed, calls = sinks._versions, []
+        def lost(*a):  # the buckets are written by then
+            raise OSError("lost")
 
-        def lost(*a):  # the version is read first; the second listing comes after the buckets are written
-            calls.append(a)
-            if len(calls) == 2:
-                raise OSError("lost")
-            return listed(*a)
-
-        m.setattr(latest.sinks, "_versions", lost)
+        m.setattr(latest.kept, "commit_version", lost)
         try:
             latest.merge_latest(spark, out)
             raise AssertionError("the merge should have failed")
         except OSError:
             pass
     assert len(os.listdir(f"{out}/_latest/id/data")) == 2  # written, but no version names it
-    assert latest._version(spark, latest._base(out, "id")) == before
+    assert latest.kept.current_version(spark, latest._base(out, "id")) == before
     assert latest.merge_latest(spark, out, buckets=99) == {"runs": 1, "buckets": 1}  # the first merge's buckets stay
-    after = latest._version(spark, latest._base(out, "id"))
-    assert after[0] == 8 and after[1] == {1, 2} and sum(after[2][b] != before[2][b] for b in before[2]) == 1
+    after = latest.kept.current_version(spark, latest._base(out, "id"))
+    assert after.buckets == 8 and after.merged == {1, 2} and sum(after.placed[b] != before.placed[b] for b in before.placed) == 1
     latest.merge_latest(spark, out, "webpage_url")
     check_kept(spark, out)
     assert {r.title for r in latest.kept_latest(spark, out).where("id = 'v7'").collect()} == {"third"}
