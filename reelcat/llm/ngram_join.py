@@ -13,10 +13,12 @@ A document is its set of distinct 4-word shingles. Two documents link when
    near copies, the text they come from), and a class joins the block of each hub it has.
    Two classes that share a list share its hub, so linked classes meet in a block. There are
    about as many (class, hub) rows as classes, where pairs would be quadratic.
-4. A block is searched from its hub first, then from each class not connected with the hub
-   yet, and hands out the links that connect what wasn't connected: fewer than it has
-   classes. Blocks over BLOCK classes are cut into parts, and every two parts searched
-   together with the hub. The links are united (large star, small star).
+4. Blocks are dealt to parts of about PART classes, the hub in each. A part is searched from the
+   hub first, then from each class not connected with it yet, and hands out the links that
+   connect what wasn't connected: fewer than it has classes. Two classes connected with the
+   hub need no more; only a class that isn't is searched for in the other parts too, with
+   up to BLOCK such classes and BLOCK others at a time. So a group of near copies costs rows in
+   proportion to its classes. The links are united (large star, small star).
 
 The search of a probe in a block's inverted lists sets its L longest lists aside, heap-merges
 the short ones, and probes classes met T - L times in the long ones by binary search, until
@@ -44,8 +46,12 @@ from reelcat.session import stage_table
 
 SKETCH_BITS = 18
 U = np.uint64
-#: Classes of a block searched at once; a larger block is searched by pairs of parts of half that size.
-BLOCK = 4096
+#: Classes of a part, in which a block is searched with its hub.
+PART = 256
+#: Classes without a link to their hub that are searched for at once, and of others they are searched in.
+BLOCK = 2048
+#: What a set is in the search: of a part, or in the second search connected with the hub, not connected, searched for.
+MEMBER, DONE, OPEN, PROBE = range(4)
 SHARED_PERCENT = 5
 #: DivideSkip's weight of a binary search against a step of the merge.
 MU = 0.001
@@ -205,72 +211,95 @@ class Lists:
         return c[t >= need[c]].tolist() if len(c) else []
 
 
-def connected(sets: list[np.ndarray], hub: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what the block's links connect, at most one fewer than its sets."""
+def connected(sets: list[np.ndarray], probes: list[int], percent: int, together: list[int]) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links of the ``probes`` that connect what all their links connect, and each set's root in the end.
+
+    ``together`` lists sets that are connected from the start; what is connected with them isn't searched for any more.
+    """
     lists, root = Lists(sets), np.arange(len(sets))
+    root[together] = together[:1] or 0
     links = []
-    for probe in [hub, *(i for i in range(len(sets)) if i != hub)]:
-        if probe != hub and root[probe] == root[hub]:
+    for probe in probes:
+        if together and probe != together[0] and root[probe] == root[together[0]]:
             continue  # a link to a set elsewhere is found from there
         for other in lists.divide_skip(probe, percent, root != root[probe]):
             if root[other] != root[probe]:
                 links.append((probe, other))
                 root[root == root[other]] = root[probe]
-    return links
+    return links, root
 
 
 def _search(percent: int):
-    """Rows sorted by (hub, p1, p2): a block's or tile's sets; yields links between classes."""
+    """Rows sorted by (hub, p1, p2, c), a probe before its like: a part's or tile's sets. Yields links (null, u, v) and open classes (hub, c, null)."""
 
     def run(batches):
-        key, ids, block = None, [], []
-        us, vs = [], []
+        key, ids, states, block = None, [], [], []
+        out = []
 
         def close():
             if len(block) > 1:
-                hub = ids.index(key[0]) if key[0] in ids else 0
-                for a, b in connected(block, hub, percent):
-                    us.append(ids[a])
-                    vs.append(ids[b])
+                if states[0] == MEMBER:
+                    hub = ids.index(key[0])
+                    links, root = connected(block, [hub, *(i for i in range(len(ids)) if i != hub)], percent, [hub])
+                    if key[2]:  # the block has other parts
+                        out.extend((key[0], ids[i], None) for i in np.flatnonzero(root != root[hub]).tolist())
+                else:
+                    at = [[i for i, s in enumerate(states) if s == x] for x in (PROBE, DONE)]
+                    links, _ = connected(block, at[0], percent, at[1])
+                out.extend((None, ids[a], ids[b]) for a, b in links)
 
         for batch in small_batches(batches):
             off = batch["tokens"].offsets.to_numpy()
             flat = batch["tokens"].values.to_numpy().view(U)
-            for i, (hub, p1, p2, c) in enumerate(zip(*(batch[x].to_pylist() for x in ("hub", "p1", "p2", "c")))):
+            for i, (hub, p1, p2, c, state) in enumerate(zip(*(batch[x].to_pylist() for x in ("hub", "p1", "p2", "c", "state")))):
                 if (hub, p1, p2) != key:
                     close()
-                    key, ids, block = (hub, p1, p2), [], []
+                    key, ids, states, block = (hub, p1, p2), [], [], []
                 if not ids or ids[-1] != c:
                     ids.append(c)
+                    states.append(state)
                     block.append(flat[off[i] : off[i + 1]].copy())
         close()
-        for at in range(0, max(1, len(us)), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(us[part], pa.int64()), pa.array(vs[part], pa.int64())], names=["u", "v"])
+        for at in range(0, max(1, len(out)), 1 << 16):
+            cols = list(zip(*out[at : at + (1 << 16)])) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cols], names=["hub", "u", "v"])
 
     return run
 
 
-def tiled(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(hub, p1, p2, c): the staged ``members`` (hub, c) by block; of a large block, by pairs of its parts, the hub in each."""
-    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    parts = F.when(F.col("k") <= block, F.lit(1)).otherwise(F.ceil(2 * F.col("k") / block).cast("int"))
-    sizes = stage_table(sizes.select("hub", parts.alias("parts")), "ngram-blocks")
-    dealt = members.join(sized(sizes), "hub").withColumn("own", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
-    tiles = F.transform(every, lambda j: F.struct(F.least("own", j).alias("p1"), F.greatest("own", j).alias("p2")))
-    # a part alone with itself is met in its pairs already; the hub goes to all of them
-    tiles = F.when(F.col("parts") == 1, tiles).otherwise(F.filter(tiles, lambda x: x["p1"] < x["p2"]))
-    all_pairs = F.filter(F.flatten(F.transform(every, lambda i: F.transform(every, lambda j: F.struct(i.alias("p1"), j.alias("p2"))))),
-                         lambda x: (x["p1"] < x["p2"]) | (F.col("parts") == 1))
-    return dealt.select("hub", "c", F.explode(F.when(F.col("c") == F.col("hub"), all_pairs).otherwise(tiles)).alias("t")).select("hub", "t.p1", "t.p2", "c")
-
-
-def search(members: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links (u, v) that connect the linked classes of each block; ``sets`` is (c, tokens)."""
-    rows = sets.join(sized(stage_table(tiled(members, block), "ngram-tiles")), "c")
-    rows = rows.repartition("hub", "p1", "p2").sortWithinPartitions("hub", "p1", "p2", "c")
-    return rows.select("hub", "p1", "p2", "c", "tokens").mapInArrow(_search(percent), "u bigint, v bigint")
+def _searched(tiles: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """(hub, u, v) of ``tiles`` (hub, p1, p2, c, state), staged; ``sets`` is (c, tokens)."""
+    rows = sets.join(sized(stage_table(tiles, f"ngram-{name}-tiles")), "c")
+    rows = rows.repartition("hub", "p1", "p2").sortWithinPartitions("hub", "p1", "p2", "c", F.desc("state"))
+    found = rows.select("hub", "p1", "p2", "c", "state", "tokens").mapInArrow(_search(percent), "hub bigint, u bigint, v bigint")
+    return stage_table(found, f"ngram-{name}")
+
+
+def _dealt(parts) -> F.Column:
+    return F.pmod(F.xxhash64("c"), parts).cast("int")
+
+
+def search(members: DataFrame, sets: DataFrame, percent: int, part: int | None = None, block: int | None = None) -> DataFrame:
+    """Links (u, v) that connect the linked classes of each block of the staged ``members`` (hub, c); ``sets`` is (c, tokens)."""
+    part, block = part or PART, block or BLOCK
+    sizes = stage_table(members.groupBy("hub").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "ngram-blocks")
+    parts = F.ceil(F.col("k") / part)
+    own = F.when(F.col("c") == F.col("hub"), F.sequence(F.lit(0), (parts - 1).cast("int"))).otherwise(F.array(_dealt(parts)))
+    first = members.join(sized(sizes), "hub").select("hub", F.explode(own).alias("p1"), (parts > 1).cast("int").alias("p2"), "c", F.lit(MEMBER).alias("state"))
+    found = _searched(first, sets, percent, "parts")
+    links, left = found.where("hub IS NULL").select("u", "v"), found.where("hub IS NOT NULL").select("hub", F.col("u").alias("c"))
+    if left.isEmpty():
+        return links
+    # open classes against the whole block: up to `block` of them at a time, in parts of about as many classes
+    m = left.groupBy("hub").agg(F.count(F.lit(1)).alias("m"))
+    cut = sizes.join(m, "hub").select("hub", F.ceil(F.col("m") / block).alias("groups"), F.ceil(F.col("k") / F.greatest(F.lit(part), F.least("m", F.lit(block)))).alias("parts"))
+    cut = sized(stage_table(cut, "ngram-open"))
+    every = [F.sequence(F.lit(0), (F.col(x) - 1).cast("int")) for x in ("parts", "groups")]
+    state = F.when(F.col("open"), OPEN).otherwise(DONE)
+    others = members.join(cut, "hub").join(left.withColumn("open", F.lit(True)), ["hub", "c"], "left").select(
+        "hub", _dealt(F.col("parts")).alias("p1"), F.explode(every[1]).alias("p2"), "c", state.alias("state"))
+    probes = left.join(cut, "hub").select("hub", F.explode(every[0]).alias("p1"), _dealt(F.col("groups")).alias("p2"), "c", F.lit(PROBE).alias("state"))
+    return links.unionByName(_searched(others.unionByName(probes), sets, percent, "open-links").select("u", "v"))
 
 
 def _shortened(postings: DataFrame, percent: int) -> DataFrame:

@@ -107,14 +107,54 @@ def near_rows():
 @pytest.mark.parametrize("block", [4096, 6])
 def test_near_components_agree_with_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join.tiled, "__defaults__", (block,))
-    monkeypatch.setattr(ngram_join.search, "__defaults__", (block,))
+    monkeypatch.setattr(ngram_join, "PART", block)
     rows = near_rows()
     df = spark.createDataFrame(rows, DOCS).repartition(5).withColumn("c", F.lit("clash")).withColumn("id", F.lit(0)).withColumn("n", F.lit(1))
     got = sorted(tuple(r) for r in ngram_join.ngram_join(df).select("id", "n_shingles", "component_id").collect())
     assert got == near_components(rows)
 
 
+def test_blocks_in_parts_connect_what_all_pairs_connect(spark):
+    """A hub with near sets, sets near those but not the hub, sets near one another only, and strangers."""
+    rng = np.random.RandomState(4)
+
+    def near(x, n):
+        out = x.copy()
+        out[rng.choice(len(x), n, replace=False)] = rng.randint(1 << 40, 1 << 50, n)
+        return np.unique(out)
+
+    hub = np.unique(rng.randint(0, 1 << 30, 100))
+    sets = {0: hub}
+    for i in range(1, 150):
+        kind = i % 5
+        sets[i] = near(hub if kind < 2 else sets[i - 1] if kind == 2 else sets[max(3, i - 5)] if kind == 3 and i > 5 else np.unique(rng.randint(0, 1 << 50, 100)), rng.randint(1, 7))
+    linked = [(a, b) for a in sets for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))]
+
+    def groups(links):
+        root = {i: i for i in sets}
+        for _ in sets:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    members = spark.createDataFrame([(0, i) for i in sets], "hub bigint, c bigint")
+    tokens = spark.createDataFrame([(i, [int(x) for x in v]) for i, v in sets.items()], "c bigint, tokens array<bigint>")
+    for part, block in ((16, 8), (16, 500), (40, 3), (500, 500)):
+        links = [tuple(r) for r in ngram_join.search(members, tokens, 85, part, block).collect()]
+        assert {(max(x), min(x)) for x in links} <= set(linked) and groups(links) == groups(linked)
+
+
+def test_a_hub_of_near_copies_costs_rows_in_proportion(spark, monkeypatch):
+    k, staged = 3000, {}
+    members = spark.range(k).select(F.lit(0).cast("long").alias("hub"), F.col("id").alias("c"))
+    same = F.sequence(F.lit(1000).cast("long"), F.lit(1039).cast("long"))
+    tokens = members.select("c", F.when(F.col("c") == 0, same).otherwise(F.concat(same, F.array(F.col("c") + 10_000))).alias("tokens"))
+    plain = ngram_join.stage_table
+    monkeypatch.setattr(ngram_join, "stage_table", lambda df, name: staged.setdefault(name, plain(df, name)))
+    assert ngram_join.search(members, tokens, 85, 64, 64).count() == k - 1
+    assert staged["ngram-parts-tiles"].count() <= k + k // 64 + 1 and "ngram-open-links-tiles" not in staged
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert ngram_join.ngram_join(spark.createDataFrame([], DOCS)).count() == 0
 
