@@ -1,4 +1,4 @@
-"""Suffix-array dedup: repeated byte strings found by distributed prefix doubling.
+"""Suffix-array dedup: repeated byte strings by prefix doubling, reranked by Spark at chosen positions.
 
 A byte goes if a string of ``threshold`` bytes that covers it also starts earlier (in a
 document with a smaller id, or earlier in the same one). Doubling names the prefix of a
@@ -8,11 +8,13 @@ position by the pair of names half as long; positions whose name is unique are o
    pairs, which need no exchange. Of each string of ``threshold`` bytes one position stands
    for it, the one with the smallest half-length name (leftmost if tied): equal strings
    choose the same one. So about one position in 26 takes part from here on.
-2. *First rerank*: Spark counts the names at the chosen positions; unique ones are out.
+2. *First rerank*: Spark counts the names at the chosen positions; unique ones are out. A name at more
+   than one in HOT_NAMES of them is hot: there are fewer hot names than that, so they are broadcast.
 3. *Second rerank*: the strings standing behind the positions left are shipped as one short
    slice per position, sorted by (name, document, position), named at full length, and every
    one but the first of a name is marked. Before that, slices that are equal within a batch
-   are settled where they are: a passage in a third of all documents ships once a batch.
+   are settled where they are: a passage in a third of all documents ships once a batch. Behind
+   a hot name, the first string of each full-length name is a partial aggregate, joined back.
 4. Marked strings are merged per document and cut out.
 
 Whole documents that repeat an earlier one are settled by digest beforehand. Long documents
@@ -39,6 +41,8 @@ U = np.uint64
 LOWEST = -(1 << 63)
 HIGH, LOW = U(0xFFFFFFFF00000000), U(0xFFFFFFFF)
 BATCH = 2 << 20
+#: A name at more than one in so many places is hot: there are fewer hot names than that.
+HOT_NAMES = 4096
 PIECE = 1 << 20
 BYTE_NAMES = np.random.RandomState(7).randint(0, 1 << 62, 256).astype(U) * U(4) + U(1)
 
@@ -186,6 +190,35 @@ def _mark(threshold: int):
     return run
 
 
+def _strings(threshold: int):
+    """Slices to (h, name, id, start) of each of their strings, named at full length."""
+
+    def run(batches):
+        for batch in small_batches(batches, BATCH >> 2):
+            h, doc, place = (batch[c].to_numpy(zero_copy_only=False) for c in ("h", "id", "place"))
+            off, raw = as_bytes(batch["slice"])
+            raw, off = raw[off[0] : off[-1]], off - off[0]
+            counts = np.diff(off) - threshold + 1
+            at = flat_ranges(off[:-1], counts)
+            row = np.repeat(np.arange(len(h)), counts)
+            start = ((place >> 16) - (place >> 8 & 255))[row] + at - off[row]
+            yield pa.RecordBatch.from_arrays([pa.array(h[row]), pa.array(names(raw, threshold)[at].view(np.int64)), pa.array(doc[row]), pa.array(start)],
+                                             names=["h", "name", "id", "start"])
+
+    return run
+
+
+def _hot_marks(slices: DataFrame, threshold: int) -> DataFrame:
+    """Marks of the slices behind hot names, without gathering a name: first strings by partial aggregates, joined back."""
+    strings = stage_table(slices.mapInArrow(_strings(threshold), "h bigint, name bigint, id bigint, start bigint"), "suffix-strings")
+    firsts = strings.groupBy("h", "name").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    firsts = stage_table(firsts, "suffix-firsts")
+    usual = strings.count() // HOT_NAMES
+    many, few, on = F.broadcast(firsts.where(F.col("k") > usual)), firsts.where(F.col("k") <= usual), ["h", "name"]
+    repeats = strings.join(many, on).unionByName(strings.join(many, on, "left_anti").join(few, on))
+    return repeats.where(F.struct("id", "start") != F.col("first")).select("id", "start", (F.col("start") + threshold).alias("stop"))
+
+
 def _cut(batches):
     """Documents with their marks (starts, stops) to what is left."""
     for batch in small_batches(batches, 4 * BATCH):
@@ -210,13 +243,12 @@ def _cut(batches):
 
 def _told_apart(docs: DataFrame) -> DataFrame:
     """``docs`` (key, id, t) with ids that name one text each: new numbers in (id, digest) order where an id has several."""
-    spark = docs.sparkSession
     several = docs.groupBy("id").agg((F.min(F.xxhash64("t")) < F.max(F.xxhash64("t"))).alias("several")).where("several").limit(1)
     if not several.count():
         return docs
-    digests = docs.select("id", F.sha2("t", 256).alias("digest"))
-    numbered = digests.distinct().orderBy("id", "digest").rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
-    numbers = stage_table(spark.createDataFrame(numbered, "old bigint, digest string, new bigint"), "suffix-ids")
+    digests = docs.select(F.col("id").alias("old"), F.sha2("t", 256).alias("digest")).distinct().orderBy("old", "digest")
+    # numbers of globally sorted rows ascend; fixed once written
+    numbers = stage_table(digests.withColumn("new", F.monotonically_increasing_id()), "suffix-ids")
     with_digest = docs.withColumn("digest", F.sha2("t", 256))
     return with_digest.join(numbers, (with_digest["id"] == numbers["old"]) & (with_digest["digest"] == numbers["digest"])).select(
         "key", F.col("new").alias("id"), "t")
@@ -237,14 +269,19 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     owners = only_ids(docs.where(F.octet_length("t") >= threshold), copies, "id", "left_anti").select("id", "t")
 
     seeds = stage_table(owners.mapInArrow(_seeds(threshold), "h bigint, id bigint, place bigint"), "suffix-seeds")
-    twice = seeds.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    live = seeds.join(twice, "h", "left_semi").distinct()
+    twice = stage_table(seeds.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "suffix-twice")
+    # names at more than a share of all places are few, whatever the input, and aren't shuffled by
+    hot = F.broadcast(stage_table(twice.where(F.col("k") > seeds.count() // HOT_NAMES).select("h"), "suffix-hot"))
+    rest = seeds.join(hot, "h", "left_anti").join(twice.join(hot, "h", "left_anti"), "h", "left_semi")
+    live = seeds.join(hot, "h", "left_semi").unionByName(rest).distinct()
     live = stage_table(live.groupBy("id").agg(F.collect_list("h").alias("hs"), F.collect_list("place").alias("places")), "suffix-live")
     held = only_ids(docs, live, "id").select("id", "t").join(live, "id")
     out = "h bigint, id bigint, place bigint, slice binary, start bigint, stop bigint"
     sliced = stage_table(held.select("id", "t", "hs", "places").mapInArrow(_slices(threshold), out), "suffix-slices")
     slices = sliced.where("h IS NOT NULL").select("h", "id", "place", "slice")
-    marks = slices.repartition("h").sortWithinPartitions("h", "id", "place").mapInArrow(_mark(threshold), "id bigint, start bigint, stop bigint")
+    cold = slices.join(hot, "h", "left_anti")
+    marks = cold.repartition("h").sortWithinPartitions("h", "id", "place").mapInArrow(_mark(threshold), "id bigint, start bigint, stop bigint")
+    marks = marks.unionByName(_hot_marks(slices.join(hot, "h", "left_semi"), threshold))
     marks = marks.unionByName(sliced.where("h IS NULL").select("id", "start", "stop")).distinct()
     marks = stage_table(marks.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "suffix-marks")
     marked = only_ids(docs, marks, "id").select("id", "t").join(marks, "id")

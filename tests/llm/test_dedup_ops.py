@@ -208,8 +208,9 @@ def cut_out(rows, width):
     return sorted(((i if i is not None else -1), *out[i if i is not None else -(1 << 63), (t or "").encode()]) for i, t in rows)
 
 
-@pytest.mark.parametrize("width", [8, 25, 100])
-def test_removed_bytes_agree_with_a_set_of_strings(spark, monkeypatch, width):
+@pytest.mark.parametrize("width, hot", [(8, 1), (25, 40), (100, 4096), (100, 1)])
+def test_removed_bytes_agree_with_a_set_of_strings(spark, monkeypatch, width, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_NAMES", hot)  # no name is hot, some are, all are
     monkeypatch.setattr(suffix_dedup, "BATCH", 1 << 11)  # many batches, and long texts in pieces
     monkeypatch.setattr(suffix_dedup, "PIECE", 1 << 10)
     rng = random.Random(width)
