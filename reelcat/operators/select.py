@@ -96,6 +96,10 @@ def select_by_term_table(videos: DataFrame, terms: DataFrame, match: str = MATCH
     return _semi_join_by_grams(videos, t, match, title_col, anchor)
 
 
+#: A run of literal characters in a LIKE pattern, escaped ones included.
+_RUN = r"(?s)((?:\\.|[^%_\\])+)"
+
+
 def _literal_anchor(term: Column, match: str) -> Column:
     """A lower-cased piece of the term that every matching title must contain.
 
@@ -105,11 +109,41 @@ def _literal_anchor(term: Column, match: str) -> Column:
     """
     if match == MATCH_LITERAL:
         return F.lower(term)
-    runs = F.regexp_extract_all(like_pattern(term), F.lit(r"(?s)((?:\\.|[^%_\\])+)"), F.lit(1))
+    runs = F.regexp_extract_all(like_pattern(term), F.lit(_RUN), F.lit(1))
     literal = F.transform(runs, lambda x: F.regexp_replace(x, r"(?s)\\(.)", "$1"))
     return F.aggregate(literal, F.lit(""), lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
 
 
+def _is_contained(pattern: Column) -> Column:
+    """Whether a LIKE pattern asks for one literal text anywhere: ``%`` before and after its one run, no ``_``."""
+    runs = F.regexp_extract_all(pattern, F.lit(_RUN), F.lit(1))
+    return (F.size(runs) == 1) & ~F.contains(F.regexp_replace(pattern, _RUN, ""), F.lit("_")) & ~F.endswith(pattern, F.get(runs, F.lit(0)))
+
+
+def _short_pairs(titles: DataFrame, terms: DataFrame, anchor: int, how: str) -> DataFrame | None:
+    """Titles joined with the terms of short anchors by grams of the lengths in use (fewer than ``anchor`` values); None without such terms."""
+    short = terms.where((F.col("_alen") > 0) & (F.col("_alen") < anchor))
+    lengths = sorted(r[0] for r in short.select("_alen").distinct().collect())
+    if not lengths:
+        return None
+    grams = spread_over_tasks(titles, "_tid").select("_tid", F.explode(grams_of_lengths(F.col("_lt"), lengths)).alias("_anc"))
+    return grams.join(sized(short.select("_anc", "_made").distinct() if how == "inner" else short.select("_anc").distinct()), "_anc", how)
+
+
+def _long_pairs(titles: DataFrame, terms: DataFrame, anchor: int) -> DataFrame | None:
+    """Titles joined with the terms of long anchors by the rarest chunk of each among these titles; None without such terms."""
+    long_ = terms.where(F.col("_alen") >= anchor)
+    if long_.isEmpty():
+        return None
+    chunks = stage_table(long_.select("_made", "_anc", F.explode(chunks_of(F.col("_anc"), anchor)).alias("_gram")), "term-join-chunks")
+    tk = spread_over_tasks(titles, "_tid").select("_tid", F.explode(F.array_distinct(grams_of(F.col("_lt"), anchor))).alias("_gram"))
+    tk = stage_table(tk.join(sized(chunks.select("_gram")), "_gram", "left_semi"), "term-join-grams")
+    holders = tk.groupBy("_gram").agg(F.count(F.lit(1)).alias("_holders"))
+    rated = chunks.join(holders, "_gram", "left").withColumn("_holders", F.coalesce("_holders", F.lit(0)))
+    best = rated.groupBy("_made", "_anc").agg(F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
+    return best.where(F.col("_fewest") > 0).join(tk, "_gram")
+
+
 def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_col: str, anchor: int) -> DataFrame:
     """Exact semi join without a nested loop.
 
@@ -123,45 +157,39 @@ def _semi_join_by_grams(videos: DataFrame, terms: DataFrame, match: str, title_c
     * terms with an empty anchor (only wildcards) match every title of at least
       ``n`` chars, ``n`` = their count of ``_``; that needs one number, the least ``n``.
 
-    Grams that no anchor uses are dropped before anything is shuffled. Candidates are made
-    distinct per (title key, term) and verified with the full predicate; literal
-    short terms are exact already.
+    A title needs one match, so the cheap terms come first: those that ask for their anchor and
+    nothing else (a short one is met by the gram itself, a long one by one ``contains``). Only
+    titles that none of them matched are paired with the terms that hold wildcards between
+    literals, whose patterns are made once a term and tested once a pair. Grams that no anchor
+    uses are dropped before anything is shuffled; a pair of title and term comes up once at most.
     """
     titles = videos.where(F.col(title_col).isNotNull()).select(F.lower(F.col(title_col)).alias("_lt")).distinct()
     titles = stage_table(titles.withColumn("_tid", F.monotonically_increasing_id()), "term-join-titles")
-    spread = spread_over_tasks(titles, "_tid")
-    tm = terms.withColumn("_anc", _literal_anchor(F.col("_term"), match))
-    tm = stage_table(tm.withColumn("_alen", F.length("_anc")), "term-join-terms")
-
-    exact, pairs = [], []
-    # short anchors: exact grams of the lengths in use (fewer than `anchor` values)
-    short = tm.where((F.col("_alen") > 0) & (F.col("_alen") < anchor)).select("_term", "_alen", "_anc")
-    lengths = sorted(r[0] for r in short.select("_alen").distinct().collect())
-    if lengths:
-        tg = spread.select("_tid", F.explode(grams_of_lengths(F.col("_lt"), lengths)).alias("_anc"))
-        if match == MATCH_LITERAL:
-            exact.append(tg.join(sized(short.select("_anc")), "_anc", "left_semi").select("_tid"))
-        else:
-            pairs.append(tg.join(sized(short.select("_term", "_anc")), "_anc").select("_tid", "_term"))
-
-    # long anchors: the rarest chunk among the titles
-    long_ = tm.where(F.col("_alen") >= anchor).select("_term", "_anc")
-    chunks = stage_table(long_.select("_term", F.explode(chunks_of(F.col("_anc"), anchor)).alias("_gram")), "term-join-chunks")
-    tk = spread.select("_tid", F.explode(F.array_distinct(grams_of(F.col("_lt"), anchor))).alias("_gram"))
-    tk = stage_table(tk.join(sized(chunks.select("_gram")), "_gram", "left_semi"), "term-join-grams")
-    holders = tk.groupBy("_gram").agg(F.count(F.lit(1)).alias("_holders"))
-    rated = chunks.join(holders, "_gram", "left").withColumn("_holders", F.coalesce("_holders", F.lit(0)))
-    best = rated.groupBy("_term").agg(F.min("_holders").alias("_fewest"), F.min_by("_gram", "_holders").alias("_gram"))
-    pairs.append(best.where(F.col("_fewest") > 0).join(tk, "_gram").select("_tid", "_term"))
-
-    candidates = reduce(DataFrame.unionByName, pairs).distinct().join(titles, "_tid")
-    matched = candidates.where(term_matches(F.col("_lt"), F.col("_term"), match)).select("_lt")
-    for tids in exact:
-        matched = matched.unionByName(titles.join(tids.distinct(), "_tid", "left_semi").select("_lt"))
-
-    # one number: the least count of `_` among wildcard-only terms (null if none)
-    min_len = tm.where(F.col("_alen") == 0).agg(F.min(F.length(F.regexp_replace("_term", "[^_]", "")))).first()[0]
-    if min_len is not None:
-        matched = matched.unionByName(titles.where(F.length("_lt") >= F.lit(int(min_len))).select("_lt"))
-    matched = matched.distinct()
+    made = (like_pattern if match == MATCH_LIKE else F.lower)(F.col("_term"))
+    tm = terms.select(made.alias("_made"), _literal_anchor(F.col("_term"), match).alias("_anc")).distinct()
+    tm = tm.withColumns({"_alen": F.length("_anc"), "_plain": _is_contained(F.col("_made")) if match == MATCH_LIKE else F.lit(True)})
+    tm = stage_table(tm, "term-join-terms")
+
+    # terms without a literal need one number: the least count of `_` among them (null if none)
+    min_len = tm.where(F.col("_alen") == 0).agg(F.min(F.length(F.regexp_replace("_made", "[^_]", "")))).first()[0]
+    met = [] if min_len is None else [titles.where(F.length("_lt") >= F.lit(int(min_len))).select("_tid")]
+    plain = tm.where("_plain")
+    short, long_ = _short_pairs(titles, plain, anchor, "left_semi"), _long_pairs(titles, plain, anchor)
+    if short is not None:
+        met.append(short.select("_tid"))
+    if long_ is not None:
+        met.append(long_.join(titles, "_tid").where(F.contains("_lt", "_anc")).select("_tid"))
+
+    wild = tm.where(~F.col("_plain") & (F.col("_alen") > 0))
+    if not wild.isEmpty():
+        rest = titles
+        if met:
+            met = [stage_table(reduce(DataFrame.unionByName, met).distinct(), "term-join-met")]
+            rest = stage_table(titles.join(met[0], "_tid", "left_anti"), "term-join-rest")
+        pairs = [p.select("_tid", "_made") for p in (_short_pairs(rest, wild, anchor, "inner"), _long_pairs(rest, wild, anchor)) if p is not None]
+        met.append(reduce(DataFrame.unionByName, pairs).join(rest, "_tid").where(F.like("_lt", F.col("_made"))).select("_tid"))
+
+    if not met:
+        return videos.where(F.lit(False))
+    matched = titles.join(reduce(DataFrame.unionByName, met).distinct(), "_tid", "left_semi").select("_lt")
     return videos.join(matched, F.lower(F.col(title_col)) == matched["_lt"], "left_semi")

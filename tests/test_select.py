@@ -71,3 +71,32 @@ def test_like_terms_mean_the_same_on_both_paths(spark):
         for limit in (0, 100):
             got = {r.n for r in select_by_term_table(v, t, MATCH_LIKE, max_broadcast_terms=limit).collect()}
             assert got == hits, (term, limit)
+
+
+def test_only_titles_without_a_plain_term_meet_the_wildcard_terms(spark, monkeypatch):
+    import random
+
+    from reelcat.operators import select as S
+
+    rng, staged, keep = random.Random(3), {}, S.stage_table
+
+    def recorded(df, name):
+        staged[name] = keep(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(S, "stage_table", recorded)
+    words = ["legs", "Leg", "press", "squat", "100%", "a_b", "A\\b", "ends 100%", "İ", "a longer word here", "😀😀"]
+    titles = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 4))) for _ in range(60)] + [None]
+    v = spark.createDataFrame(list(enumerate(titles)), "entry_pos long, title string")
+    terms = ["legs", "LEGS%", "%press", "l_gs", "le%at", "s%s", "100\\", "\\%", "a\\_b", "a_b", "a\\b", "\\\\", "longer word%", "a longer_word", "😀", "%%sq%%"]
+    for _ in range(6):
+        chosen = rng.sample(terms, rng.randint(1, 5))
+        t = spark.createDataFrame([(x,) for x in chosen], "term string")
+        staged.clear()
+        got = ids(S.select_by_term_table(v, t, "like", max_broadcast_terms=0, anchor=rng.choice([3, 8])))
+        assert got == ids(select_videos(v, terms=chosen)), chosen
+        plain = [x for x in chosen if x in ("legs", "LEGS%", "%press", "\\%", "a\\_b", "a\\b", "\\\\", "longer word%", "😀", "%%sq%%")]
+        if plain and len(plain) < len(chosen):
+            met = {titles[i].lower() for i in ids(select_videos(v, terms=plain))}
+            assert {r["_lt"] for r in staged["term-join-rest"].collect()} == {x.lower() for x in titles if x is not None} - met
+    assert ids(S.select_by_term_table(v, spark.createDataFrame([], "term string"), "like", max_broadcast_terms=-1)) == []
