@@ -8,10 +8,14 @@ map task across the network instead of all of its rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelcat.session import BROADCAST_ROWS, stage_table
+
 ColumnOrName = Column | str
 
 
@@ -37,6 +41,25 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
     return keep_one(df, keys, order, last=True)
 
 
+def keep_last_of_repeated(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``keep_last`` for rows of whole texts: only rows whose key is there more than once are shuffled.
+
+    Repeated keys come from a count over the keys alone and are broadcast; past ``BROADCAST_ROWS`` of
+    them all rows are shuffled. ``df`` is read again for each part, and keys alone tell the parts
+    apart: the order, which may depend on how a scan is split, is compared within one of them.
+    """
+    named = [F.col(c).alias(f"_repeated_{c}") for c in keys]
+    repeated = stage_table(df.groupBy(*keys).count().where(F.col("count") > 1).select(*named), "repeated-keys")
+    n = repeated.count()
+    if n == 0:
+        return df
+    if n > BROADCAST_ROWS:
+        return keep_last(df, keys, order)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_repeated_{c}")) for c in keys])
+    once, more = (df.join(F.broadcast(repeated), same, how) for how in ("left_anti", "left_semi"))
+    return once.unionByName(keep_last(more, keys, order))
+
+
 def keep_first(df: DataFrame, keys, order) -> DataFrame:
     """First occurrence wins."""
     return keep_one(df, keys, order, last=False)

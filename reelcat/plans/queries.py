@@ -27,7 +27,7 @@ from reelcat.operators import pages as page_ops
 from reelcat.operators import parse as parse_ops
 from reelcat.operators import planning
 from reelcat.plans import jobs
-from reelcat.operators.dedup import dedup_videos, keep_last, url_index
+from reelcat.operators.dedup import dedup_videos, keep_last, keep_last_of_repeated, url_index
 from reelcat.operators.select import MATCH_LIKE, MATCH_LITERAL, select_by_term_table, select_videos
 from reelcat.schemas import RECORD_FIELDS
 from reelcat.session import spread, staging_path
@@ -338,7 +338,7 @@ def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C2 core: dump -> parse -> one row per (catalog, id), the last entry wins."""
     parsed = parse_ops.parsed_rows(_classified_dump(spark, sf_dir))
     rows = parsed.withColumn("catalog_file", _catalog_file())
-    return keep_last(rows, ["catalog_file", "id"], ["source_file", "source_offset", "source_seq"])
+    return keep_last_of_repeated(rows, ["catalog_file", "id"], ["source_file", "source_offset", "source_seq"])
 
 
 def _write_catalogs(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -33,15 +33,14 @@ def document_lines(doc_col: str, sections: Sequence[tuple[str, DataFrame]], name
     document and section, a null key is written as ``"null"``. ``header_json`` is text
     placed after ``{``. ``names`` (doc) lists documents to write even without entries.
 
-    The entries are staged once; the first key of each section comes from one aggregate
-    with partial sums and is broadcast if its rows are few, so that a document
-    with most of the entries isn't gathered for it.
+    The first key of each section comes from one aggregate with partial minima over documents and
+    keys alone and is broadcast if its rows are few, so that a document with most of the
+    entries isn't gathered for it, and no entry's text is written before the sort.
     """
     entries = None
     for i, (_, e) in enumerate(sections, start=1):
         e = e.select(F.col(doc_col), F.lit(i).alias("_s"), F.coalesce("key", F.lit("null")).alias("_key"), F.col("value_json"))
         entries = e if entries is None else entries.unionByName(e)
-    entries = stage_table(entries, "document-entries")
     firsts = stage_table(entries.groupBy(doc_col, "_s").agg(F.min("_key").alias("_first")), "document-firsts")
     marked = entries.join(sized(firsts), [doc_col, "_s"])
     body = marked.select(

@@ -144,3 +144,36 @@ def test_renames_never_share_a_target(spark):
     cur = spark.createDataFrame([("@a", "a", "A"), ("@b", "b", "B"), ("@c", "c", "C"), ("@d", "d", "D")], "subject_name string, id string, title string")
     got = sorted((r.subject_name, r.from_name, r.to_name) for r in jobs.plan_renames(inv, cur).collect())
     assert got == [("@a", "videoplayback.mp4", "a.mp4"), ("@b", "new.mp4", "b.mp4")]
+
+
+def test_documents_are_written_without_staging_their_entries_texts(spark, tmp_path, monkeypatch):
+    from reelcat.sinks import documents
+    from reelcat.sinks.tables import write_manifest_documents
+
+    staged, keep = [], documents.stage_table
+    monkeypatch.setattr(documents, "stage_table", lambda df, name: (staged.append(df.columns), keep(df, name))[1])
+    fields = "upload_date duration view_count like_count title id webpage_url description".split()
+    data = [(f"m{i % 2}", *[None if (i + k) % 5 == 0 else f"{c}{i}" for k, c in enumerate(fields)], "@s") for i in range(8)]
+    rows = spark.createDataFrame(data, ", ".join(f"{c} string" for c in ["manifest_name", *fields, "subject_name"]))
+    write_manifest_documents(rows, ["a"], str(tmp_path / "out"))
+    assert staged and not any("value_json" in columns for columns in staged)
+    got = {}
+    for m in ("m0", "m1"):
+        parts = sorted((tmp_path / "out" / f"manifest_name={m}").glob("part-*"))
+        got |= {(m, k): v for k, v in json.loads("".join(p.read_text() for p in parts))["videos"].items()}
+    assert got == {(d[0], d[6] or "null"): dict(zip([*fields, "subject_name"], d[1:])) for d in data}
+
+
+def test_only_rows_of_repeated_keys_are_shuffled_for_the_last_one(spark, monkeypatch):
+    from reelcat.operators import dedup
+
+    data = [("a", "x", 1), ("a", "x", 2), ("a", "y", 3), (None, "x", 4), (None, "x", 5), (None, None, 6), (None, None, 7), ("b", None, 8), ("a", "z", None), ("a", "z", 0)]
+    df = spark.createDataFrame(data, "f string, id string, pos int")
+    want = sorted(map(str, dedup.keep_last(df, ["f", "id"], ["pos"]).collect()))
+    got = dedup.keep_last_of_repeated(df, ["f", "id"], ["pos"])
+    assert sorted(map(str, got.collect())) == want and "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+    unique = df.where("pos in (1, 3, 4, 6, 8)")
+    plan = (kept := dedup.keep_last_of_repeated(unique, ["f", "id"], ["pos"]))._jdf.queryExecution().executedPlan().toString()
+    assert kept.count() == 5 and "Exchange" not in plan and "Window" not in plan
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", 1)
+    assert sorted(map(str, dedup.keep_last_of_repeated(df, ["f", "id"], ["pos"]).collect())) == want
