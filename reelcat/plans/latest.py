@@ -19,22 +19,41 @@ from pyspark.sql import functions as F
 
 from reelcat.operators.dedup import keep_last
 from reelcat.plans.jobs import INGEST_ORDER, INGESTED, _ingested, ingest_log
-from reelcat.session import stage_table, staging_scope
+from reelcat.session import sized, stage_table, staging_scope
 from reelcat.sinks import kept
 
 #: What a key's table keeps of a row: all of it (A1), or the index entry (A2).
 KEPT = {"id": INGESTED, "webpage_url": "source_file string, source_offset long, source_seq long, id string, webpage_url string, ingest_run long"}
 
 
+#: Rows of a merge from which a key's are reduced to the last one before the exchange.
+HOT_ROWS = 1000
+
+
 def _base(videos_path: str, key: str) -> str:
     return f"{videos_path.rstrip('/')}/_latest/{key}"
 
 
+def _hot_reduced(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``rows``, of each key that more than ``HOT_ROWS`` of them share only the last; whole rows aren't shuffled for it.
+
+    The hot keys come from a count, and their last rows' order from their key and order columns.
+    """
+    hot = stage_table(rows.groupBy(key).count().where(F.col("count") > HOT_ROWS).select(F.col(key).alias("_hot")), "latest-hot")
+    if hot.isEmpty():
+        return rows
+    shared = rows.select(key, *order).join(sized(hot), F.col(key).eqNullSafe(F.col("_hot")), "left_semi")
+    last = stage_table(keep_last(shared, key, order).select(F.col(key).alias("_hot"), F.struct(*order).alias("_last")), "latest-hot-last")
+    marked = rows.join(sized(last), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    return marked.where(F.col("_last").isNull() | (F.struct(*order) == F.col("_last"))).select(*rows.columns)
+
+
 def merge_latest(spark: SparkSession, videos_path: str, key: str = "id", buckets: int = 64) -> dict:
     """Merge the runs committed since the last merge; returns how many ``runs`` were new and how many ``buckets`` were written.
 
     ``buckets`` counts for the first merge, later ones keep its number: size it so that a bucket
-    of the distinct keys fits a task. A key that many new rows share is reduced before the shuffle.
+    of the distinct keys fits a task. A key that many new rows share is reduced before the exchange,
+    the only one that whole rows go through; nothing but keys and order columns is staged.
     """
     base = _base(videos_path, key)
     last = kept.current_version(spark, base)
@@ -48,11 +67,11 @@ def merge_latest(spark: SparkSession, videos_path: str, key: str = "id", buckets
     placed = dict(last.placed)
     with staging_scope(spark):
         rows = _ingested(spark, videos_path).where(F.col("ingest_run").isin(runs)).select(*columns)
-        fresh = stage_table(keep_last(rows, key, order).select("*", bucket), "latest-fresh")
-        touched = {r["bucket"] for r in fresh.select("bucket").distinct().collect()}
+        touched = {r["bucket"] for r in rows.select(bucket).distinct().collect()}
         old = {b: folder for b, folder in placed.items() if b in touched}
-        every = fresh.unionByName(kept.read_buckets(spark, base, KEPT[key], old).select("*", bucket)) if old else fresh
-        if touched:  # one exchange by bucket serves the window and the files
+        every = _hot_reduced(rows, key, order).select("*", bucket)
+        every = every.unionByName(kept.read_buckets(spark, base, KEPT[key], old).select("*", bucket)) if old else every
+        if touched:  # whole rows go through one exchange, by bucket, which serves the window and the files
             placed |= dict.fromkeys(touched, kept.write_buckets(keep_last(every.repartition("bucket"), ["bucket", key], order), base))
     kept.commit_version(spark, base, kept.KeptVersion(number, last.merged | committed, placed))
     return {"runs": len(runs), "buckets": len(touched)}

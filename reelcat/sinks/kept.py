@@ -45,7 +45,7 @@ def read_buckets(spark: SparkSession, base: str, schema: str, placed: dict) -> D
 def write_buckets(rows: DataFrame, base: str) -> str:
     """Write ``rows`` by their ``bucket`` column to a new folder, whose name is returned."""
     folder = f"data/{uuid.uuid4().hex}"
-    rows.write.partitionBy("bucket").parquet(f"{base}/{folder}")
+    rows.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{base}/{folder}")  # whole texts
     return folder
 
 

@@ -111,3 +111,29 @@ def test_a_small_run_rewrites_the_buckets_it_touches_and_a_failed_merge_none(spa
     latest.merge_latest(spark, out, "webpage_url")
     check_kept(spark, out)
     assert {r.title for r in latest.kept_latest(spark, out).where("id = 'v7'").collect()} == {"third"}
+
+
+def test_a_merge_stages_no_whole_rows_and_reduces_hot_keys_null_ones_too(spark, tmp_path, monkeypatch):
+    d, out = tmp_path / "dumps", str(tmp_path / "videos")
+    d.mkdir()
+    staged, written, keep, write = [], [], latest.stage_table, latest.kept.write_buckets
+    monkeypatch.setattr(latest, "HOT_ROWS", 3, raising=False)
+    monkeypatch.setattr(latest, "stage_table", lambda df, name: (staged.append(df.columns), keep(df, name))[1])
+    monkeypatch.setattr(latest.kept, "write_buckets", lambda rows, base: (written.append(rows), write(rows, base))[1])
+    for run in range(3):
+        records = [(f"v{i}", f"t{run}-{i}") for i in range(run, 12)] + [("hot", f"h{run}-{i}") for i in range(6)] + [("few", "x"), ("few", f"y{run}")]
+        dump(d, f"list_C{run}_x.txt", records)
+        jobs.ingest_new(spark, str(d), out)
+        if run == 1:  # null and empty ids, more than HOT_ROWS of them
+            rows = jobs._ingested(spark, out).where("ingest_run = 2 and id = 'hot'")
+            for k, value in enumerate((None, "")):
+                more = rows.withColumn("id", jobs.F.lit(value).cast("string")).withColumn("source_seq", jobs.F.col("source_seq") + 1000 * (k + 1))
+                more.localCheckpoint().write.mode("append").partitionBy("youtuber").parquet(out)
+        for key in ("id", "webpage_url"):
+            latest.merge_latest(spark, out, key, buckets=4)
+    check_kept(spark, out)
+    assert {(r.id, r.title) for r in latest.kept_latest(spark, out).where("id is null or id in ('', 'hot', 'few')").collect()} == {
+        (None, "h1-5"), ("", "h1-5"), ("hot", "h2-5"), ("few", "y2")}
+    assert staged and not any("title" in columns or "description" in columns for columns in staged)
+    for rows in written:
+        assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(bucket") == 1
