@@ -306,6 +306,8 @@ def q_ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ledger(spark, base).select("subject_name", "video_id", "video_title", "is_link_found")
 
 
+q_ledger_roundtrip_whole = q_ledger_roundtrip  # one query under two names
+
 @register("plan_first_run", with_views("SELECT id, title, subject_name FROM (" + _J3_SQL.format(src="(" + _J1_SQL + ")") + ")",
                                       "videos", "inventory", extra=_manifest_ctes()))
 def q_plan_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
